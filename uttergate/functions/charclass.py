@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 # Letters assigned after Unicode 13.
@@ -76,14 +77,20 @@ def _above(start: int, body: str) -> str:
     return rf"[\x{{{start:x}}}-\x{{10ffff}}&&[{body}]]"
 
 
-# Class bodies, to be placed inside [...] or [^...]. ASCII comes first and the rare members are
-# nested, because members are tested from left to right.
-_WIDE_SPACES = _above(0x80, class_body([r for r in _ranges(_SPACES) if r[0] >= 0x80], 10))
-SP_NOT_BLANK = r"\x{9}-\x{d}\x{1c}-\x{1f}" + _WIDE_SPACES
-SP = r"\x{9}-\x{d}\x{1c}-\x{20}" + _WIDE_SPACES
-LETTER = "A-Za-z" + _above(0x80, r"\p{L}" + _above(0x870, class_body(_ranges(_NEW_LETTERS))))
-_NUMBER = _above(0x80, r"\p{N}" + _above(0x870, class_body(_ranges(_NEW_NUMBERS))))
-ALNUM = "0-9" + LETTER + _NUMBER
+def _latin1(member: Callable[[str], bool]) -> str:
+    """The members below U+0100 one by one: the engine keeps those in a single bit set."""
+    return "".join(rf"\x{{{cp:x}}}" for cp in range(0x100) if member(chr(cp)))
+
+
+# Class bodies, to be placed inside [...] or [^...]. Everything from U+0100 on is one nested
+# member, so that Latin text costs one comparison and one bit test per character.
+_WIDE_SPACES = _above(0x100, class_body([r for r in _ranges(_SPACES) if r[0] >= 0x100], 10))
+SP = _latin1(str.isspace) + _WIDE_SPACES
+SP_NOT_BLANK = _latin1(lambda c: c.isspace() and c != " ") + _WIDE_SPACES
+_LETTERS = r"\p{L}" + _above(0x870, class_body(_ranges(_NEW_LETTERS)))
+_NUMBERS = r"\p{N}" + _above(0x870, class_body(_ranges(_NEW_NUMBERS)))
+LETTER = _latin1(str.isalpha) + _above(0x100, _LETTERS)
+ALNUM = _latin1(str.isalnum) + _above(0x100, f"{_LETTERS}[{_NUMBERS}]")
 WORD = "_" + ALNUM
 # U+1734 is a spacing mark since Unicode 14.
 MARK = _above(
@@ -115,7 +122,11 @@ def script_classes() -> dict[str, str]:
             token = unicodedata.name(ch, "").partition(" ")[0]
             if token in members:
                 members[token].append(cp)
-    return {token: class_body(_runs(cps)) for token, cps in members.items()}
+    return {
+        token: "".join(rf"\x{{{cp:x}}}" for cp in cps if cp < 0x100)
+        + class_body(_runs([cp for cp in cps if cp >= 0x100]))
+        for token, cps in members.items()
+    }
 
 
 @lru_cache(maxsize=1)

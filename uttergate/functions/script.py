@@ -63,7 +63,7 @@ def with_script(
     """
     t, lang = F.col(text), F.col(language)
     classes = script_classes()
-    plain = ~t.rlike(r"[^\x{0}-\x{a9}\x{ab}-\x{b4}\x{b6}-\x{b9}\x{bb}-\x{2af}]")
+    plain = ~t.rlike(r"[\x{aa}\x{b5}\x{ba}\x{2b0}-\x{10ffff}]")
     df = df.withColumn("_ug_plain", plain)
     df = df.withColumn(
         "_ug_r0",

@@ -35,8 +35,9 @@ KEPT_PUNCTUATION = r".,!?\-'" + '"'
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Non-ASCII code points that full lower-casing would change.
 _CASED_BEYOND_ASCII = (
-    r"[\x{c0}-\x{10ffff}&&[\p{Lu}\p{Lt}\x{1c89}\x{2160}-\x{216f}\x{24b6}-\x{24cf}\x{2c2f}"
-    r"\x{a7c0}-\x{a7dc}\x{10570}-\x{10595}\x{10d50}-\x{10d65}]]"
+    "[ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
+    r"[\x{100}-\x{10ffff}&&[\p{Lu}\p{Lt}\x{1c89}\x{2160}-\x{216f}\x{24b6}-\x{24cf}\x{2c2f}"
+    r"\x{a7c0}-\x{a7dc}\x{10570}-\x{10595}\x{10d50}-\x{10d65}]]]"
 )
 
 
@@ -85,13 +86,15 @@ def _nfc_udf():
     return nfc
 
 
-def nfc(col: Column) -> Column:
+def nfc(col: Column, worth: Column | None = None) -> Column:
     """Canonical composition.
 
     Spark has no built-in for it. Only texts holding a composition-sensitive code point reach
-    Python; all others cross as nulls and keep their JVM string.
+    Python; all others cross as nulls and keep their JVM string. ``worth`` can rule texts out
+    more cheaply.
     """
-    suspect = F.when(col.rlike(f"[{composition_sensitive()}]"), col)
+    sensitive = col.rlike(f"[{composition_sensitive()}]")
+    suspect = F.when(sensitive if worth is None else worth & sensitive, col)
     return F.coalesce(_nfc_udf()(suspect), col)
 
 
@@ -132,6 +135,10 @@ def drop_special(col: Column) -> Column:
     return F.regexp_replace(col, f"[^{KEPT_PUNCTUATION}{SP}{WORD}]+", "")
 
 
+def _plain_spaces(col: Column) -> Column:
+    return F.regexp_replace(col, f"[{SP_NOT_BLANK}]+", " ")
+
+
 def normalize_punctuation(col: Column) -> Column:
     return drop_special(collapse_spaces(map_punctuation(col)))
 
@@ -146,7 +153,10 @@ def final_cleanup(col: Column) -> Column:
 
 def _cleanup_after_punctuation(col: Column) -> Column:
     # Only spaces are left as white space and brackets are gone, so the cheap forms suffice.
-    return F.regexp_replace(F.trim(col), " {2,}", " ")
+    trimmed = F.trim(col)
+    return F.when(trimmed.contains("  "), F.regexp_replace(trimmed, " {2,}", " ")).otherwise(
+        trimmed
+    )
 
 
 def with_normalized_text(
@@ -166,13 +176,24 @@ def with_normalized_text(
     raw, lang = F.col(text), F.col(language)
     s = [f"_ug_s{i}" for i in range(7)]
 
-    df = df.withColumn(s[0], F.when(is_blank(raw), None).otherwise(raw))
+    # Nothing below U+0300 composes, is a mark or is mapped punctuation.
+    high = F.col("_ug_high")
+    df = df.withColumn(s[0], F.when(~is_blank(raw), raw))
+    df = df.withColumn("_ug_high", F.col(s[0]).rlike(r"[\x{300}-\x{10ffff}]"))
+
+    def if_high(step):
+        return lambda c: F.when(high, step(c)).otherwise(c)
+
+    def punctuation(c: Column) -> Column:
+        # Runs of spaces are left to the cleanup; the trace below accounts for them.
+        return drop_special(_plain_spaces(if_high(map_punctuation)(c)))
+
     steps = [
-        nfc if config.apply_unicode_nfc else None,
-        strip_marks if config.remove_diacritics else None,
+        (lambda c: nfc(c, high)) if config.apply_unicode_nfc else None,
+        if_high(strip_marks) if config.remove_diacritics else None,
         (lambda c: expand_digits(c, lang)) if config.expand_numbers else None,
         lambda c: lowercase(c, lang),
-        normalize_punctuation if config.normalize_punctuation else None,
+        punctuation if config.normalize_punctuation else None,
         _cleanup_after_punctuation if config.normalize_punctuation else final_cleanup,
     ]
     for i, step in enumerate(steps):
@@ -189,8 +210,11 @@ def with_normalized_text(
             ("numbers_expanded", 2),
             ("punctuation_normalized", 4),
         ]
+        changed = {n: F.col(s[i]) != F.col(s[i + 1]) for n, i in named}
+        if config.normalize_punctuation:
+            changed["punctuation_normalized"] |= F.col(s[4]).contains("  ")
         operations = F.array_compact(
-            F.array(*[F.when(F.col(s[i]) != F.col(s[i + 1]), F.lit(n)) for n, i in named])
+            F.array(*[F.when(differs, F.lit(n)) for n, differs in changed.items()])
         )
         before, after = F.length(s[0]), F.length(cleaned)
         added[trace] = pin(
@@ -204,7 +228,7 @@ def with_normalized_text(
                 ),
             )
         )
-    return df.withColumns(added).drop(*s)
+    return df.withColumns(added).drop(*s, "_ug_high")
 
 
 def letter_count(col: Column) -> Column:
