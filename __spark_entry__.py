@@ -296,8 +296,9 @@ def stats_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stats_document(spark: SparkSession, sf: str) -> DataFrame:
-    judged = _verdict(spark, sf)
-    doc = report.stats_document(judged, rejected(judged))
+    folder = f"{_shared_folder(spark)}/verdict"
+    _verdict(spark, sf).write.parquet(folder)  # the document reads the verdict twice
+    doc = report.stats_document(spark.read.parquet(folder))
 
     def listed(name: str) -> Column:
         pairs = F.array_sort(F.map_entries(name))

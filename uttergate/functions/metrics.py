@@ -36,17 +36,18 @@ def with_text_metrics(
     else:
         pieces = F.filter(F.split(t, f"[{SP}]+"), lambda w: w != "")
         df = df.withColumn("_ug_words", F.when(F.size(pieces) > 0, pieces))
+    count = F.when(words.isNotNull(), F.size(words))
+    in_words = (
+        F.length(t) - (count - 1) if single_spaced else F.length(F.regexp_replace(t, f"[{SP}]+", ""))
+    )
     df = df.withColumns(
         {
-            "_ug_n": F.when(words.isNotNull(), F.size(words)),
+            "_ug_n": count,
             "_ug_chars": F.length(t),
+            "_ug_in_words": in_words,
             "_ug_distinct": F.size(F.array_distinct(words)),
         }
     )
-    in_words = (
-        chars - (n - 1) if single_spaced else F.length(F.regexp_replace(t, f"[{SP}]+", ""))
-    )
-    df = df.withColumn("_ug_in_words", in_words)
     avg_length = F.coalesce(letters / n, F.lit(0.0))
     repeated = F.coalesce((n - distinct) / n, F.lit(1.0))
     punctuation = F.length(F.regexp_replace(t, f"[{ALNUM}{SP}]+", "")) / chars

@@ -69,12 +69,13 @@ def with_script(
         "_ug_r0",
         F.when(F.col("_ug_plain"), "").otherwise(F.regexp_replace(t, f"[^{LETTER}]+", "")),
     )
-    rest = ["_ug_r0"]
+    # One projection: each column extends the expression before it, which is computed once.
+    rest, peeled, left = ["_ug_r0"], {}, F.col("_ug_r0")
     for i, token in enumerate(SCRIPT_TOKENS, 1):
         rest.append(f"_ug_r{i}")
-        df = df.withColumn(
-            rest[i], F.regexp_replace(F.col(rest[i - 1]), f"[{classes[token]}]+", "")
-        )
+        left = F.regexp_replace(left, f"[{classes[token]}]+", "")
+        peeled[rest[i]] = left
+    df = df.withColumns(peeled)
     letters = F.col("_ug_r0")
     candidates = []
     for i, token in enumerate(SCRIPT_TOKENS, 1):

@@ -154,8 +154,8 @@ def batch_details(validated: DataFrame, path: str = "audio_path") -> DataFrame:
     ).select(path, "d.*")
 
 
-def audio_counters(verdict: DataFrame, audio: str = "audio") -> DataFrame:
-    """Counters over the rows whose audio was checked.
+def audio_counts(audio: str = "audio") -> Column:
+    """Aggregate struct over the rows whose audio was checked.
 
     A missing or unreadable file is neither valid nor invalid here, so the two ratios need
     not add up to one.
@@ -167,23 +167,30 @@ def audio_counters(verdict: DataFrame, audio: str = "audio") -> DataFrame:
     analysed = checked & ~missing & ~error
 
     def has(*names: str) -> Column:
-        return analysed & F.arrays_overlap(issues, F.array(*[F.lit(n) for n in names]))
+        return F.count_if(
+            analysed & F.arrays_overlap(issues, F.array(*[F.lit(n) for n in names]))
+        )
+
+    total = F.count_if(checked)
+    valid = F.count_if(a["is_valid"])
+    invalid = F.count_if(analysed & ~a["is_valid"])
+
+    def share(n: Column) -> Column:
+        return F.coalesce(F.try_divide(n, total), F.lit(0.0))
 
-    counts = verdict.agg(
-        F.count_if(checked).alias("total_validated"),
-        F.count_if(a["is_valid"]).alias("valid_files"),
-        F.count_if(analysed & ~a["is_valid"]).alias("invalid_files"),
+    return F.struct(
+        total.alias("total_validated"),
+        valid.alias("valid_files"),
+        invalid.alias("invalid_files"),
         F.count_if(checked & missing).alias("missing_files"),
         F.count_if(checked & error).alias("corrupted_files"),
-        F.count_if(has("duration_too_short", "duration_too_long")).alias("duration_violations"),
-        F.count_if(has("sample_rate_too_low", "sample_rate_too_high")).alias(
-            "sample_rate_violations"
-        ),
+        has("duration_too_short", "duration_too_long").alias("duration_violations"),
+        has("sample_rate_too_low", "sample_rate_too_high").alias("sample_rate_violations"),
+        share(valid).alias("valid_ratio"),
+        share(invalid).alias("invalid_ratio"),
     )
 
-    def ratio(name: str) -> Column:
-        return F.coalesce(F.try_divide(F.col(name), F.col("total_validated")), F.lit(0.0))
 
-    return counts.withColumns(
-        {"valid_ratio": ratio("valid_files"), "invalid_ratio": ratio("invalid_files")}
-    )
+def audio_counters(verdict: DataFrame, audio: str = "audio") -> DataFrame:
+    """One row of audio counters."""
+    return verdict.agg(audio_counts(audio).alias("s")).select("s.*")

@@ -10,6 +10,8 @@ from uttergate.operators.sizing import broadcast_limit, estimated_bytes
 KEY_BUCKETS = 8192
 # A bucket is hot above 1/512 of all keyed rows, so fewer than 512 buckets can be hot.
 HOT_SHARE = 512
+# A left side below this size cannot hold a partition that adaptive execution calls skewed.
+SKEW_BYTES = 256 * 1024 * 1024
 # Rows without a key match nothing; they are only spread.
 IDLE_SPREAD = 100_000
 
@@ -18,6 +20,11 @@ def _bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
 
 
+def _at_most(df: DataFrame, limit: int) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
 def hot_buckets(df: DataFrame, key: Column) -> DataFrame:
     """Key-hash buckets holding more than ``1/HOT_SHARE`` of the keyed rows.
 
@@ -52,10 +59,11 @@ def lookup_join(
     """Left-join ``right`` on ``key`` and add its ``values`` as struct ``out`` (null: no match).
 
     ``right`` is reduced to one row per key first, unless declared ``unique``. Left rows that
-    are not ``eligible`` match nothing. When the right side may be too big to broadcast, rows
-    in hot key buckets are spread over ``salt`` tasks and the matching right rows, a small
-    share of that side, are repeated for each; ``salt=0`` leaves that to adaptive execution
-    and keeps the join on the bare key, as bucketed tables need.
+    are not ``eligible`` match nothing, and are spread over all tasks by a key of their own.
+    Unless the left side is small or the right side fits a broadcast, rows in hot key buckets
+    are spread over ``salt`` tasks and the matching right rows, a small share of that side, are
+    repeated for each. ``salt=0`` leaves skew to adaptive execution and keeps the join on the
+    bare key, as bucketed tables need.
     """
     # Blank keys are keys no lookup row may have, as null ones are.
     usable = F.col(key).isNotNull() & (F.col(key) != "")
@@ -64,39 +72,40 @@ def lookup_join(
     )
     left = left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
 
-    limit = broadcast_limit(left)
-    size = estimated_bytes(right)
-    small = size is not None and 0 <= size <= limit
-    if salt and not small:
-        hot = F.broadcast(hot_buckets(left, F.when(usable, F.col(key))))
+    keys = ["_ug_rkey"]
+    condition = F.col("_ug_key") == F.col("_ug_rkey")
+    if salt and not _at_most(right, broadcast_limit(left)):
         noise = F.xxhash64(*spread_by) + F.spark_partition_id()
-        left = (
-            left.withColumn("_ug_bucket", _bucket(F.col("_ug_key")))
-            .join(hot, F.col("_ug_bucket") == F.col("_ug_hot"), "left")
-            .withColumn(
-                "_ug_salt",
-                F.when(F.col("_ug_key").isNull(), F.pmod(noise, F.lit(IDLE_SPREAD)))
-                .when(F.col("_ug_hot").isNotNull(), F.pmod(noise, F.lit(salt)))
-                .otherwise(F.lit(0).cast("bigint")),
+        if not _at_most(left, SKEW_BYTES):
+            hot = F.broadcast(hot_buckets(left, F.when(usable, F.col(key))))
+            left = (
+                left.withColumn("_ug_bucket", _bucket(F.col("_ug_key")))
+                .join(hot, F.col("_ug_bucket") == F.col("_ug_hot"), "left")
+                .withColumn(
+                    "_ug_salt",
+                    F.when(F.col("_ug_hot").isNotNull(), F.pmod(noise, F.lit(salt))).otherwise(
+                        F.lit(0).cast("bigint")
+                    ),
+                )
+                .drop("_ug_bucket", "_ug_hot")
             )
-            .drop("_ug_bucket", "_ug_hot")
-        )
-        copies = F.when(
-            F.col("_ug_hot").isNotNull(), F.expr(f"sequence(0L, {salt - 1}L)")
-        ).otherwise(F.expr("array(0L)"))
-        right = (
-            right.withColumn("_ug_bucket", _bucket(F.col("_ug_rkey")))
-            .join(hot, F.col("_ug_bucket") == F.col("_ug_hot"), "left")
-            .withColumn("_ug_rsalt", F.explode(copies))
-            .drop("_ug_bucket", "_ug_hot")
-        )
-        keys = ["_ug_rkey", "_ug_rsalt"]
-        condition = (F.col("_ug_key") == F.col("_ug_rkey")) & (
-            F.col("_ug_salt") == F.col("_ug_rsalt")
+            copies = F.when(
+                F.col("_ug_hot").isNotNull(), F.expr(f"sequence(0L, {salt - 1}L)")
+            ).otherwise(F.expr("array(0L)"))
+            right = (
+                right.withColumn("_ug_bucket", _bucket(F.col("_ug_rkey")))
+                .join(hot, F.col("_ug_bucket") == F.col("_ug_hot"), "left")
+                .withColumn("_ug_rsalt", F.explode(copies))
+                .drop("_ug_bucket", "_ug_hot")
+            )
+            keys.append("_ug_rsalt")
+            condition &= F.col("_ug_salt") == F.col("_ug_rsalt")
+        # A leading sign keeps the two kinds of keys apart.
+        idle = F.concat(F.lit("-"), F.pmod(noise, F.lit(IDLE_SPREAD)).cast("string"))
+        left = left.withColumn(
+            "_ug_key", F.coalesce(F.concat(F.lit("="), F.col("_ug_key")), idle)
         )
-    else:
-        keys = ["_ug_rkey"]
-        condition = F.col("_ug_key") == F.col("_ug_rkey")
+        right = right.withColumn("_ug_rkey", F.concat(F.lit("="), F.col("_ug_rkey")))
     if not unique:
         # Combined map-side; grouped on the join keys, so the join needs no second shuffle.
         right = right.groupBy(*keys).agg(F.min(out).alias(out))

@@ -34,10 +34,9 @@ def run_gate(
     judged.write.mode("overwrite").partitionBy("is_valid").parquet(paths["verdict"])
     stored = spark.read.schema(judged.schema).parquet(paths["verdict"]).select(*judged.columns)
 
-    refused = rejected(stored)
     for name, table in (
         (config.train_ready_name, train_ready(stored)),
-        (config.rejected_name, refused),
+        (config.rejected_name, rejected(stored)),
     ):
         paths[name] = f"{output_dir}/{name}"
         write_table(table, paths[name], fmt)
@@ -45,5 +44,5 @@ def run_gate(
         paths["rejection_reasons"] = f"{output_dir}/rejection_reasons"
         write_table(report.reason_histogram(stored), paths["rejection_reasons"], "json")
         paths["processing_stats"] = f"{output_dir}/processing_stats"
-        write_document(report.stats_document(stored, refused, config), paths["processing_stats"])
+        write_document(report.stats_document(stored, config), paths["processing_stats"])
     return paths

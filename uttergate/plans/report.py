@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from uttergate.config import GateConfig
 from uttergate.functions.labels import fixed_point
 from uttergate.functions.text import strip
-from uttergate.operators.audio import audio_counters
+from uttergate.operators.audio import audio_counts
 
 OPERATION_COUNTERS = {
     "diacritics_removed": "diacritics_removed",
@@ -24,18 +24,22 @@ def _failed(reasons: Column) -> Column:
     return F.exists(reasons, lambda r: r.startswith("processing_error: "))
 
 
-def run_totals(verdict: DataFrame) -> DataFrame:
-    """One row: total, valid and rejected rows, and the valid share (0 for an empty table)."""
+def run_counts() -> Column:
+    """Aggregate struct: total, valid and rejected rows, valid share (0 for an empty table)."""
     counted = ~_failed(F.col("reasons"))
-    totals = verdict.agg(
-        F.count_if(counted).alias("total_processed"),
-        F.count_if(counted & F.col("is_valid")).alias("valid_samples"),
+    total = F.count_if(counted)
+    valid = F.count_if(counted & F.col("is_valid"))
+    return F.struct(
+        total.alias("total_processed"),
+        valid.alias("valid_samples"),
         F.count_if(counted & ~F.col("is_valid")).alias("rejected_samples"),
+        F.coalesce(F.try_divide(valid, total), F.lit(0.0)).alias("valid_ratio"),
     )
-    return totals.withColumn(
-        "valid_ratio",
-        F.coalesce(F.try_divide("valid_samples", "total_processed"), F.lit(0.0)),
-    )
+
+
+def run_totals(verdict: DataFrame) -> DataFrame:
+    """One row of run totals."""
+    return verdict.agg(run_counts().alias("s")).select("s.*")
 
 
 def reason_histogram(verdict: DataFrame) -> DataFrame:
@@ -67,10 +71,10 @@ def top_reasons(histogram: DataFrame, n: int = 5) -> DataFrame:
     return histogram.orderBy(F.desc("n"), "reason").limit(n)
 
 
-def normalizer_counters(normalized: DataFrame, trace: str = "normalization") -> DataFrame:
-    """One row: texts normalised (blank ones left out) and texts changed by each step."""
+def normalizer_counts(trace: str = "normalization") -> Column:
+    """Aggregate struct: texts normalised (blank ones left out), texts changed by each step."""
     operations = F.col(trace)["operations"]
-    return normalized.agg(
+    return F.struct(
         F.count(F.col(trace)).alias("total_processed"),
         *[
             F.count_if(F.array_contains(operations, op)).alias(name)
@@ -79,6 +83,11 @@ def normalizer_counters(normalized: DataFrame, trace: str = "normalization") ->
     )
 
 
+def normalizer_counters(normalized: DataFrame, trace: str = "normalization") -> DataFrame:
+    """One row of normaliser counters."""
+    return normalized.agg(normalizer_counts(trace).alias("s")).select("s.*")
+
+
 def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per present column: nulls (NaN included), empty strings, completeness."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -118,77 +127,81 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def component_stats(verdict: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "text_normalization": normalizer_counters(verdict),
-        "audio_validation": audio_counters(verdict),
-    }
+def summary(verdict: DataFrame) -> DataFrame:
+    """One row with the three counter structs, from a single pass over the verdict."""
+    return verdict.agg(
+        run_counts().alias("processing_stats"),
+        normalizer_counts().alias("text_normalization"),
+        audio_counts().alias("audio_validation"),
+    )
 
 
-def _sections(verdict: DataFrame) -> dict[str, DataFrame]:
-    return {"processing_stats": run_totals(verdict), **component_stats(verdict)}
+def report_rows(summary: DataFrame) -> DataFrame:
+    """``category, key, value`` rows of a summary; fractions with two decimals."""
+    pairs = []
+    for section in summary.schema.fields:
+        for field in section.dataType.fields:
+            value = F.col(f"{section.name}.{field.name}")
+            fraction = isinstance(field.dataType, T.DoubleType)
+            pairs.append(
+                F.struct(
+                    F.lit(section.name.upper()).alias("category"),
+                    F.lit(field.name).alias("key"),
+                    (fixed_point(value, 2) if fraction else value.cast("string")).alias("value"),
+                )
+            )
+    return summary.select(F.inline(F.array(*pairs)))
 
 
-def _numbers(stats: DataFrame) -> tuple[Column, list[str]]:
-    names = stats.columns
-    types = {f.name: f.dataType for f in stats.schema.fields}
+def stats_report(verdict: DataFrame) -> DataFrame:
+    """Run totals and component counters as report rows."""
+    return report_rows(summary(verdict))
 
-    def text(c: str) -> Column:
-        col = F.col(c)
-        return fixed_point(col, 2) if isinstance(types[c], T.DoubleType) else col.cast("string")
 
-    return (
-        F.array(*[F.struct(F.lit(c).alias("key"), text(c).alias("value")) for c in names]),
-        names,
-    )
+def _reason_maps(verdict: DataFrame) -> DataFrame:
+    """One row: reason counts of the counted rows, and of the joined texts of all rejected rows.
 
+    Free-text messages fold into their label here, which bounds the maps by the gate
+    vocabulary; the histogram tables keep every message.
+    """
+    grouped = (
+        verdict.where(~F.col("is_valid"))
+        .select(F.explode("reasons").alias("reason"), _failed(F.col("reasons")).alias("failed"))
+        .groupBy("reason", "failed")
+        .agg(F.count("*").alias("n"))
+    )
 
-def report_rows(sections: dict[str, DataFrame]) -> DataFrame:
-    """``category, key, value`` rows of one-row statistics; fractions with two decimals."""
-    out = None
-    for category, stats in sections.items():
-        pairs, _ = _numbers(stats)
-        rows = stats.select(F.lit(category.upper()).alias("category"), F.inline(pairs))
-        out = rows if out is None else out.unionAll(rows)
-    return out
-
+    def fold(reason: Column) -> Column:
+        free_text = reason.startswith("audio_validation_error: ")
+        return F.when(free_text, "audio_validation_error").otherwise(reason)
 
-def stats_report(verdict: DataFrame) -> DataFrame:
-    """Run totals and component counters as report rows."""
-    return report_rows(_sections(verdict))
+    parts = F.transform(F.split("reason", ";"), strip)
+    entries = F.concat(
+        F.when(F.col("failed"), F.array()).otherwise(
+            F.array(F.struct(F.lit("counted").alias("kind"), fold(F.col("reason")).alias("label")))
+        ),
+        F.transform(
+            F.filter(parts, lambda p: p != ""),
+            lambda p: F.struct(F.lit("analysed").alias("kind"), fold(p).alias("label")),
+        ),
+    )
+    folded = (
+        grouped.select(F.inline(entries), "n").groupBy("kind", "label").agg(F.sum("n").alias("n"))
+    )
 
+    def as_map(kind: str) -> Column:
+        pair = F.when(F.col("kind") == kind, F.struct("label", "n"))
+        return F.map_from_entries(F.array_sort(F.collect_list(pair)))
 
-def _reason_map(histogram: DataFrame, name: str) -> DataFrame:
-    # Free-text messages fold into their label here, which bounds the map by the gate
-    # vocabulary; the histogram tables keep every message.
-    label = F.when(
-        F.col("reason").startswith("audio_validation_error: "), "audio_validation_error"
-    ).otherwise(F.col("reason"))
-    folded = histogram.groupBy(label.alias("reason")).agg(F.sum("n").alias("n"))
-    pairs = F.array_sort(F.collect_list(F.struct("reason", "n")))
-    return folded.agg(F.map_from_entries(pairs).alias(name))
+    return folded.agg(as_map("counted").alias("counted"), as_map("analysed").alias("analysed"))
 
 
-def stats_document(
-    verdict: DataFrame, rejected: DataFrame, config: GateConfig | None = None
-) -> DataFrame:
+def stats_document(verdict: DataFrame, config: GateConfig | None = None) -> DataFrame:
     """One row: ``config, processing_stats, component_stats, rejection_reason_analysis``."""
     config = config or GateConfig()
     settings = F.struct(*[F.lit(v).alias(k) for k, v in config.as_dict().items()])
-
-    def packed(stats: DataFrame, name: str) -> DataFrame:
-        return stats.select(F.struct(*stats.columns).alias(name), F.lit(0).alias("_ug_one"))
-
-    parts = [packed(stats, name) for name, stats in _sections(verdict).items()]
-    parts.append(
-        _reason_map(reason_histogram(verdict), "counted").withColumn("_ug_one", F.lit(0))
-    )
-    parts.append(
-        _reason_map(reason_analysis(rejected), "analysed").withColumn("_ug_one", F.lit(0))
-    )
-    doc = parts[0]
-    for part in parts[1:]:
-        doc = doc.join(part, "_ug_one")
+    one = F.lit(1).alias("_ug_one")
+    doc = summary(verdict).select("*", one).join(_reason_maps(verdict).select("*", one), "_ug_one")
     return doc.select(
         settings.alias("config"),
         F.struct("processing_stats.*", F.col("counted").alias("rejection_reasons")).alias(
