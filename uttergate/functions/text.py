@@ -105,8 +105,10 @@ def strip_marks(col: Column) -> Column:
 
 def expand_digits(col: Column, language: Column) -> Column:
     """Stand-alone digits become Hindi words; other languages keep theirs."""
-    # the digit comes first, so that the look-arounds run only where one stands
-    lone = r"{d}(?<![{w}]{d})(?![{w}])"
+    # The digit comes first, so that the look-arounds run only where one stands. The letter
+    # U+20000 is in the class already; a literal one makes the look-behind step over whole
+    # code points instead of UTF-16 units.
+    lone = r"{d}(?<![{w}𠀀]{d})(?![{w}])"
     out = col
     for digit, word in enumerate(HINDI_DIGIT_WORDS):
         out = F.regexp_replace(out, lone.format(w=WORD, d=digit), word)
