@@ -1,4 +1,7 @@
-"""File listings and content hashes."""
+"""File listings and content hashes.
+
+Spark's file source passes over empty files, so they appear in neither.
+"""
 
 from __future__ import annotations
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -30,7 +32,8 @@ def gate_new_files(
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
             raise ValueError("set spark.checkpoint.dir or pass checkpoint")
-        checkpoint = f"{shared}/gate_new_files"
+        run = hashlib.md5(f"{input_dir}\n{output_dir}".encode()).hexdigest()
+        checkpoint = f"{shared}/gate-{run}"
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
