@@ -3,7 +3,7 @@ import pytest
 from uttergate import column_contract, scan_csv, verdict
 from uttergate.plans.report import completeness
 from uttergate.sources.sinks import write_table
-from uttergate.sources.utterances import _odd_quote_files
+from uttergate.sources.utterances import _quote_parity
 from uttergate.streaming.incremental import gate_new_files
 
 HEADER = "﻿utterance_id,audio_path,language,transcription_raw,duration_sec,quality_flag,mood\n"
@@ -40,9 +40,8 @@ def test_csv_scan(spark, tmp_path):
 def test_only_files_with_spanning_records_are_read_whole(spark, tmp_path):
     (tmp_path / "flat.csv").write_text(HEADER + 'u4,p,hi,"a ""b"" c",1,0,\n', encoding="utf-8")
     (tmp_path / "spanning.csv").write_text(HEADER + BODY, encoding="utf-8")
-    plain, spanning = _odd_quote_files(spark, str(tmp_path))
-    assert [p.rsplit("/", 1)[1] for p in plain] == ["flat.csv"]
-    assert [p.rsplit("/", 1)[1] for p in spanning] == ["spanning.csv"]
+    odd = {r.file.rsplit("/", 1)[1]: r.odd for r in _quote_parity(spark, str(tmp_path)).collect()}
+    assert odd == {"flat.csv": False, "spanning.csv": True}
     rows = {r.utterance_id: r for r in scan_csv(spark, str(tmp_path)).collect()}
     assert set(rows) == {"u1", "u2", "u3", "u4"}
     assert rows["u4"].transcription_raw == 'a "b" c'

@@ -9,22 +9,20 @@ from pyspark.sql import types as T
 from uttergate.schema import NA_TOKENS, NUMERIC_COLUMNS, REQUIRED_COLUMNS
 
 
-def _odd_quote_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files whose lines all hold an even number of quotes, and the others.
+def _quote_parity(spark: SparkSession, path: str) -> DataFrame:
+    """``file, odd``: whether some line of the file holds an odd number of quotes.
 
     A record spans lines only if its first line leaves a quote open, which makes the number of
     quotes on that line odd. A file without such a line can therefore be split anywhere.
     """
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    files = (
+    return (
         spark.read.text(path)
-        .select(F.col("_metadata.file_path").alias("file"), (quotes % 2).alias("odd"))
+        .select(F.col("_metadata.file_path").alias("file"), (quotes % 2 != 0).alias("odd"))
         .groupBy("file")
-        .agg(F.max("odd").alias("odd"))
+        .agg(F.bool_or("odd").alias("odd"))
     )
-    rows = files.collect()  # one row per input file, as many as the scan's own listing
-    return [r.file for r in rows if r.odd == 0], [r.file for r in rows if r.odd != 0]
 
 
 def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
@@ -50,11 +48,16 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
         )
 
     if multi_line is None:
-        plain, spanning = _odd_quote_files(spark, path)
-        parts = [read(fs, whole) for fs, whole in ((plain, False), (spanning, True)) if fs]
-        df = parts[0] if parts else read(path, True)
-        for part in parts[1:]:
-            df = df.unionByName(part)
+        files = _quote_parity(spark, path)
+        some, every = files.agg(F.bool_or("odd"), F.bool_and("odd")).first()
+        if some and not every:
+            # file names only, no more of them than the scan lists anyway
+            names_by_kind = {False: [], True: []}
+            for row in files.collect():
+                names_by_kind[row.odd].append(row.file)
+            df = read(names_by_kind[False], False).unionByName(read(names_by_kind[True], True))
+        else:
+            df = read(path, bool(some))
     else:
         df = read(path, multi_line)
 
