@@ -78,10 +78,12 @@ def _nfc_udf():
 
         import pyarrow as pa
 
-        return pa.array(
-            [t if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()],
-            pa.string(),
-        )
+        def changed(t):
+            if t is None or unicodedata.is_normalized("NFC", t):
+                return None
+            return unicodedata.normalize("NFC", t)
+
+        return pa.array(map(changed, texts.to_pylist()), pa.string())
 
     return nfc
 
@@ -90,8 +92,8 @@ def nfc(col: Column, worth: Column | None = None) -> Column:
     """Canonical composition.
 
     Spark has no built-in for it. Only texts holding a composition-sensitive code point reach
-    Python; all others cross as nulls and keep their JVM string. ``worth`` can rule texts out
-    more cheaply.
+    Python and only changed texts come back; all others cross as nulls and keep their JVM
+    string. ``worth`` can rule texts out more cheaply.
     """
     sensitive = col.rlike(f"[{composition_sensitive()}]")
     suspect = F.when(sensitive if worth is None else worth & sensitive, col)

@@ -34,7 +34,9 @@ def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     is bounded: it happens only while the input is below ``SPREAD_BYTES_PER_CORE`` per core.
     """
     size = estimated_bytes(df)
+    if size is None:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if size is None or size > cores * SPREAD_BYTES_PER_CORE:
+    if size > cores * SPREAD_BYTES_PER_CORE:
         return df
     return df.repartition(cores, *keys)

@@ -43,9 +43,9 @@ UTTERANCES_SQL = f"""
 SELECT row_n,
        CASE WHEN row_n % 97 = 0 THEN NULL ELSE 'utt_' || CAST(row_n AS STRING) END AS utterance_id,
        CASE WHEN row_n % 89 = 0 THEN NULL
-            WHEN row_n % 31 = 0 THEN 's3://corpus/misc/utt_' || CAST(row_n AS STRING) || '.wav'
-            ELSE CASE WHEN row_n % 7 = 3 THEN '/data/raw/' ELSE 's3://corpus/raw/' END
-                 || CASE WHEN row_n % 5 = 0 THEN 'hi' ELSE language END
+            ELSE CASE WHEN row_n % 7 >= 4 THEN '/data/' ELSE 's3://corpus/' END
+                 || CASE WHEN row_n % 31 = 0 THEN 'misc' WHEN row_n % 5 = 0 THEN 'raw/hi'
+                         ELSE 'raw/' || language END
                  || '/utt_' || CAST(row_n AS STRING) || '.wav' END AS audio_path,
        language,
        CASE fault {_TEXT} ELSE body END AS transcription_raw,
@@ -74,6 +74,7 @@ FROM (
 ) AS labelled
 """
 
+# The misc folders were never analysed, so their paths have no row here.
 AUDIO_PROPERTIES_SQL = """
 SELECT audio_path,
        CASE WHEN row_n % 23 = 0 THEN 4000 WHEN row_n % 23 = 1 THEN 96000
@@ -88,7 +89,7 @@ SELECT audio_path,
        CAST(20 AS DOUBLE) AS snr_estimate,
        CASE WHEN row_n % 61 = 0 THEN 'bad header' ELSE NULL END AS error
 FROM {utterances}
-WHERE audio_path IS NOT NULL AND row_n % 11 <> 0
+WHERE audio_path NOT LIKE '%/misc/%'
 """
 
 
