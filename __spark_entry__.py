@@ -376,6 +376,22 @@ def gate_run(spark: SparkSession, sf: str) -> DataFrame:
     ).unionAll(refused.select("row_n", F.lit("refused"), "reason"))
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """The training-data operators and the pipeline, where they are installed."""
+    try:
+        import corpus_pipeline
+        from uttergate.llm import oracles
+        from uttergate.llm import queries as llm_queries
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "uttergate.llm"):
+            raise
+        return {}, {}
+    sql = dict(oracles.SQL)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Rejection reason histogram of the full gate."""
     return reason_histogram(spark, SMOKE_DIR)
@@ -423,8 +439,9 @@ def queries() -> dict[str, Query]:
         ),
         "csv_round_trip": csv_round_trip,
         "gate_run": gate_run,
+        **_llm()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle.oracle_sql()
+    return {**_oracle.oracle_sql(), **_llm()[1]}
