@@ -32,4 +32,22 @@ SELECT doc_id, size, b.source_size, target,
 FROM prefixed p JOIN budgets b ON p.source IS NOT DISTINCT FROM b.source
 """
 
-SQL = {"op6_mixing": OP6}
+OP9 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+listed AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s FROM docs),
+sized AS (SELECT doc_id, s, len(s)::BIGINT AS n FROM listed),
+items AS (SELECT doc_id, n, unnest(s) AS x FROM sized),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n - count(*) AS u, count(*) AS i
+  FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id AND a.n * 100 >= b.n * 85 AND b.n * 100 >= a.n * 85
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) * 100 >= (a.n + b.n - count(*)) * 85),
+reach AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT p.b, r.c FROM reach r JOIN pairs p ON p.a = r.id),
+least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept FROM sized JOIN least ON id = doc_id
+"""
+
+SQL = {"op9_neardup": OP9, "op6_mixing": OP6}

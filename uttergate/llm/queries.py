@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import mixing, neardup, sharding
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -40,4 +40,14 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
+def op9_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    found = neardup.near_duplicates(_documents(spark, sf, "doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        F.col("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"),
+    )
+
+
+QUERIES = {"op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
