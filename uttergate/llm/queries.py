@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, nbsvm, neardup, sharding
+from . import mixing, nbsvm, neardup, sharding, tokenbin, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -40,6 +40,23 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    index = warc.write_bundles(spark.read.parquet(f"{sf}/pages.parquet"))
+    return warc.read_records(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+END_ID = 2
+
+
+def op7_tokenbin(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    files = tokenbin.write_ids(_documents(spark, sf, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return tokenbin.read_ids(files)
+
+
 def remainder(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5: the fold of a document."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
@@ -71,4 +88,4 @@ def op9_neardup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
+QUERIES = {"op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
