@@ -50,4 +50,16 @@ least AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
 SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept FROM sized JOIN least ON id = doc_id
 """
 
-SQL = {"op9_neardup": OP9, "op6_mixing": OP6}
+OP10 = r"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+SQL = {"op10_topk": OP10, "op9_neardup": OP9, "op6_mixing": OP6}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, nbsvm, neardup, sharding, tokenbin, warc
+from . import mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -88,4 +88,9 @@ def op9_neardup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
+def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+QUERIES = {"op10_topk": op10_topk, "op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
