@@ -1,5 +1,32 @@
 """DuckDB counterparts of the registered queries."""
 
+from .licenses import TEMPLATES
+
+_LISTED = ", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())
+
+OP5 = (
+    f"""
+WITH listed(license, wording) AS (VALUES {_LISTED}),"""
+    + r"""
+cut AS (SELECT license, list_filter(string_split_regex(lower(wording), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM listed),
+own AS (SELECT license, len(w) AS n, unnest(list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])) AS s FROM cut),
+sized AS (
+  SELECT license, n, s, count(*) OVER (PARTITION BY license) AS total,
+    list_min(list_filter([8, 16, 32, 64, 128, 256, 512, 1024], lambda c: c >= n * 1.25)) AS class FROM own),
+texts AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
+places AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: {'at': i - 1, 's': array_to_string(w[i:i + 4], ' ')})) AS p FROM texts),
+hits AS (
+  SELECT doc_id, license, total, s.s AS s, unnest([(p.at // class), (p.at // class) - 1]) AS k
+  FROM places JOIN sized s ON p.s = s.s),
+windows AS (
+  SELECT doc_id, license, k, count(DISTINCT s)::DOUBLE / any_value(total) AS containment FROM hits GROUP BY doc_id, license, k)
+SELECT doc_id, license, max(containment) AS containment, count(*) AS windows
+FROM windows WHERE containment >= 0.8 GROUP BY doc_id, license
+"""
+)
+
 OP6 = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -62,4 +89,4 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-SQL = {"op10_topk": OP10, "op9_neardup": OP9, "op6_mixing": OP6}
+SQL = {"op5_licenses": OP5, "op10_topk": OP10, "op9_neardup": OP9, "op6_mixing": OP6}

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
+from . import decontaminate, licenses, mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet").select(*columns)
 
 
+def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    return decontaminate.leaks(_documents(spark, sf, "doc_id", "text"), items)
+
+
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     docs = _documents(spark, sf, "doc_id", "text").select(
@@ -30,6 +35,10 @@ def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_matches(_documents(spark, sf, "doc_id", "text"))
+
+
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = _documents(spark, sf, "doc_id", "source", "text").select(
         "doc_id",
@@ -93,4 +102,4 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {"op10_topk": op10_topk, "op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_licenses": op5_licenses, "op10_topk": op10_topk, "op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
