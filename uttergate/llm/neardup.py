@@ -201,7 +201,6 @@ def near_duplicates(df: DataFrame, rule: NearDup | None = None, row_id: str = "d
         .select("id", "group", "sketch", "w1", "w2", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
     bodies = df.where(F.col(row_id).isNotNull()).select(F.col(row_id).alias("id"), F.col(text).cast("string").alias("text"))
-    bodies = bodies.join(groups.select("id").distinct(), "id", "left_semi")
     far = rule.farthest()
 
     def compare(table: pa.Table) -> pa.Table:
