@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,16 @@ def opened_for_write(uri: str) -> pa.NativeFile:
     return system.open_output_stream(path, compression=None)
 
 
+@contextmanager
+def published(uri: str) -> Iterator[pa.NativeFile]:
+    """A file that appears under its name only when it is whole; attempts of one task write the same."""
+    draft = f"{uri}.{uuid.uuid4().hex}"
+    with opened_for_write(draft) as out:
+        yield out
+    system, path = fs.FileSystem.from_uri(draft)
+    system.move(path, posixpath.join(posixpath.dirname(path), posixpath.basename(uri)))
+
+
 def opened(uri: str) -> pa.NativeFile:
     system, path = fs.FileSystem.from_uri(uri)
     return system.open_input_file(path)

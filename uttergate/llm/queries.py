@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
+from . import ctw, decontaminate, licenses, mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet").select(*columns)
 
 
+def remainder(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5: the fold of a document."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+
+
 def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
     return decontaminate.leaks(_documents(spark, sf, "doc_id", "text"), items)
@@ -49,6 +54,10 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_ctw(spark: SparkSession, sf: str) -> DataFrame:
+    return ctw.scores(_documents(spark, sf, "doc_id", "text"), remainder() == 1)
+
+
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     index = warc.write_bundles(spark.read.parquet(f"{sf}/pages.parquet"))
     return warc.read_records(index, payloads=False).select(
@@ -66,11 +75,6 @@ def op7_tokenbin(spark: SparkSession, sf: str) -> DataFrame:
     return tokenbin.read_ids(files)
 
 
-def remainder(doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5: the fold of a document."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
-
-
 def quality_model(spark: SparkSession, docs: DataFrame, sf: str) -> nbsvm.Model:
     """Learned from labels outside fold 0."""
     labels = spark.read.parquet(f"{sf}/labels.parquet").where(remainder() != 0)
@@ -102,4 +106,4 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_licenses": op5_licenses, "op10_topk": op10_topk, "op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_ctw": op3_ctw, "op5_licenses": op5_licenses, "op10_topk": op10_topk, "op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}

@@ -25,9 +25,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows of ``df``, computed once and written, so that lost executors cost no recomputation."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
