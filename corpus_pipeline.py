@@ -1,9 +1,81 @@
-"""From raw documents to training shards, in stages that each call one operator."""
+"""From raw documents to training shards: five stages, each one operator of ``uttergate.llm``.
 
-STAGES = []
+Each stage works on all rows that the one before kept and is written and read again in the shared folder. Every stage
+but the last returns the columns it was given, whatever their names. Documents without an id pass the near-duplicate
+stage as they are; documents without text fail or pass the quality stage by the score of an empty text, link with
+nothing, hold no benchmark passage and count as documents of no words. An empty table stays empty.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from uttergate.llm import decontaminate, mixing, nbsvm, neardup, sharding
+from uttergate.llm.queries import GOOD, quality_model
+from uttergate.llm.store import staged
+
+SHARDS = 40
+NEAR = neardup.NearDup(shingle=5, percent=80, bands=32, rows=5)
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier gives a score of ``GOOD`` or more."""
+    model = quality_model(spark, docs, sf_dir)
+    return docs.where(nbsvm.score(model, F.col("text")) >= GOOD)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every group of near duplicates; of rows that repeat an id, one."""
+    found = neardup.near_duplicates(docs, NEAR)
+    stay = found.where("id = component").select(F.col("id").alias("__id")).distinct()
+    first = F.row_number().over(Window.partitionBy("__id").orderBy("text"))
+    kept = docs.join(stay, docs["doc_id"] == stay["__id"]).withColumn("__n", first).where("__n = 1").drop("__id", "__n")
+    return kept.unionAll(docs.where("doc_id IS NULL"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's budget begins them; the one at a budget's end stays whole."""
+    rows = docs.select(
+        F.struct("*").alias("__doc"),
+        "source",
+        mixing.word_count(F.col("text")).alias("size"),
+        mixing.random_key(F.col("doc_id"), F.col("text")).alias("key"),
+    )
+    taken = mixing.mixed(rows).where("copies > 0")
+    return taken.select("__doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__doc.*")
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its ``shard`` and ``slot``."""
+    rows = docs.select(F.struct("*").alias("__doc"), "doc_id", F.crc32(F.encode("text", "UTF-8")).alias("crc"))
+    placed = sharding.sharded(rows, ["doc_id", "crc"], SHARDS)
+    return placed.select(*[F.col("__doc")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontaminated", decontaminated),
+    ("mixed", mixed),
+    ("sharded", sharded),
+]
+#: No SQL can express the first three stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
     return docs

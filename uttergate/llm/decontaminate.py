@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .wordhash import Texts, ngrams, runs, texts, words
@@ -199,16 +199,19 @@ def leaks(df: DataFrame, items: DataFrame, row_id: str = "doc_id", text: str = "
     return out
 
 
+def _clean(block: Items, text: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def run(column: pa.Array) -> pa.Array:
+        out = np.ones(len(column), bool)
+        for i, _, t in runs(texts(column)):
+            out[[i + x[0] for x in block.leaks(t)]] = False
+        return pa.array(out)
+
+    return run(text.cast("string"))
+
+
 def without_leaks(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text holds no copy of an item, all columns as they are."""
     for block in item_blocks(df.select(F.col(text).cast("string").alias("text")), items):
-
-        @F.arrow_udf("boolean")
-        def clean(column: pa.Array, block: Items = block) -> pa.Array:
-            out = np.ones(len(column), bool)
-            for i, _, t in runs(texts(column)):
-                out[[i + x[0] for x in block.leaks(t)]] = False
-            return pa.array(out)
-
-        df = df.where(clean(F.col(text).cast("string")))
+        df = df.where(_clean(block, F.col(text)))
     return df
