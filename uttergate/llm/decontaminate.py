@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,16 +63,30 @@ class Items:
     owner: np.ndarray
     place: np.ndarray
 
+    @cached_property
+    def known(self) -> np.ndarray:
+        return np.unique(self.seeds)
+
+    @cached_property
+    def maybe(self) -> np.ndarray:
+        """Whether a seed begins with these bits: spares most n-grams a search."""
+        out = np.zeros(1 << _FILTER_BITS, bool)
+        out[self.known >> np.uint64(64 - _FILTER_BITS)] = True
+        return out
+
+    @cached_property
+    def owners(self) -> tuple[np.ndarray, np.ndarray]:
+        """Seed numbers in the order of their hashes, and where those of each distinct seed begin, with the end."""
+        order = np.argsort(self.seeds, kind="stable")
+        return order, np.append(np.searchsorted(self.seeds[order], self.known), len(order))
+
     def hits(self, t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word hashes and first words of the texts, and for each seed found: the word it starts at, and its number
         among the distinct seeds."""
         w = words(t)
-        known = np.unique(self.seeds)
-        maybe = np.zeros(1 << _FILTER_BITS, bool)
-        shift = np.uint64(64 - _FILTER_BITS)
-        maybe[known >> shift] = True
+        known = self.known
         g = ngrams(w.hashes, SEED_WORDS)
-        at = np.flatnonzero(maybe[g >> shift])
+        at = np.flatnonzero(self.maybe[g >> np.uint64(64 - _FILTER_BITS)])
         which = np.minimum(np.searchsorted(known, g[at]), max(0, len(known) - 1))
         same = known[which] == g[at] if len(known) else np.zeros(0, bool)
         at, which = at[same], which[same]
@@ -84,13 +99,11 @@ class Items:
         hashes, first, at, which = self.hits(t)
         if not len(at):
             return
-        order = np.argsort(self.seeds, kind="stable")
-        known, lead = np.unique(self.seeds[order], return_index=True)
-        ends = np.append(lead[1:], len(order))
+        order, lead = self.owners
         text = np.searchsorted(first, at, "right") - 1
         windows: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for p, k, d in zip(at.tolist(), which.tolist(), text.tolist(), strict=True):
-            for s in order[lead[k] : ends[k]].tolist():
+            for s in order[lead[k] : lead[k + 1]].tolist():
                 i = int(self.owner[s])
                 size = len(self.words[i])
                 begin = p - int(self.place[s]) - size // 2 - 4
@@ -135,7 +148,7 @@ def _rare(df: DataFrame, block: Items) -> Items:
     """The block with those seeds that few documents hold, by the measure of their item."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(np.unique(block.seeds)), np.int64)
+        total = np.zeros(len(block.known), np.int64)
         for batch in batches:
             for _, _, t in runs(texts(batch.column(0))):
                 _, first, at, which = block.hits(t)
@@ -146,14 +159,12 @@ def _rare(df: DataFrame, block: Items) -> Items:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
 
     counts = df.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
-    known = np.unique(block.seeds)
-    n = np.zeros(len(known), np.int64)
+    n = np.zeros(len(block.known), np.int64)
     n[counts.column("seed").to_numpy()] = counts.column("n").to_numpy()  # the block's seeds at most
-    mine = n[np.searchsorted(known, block.seeds)]
-    keep = np.zeros(len(mine), bool)
-    for i in range(len(block.ids)):
-        at = np.flatnonzero(block.owner == i)
-        keep[at] = mine[at] <= RARE + OFTEN * np.quantile(mine[at], 0.25)
+    mine = n[np.searchsorted(block.known, block.seeds)]
+    first = np.searchsorted(block.owner, np.arange(len(block.ids) + 1))
+    usual = [np.quantile(mine[a:b], 0.25) for a, b in zip(first[:-1], first[1:], strict=True)]
+    keep = mine <= RARE + OFTEN * np.array(usual)[block.owner]
     return Items(block.ids, block.words, block.seeds[keep], block.owner[keep], block.place[keep])
 
 
