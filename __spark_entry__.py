@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 import uuid
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_sql as _oracle  # noqa: E402
+import utterance_corpus as corpus  # noqa: E402
 from uttergate.config import GateConfig  # noqa: E402
 from uttergate.functions.labels import (  # noqa: E402
     format_duration,
@@ -32,9 +35,8 @@ from uttergate.operators.audio import (  # noqa: E402
     validate_paths,
 )
 from uttergate.operators.language import with_language_info  # noqa: E402
-from uttergate.operators.sizing import spread_small  # noqa: E402
-from uttergate.operators.split import rejected, train_ready  # noqa: E402
-from uttergate.plans import corpus, report  # noqa: E402
+from uttergate.operators.split import expanded, fields, rejected, train_ready  # noqa: E402
+from uttergate.plans import report  # noqa: E402
 from uttergate.plans.pipeline import run_gate  # noqa: E402
 from uttergate.plans.verdict import verdict  # noqa: E402
 from uttergate.sources.files import content_hash  # noqa: E402
@@ -47,9 +49,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a local one only where none is named."""
+    """A new folder below the cluster's shared one; in a local session without one, a folder until Python ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/run-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    return f"{shared}/run-{uuid.uuid4().hex}"
 
 
 def _safe(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,7 +123,7 @@ def _metric_columns() -> list[Column]:
 
 def normalize_conversations(spark: SparkSession, sf: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
-    turns = spread_small(turns, "conv_id", "turn").withColumn("lang", F.lit("en"))
+    turns = corpus.spread_small(turns, "conv_id", "turn").withColumn("lang", F.lit("en"))
     out = with_normalized_text(turns, "text", "lang", out="norm")
     return with_text_metrics(out, "norm", out="m", single_spaced=True).select(
         "conv_id", "turn", F.col("norm").alias("transcription_normalized"), *_metric_columns()
@@ -130,7 +137,7 @@ def text_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def text_metrics_raw(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    return with_text_metrics(spread_small(docs, "doc_id"), "text", out="m").select(
+    return with_text_metrics(corpus.spread_small(docs, "doc_id"), "text", out="m").select(
         "doc_id", *_metric_columns()
     )
 
@@ -157,7 +164,7 @@ def script_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def latin_consistency_query(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
-    checked = spread_small(docs, "doc_id").withColumn(
+    checked = corpus.spread_small(docs, "doc_id").withColumn(
         "c", latin_consistency(F.col("text"), F.col("lang"))
     )
     return checked.select("doc_id", "c.consistent", "c.confidence")
@@ -198,10 +205,12 @@ def quality_flag_gate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+UNASSUMED = GateConfig(assume_exists_prefix=None)
+
+
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
     paths = corpus.utterances(spark, sf).select("audio_path").where("audio_path IS NOT NULL")
-    config = GateConfig(assume_exists_prefix=None)
-    return validate_paths(paths, corpus.audio_properties(spark, sf), config)
+    return validate_paths(paths, corpus.audio_properties(spark, sf), UNASSUMED)
 
 
 def audio_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,7 +229,8 @@ def audio_batch_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audio_batch_details(spark: SparkSession, sf: str) -> DataFrame:
-    return batch_details(_validated(spark, sf)).select(
+    paths = corpus.utterances(spark, sf).where("audio_path IS NOT NULL")
+    return batch_details(paths, corpus.audio_properties(spark, sf), UNASSUMED).select(
         "audio_path", "exists", "is_valid", F.concat_ws(",", "issues").alias("issues")
     )
 
@@ -232,7 +242,7 @@ def language_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def verdict_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _verdict(spark, sf).select(
+    return expanded(_verdict(spark, sf)).select(
         "row_n",
         "is_valid",
         _joined(F.col("reasons")).alias("reason"),
@@ -268,7 +278,7 @@ def run_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audio_counters_query(spark: SparkSession, sf: str) -> DataFrame:
-    return audio_counters(_verdict(spark, sf))
+    return audio_counters(fields(_verdict(spark, sf)))
 
 
 def completeness(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,9 +306,7 @@ def stats_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stats_document(spark: SparkSession, sf: str) -> DataFrame:
-    folder = f"{_shared_folder(spark)}/verdict"
-    _verdict(spark, sf).write.parquet(folder)  # the document reads the verdict twice
-    doc = report.stats_document(spark.read.parquet(folder))
+    doc = report.stats_document(_verdict(spark, sf))
 
     def listed(name: str) -> Column:
         pairs = F.array_sort(F.map_entries(name))
@@ -306,8 +314,8 @@ def stats_document(spark: SparkSession, sf: str) -> DataFrame:
         return F.concat_ws("|", text)
 
     return doc.select(
-        "config.min_duration",
-        "config.max_duration",
+        "config.audio_validation.min_duration",
+        "config.audio_validation.max_duration",
         "processing_stats.total_processed",
         "processing_stats.valid_samples",
         "processing_stats.rejected_samples",
@@ -318,6 +326,8 @@ def stats_document(spark: SparkSession, sf: str) -> DataFrame:
         "component_stats.audio_validation.missing_files",
         listed("processing_stats.rejection_reasons").alias("rejection_reasons"),
         listed("rejection_reason_analysis").alias("rejection_reason_analysis"),
+        F.col("other_messages.rejection_reasons").alias("other_reasons"),
+        F.col("other_messages.rejection_reason_analysis").alias("other_parts"),
     )
 
 
@@ -346,7 +356,7 @@ def content_hash_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mode(config: GateConfig) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return _verdict(spark, sf, config).select(
+        return expanded(_verdict(spark, sf, config)).select(
             "row_n", "is_valid", _joined(F.col("reasons")).alias("reason")
         )
 
@@ -392,6 +402,13 @@ def _llm() -> tuple[dict[str, Query], dict[str, str]]:
     return {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}, sql
 
 
+def regate(spark: SparkSession, sf: str) -> DataFrame:
+    """The accepted rows of a gate, gated again with the columns that the first one added."""
+    again = train_ready(_verdict(spark, sf)).withColumn("audio", F.lit("an input of this name"))
+    judged = verdict(again, GateConfig(), corpus.audio_properties(spark, sf))
+    return judged.select("row_n", _joined(F.col("gate_verdict.reasons")).alias("reason"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Rejection reason histogram of the full gate."""
     return reason_histogram(spark, SMOKE_DIR)
@@ -434,11 +451,16 @@ def queries() -> dict[str, Query]:
         "mode_normalize_only": _mode(GateConfig().normalize_only()),
         "mode_skip_mismatch": _mode(GateConfig().skip_language_mismatch()),
         "mode_skip_audio": _mode(GateConfig().skip_audio()),
+        "mode_toggles": _mode(
+            GateConfig(apply_unicode_nfc=False, remove_diacritics=False, expand_numbers=False)
+        ),
+        "mode_sample_rate": _mode(GateConfig(min_sample_rate=16001, max_sample_rate=100_000)),
         "mode_thresholds": _mode(
             GateConfig(min_duration=2.0, max_duration=8.0, min_text_quality_score=0.6)
         ),
         "csv_round_trip": csv_round_trip,
         "gate_run": gate_run,
+        "regate": regate,
         **_llm()[0],
     }
 

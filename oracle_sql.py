@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from uttergate.plans.corpus import AUDIO_PROPERTIES_SQL, UTTERANCES_SQL
+from utterance_corpus import AUDIO_PROPERTIES_SQL, UTTERANCES_SQL
 
 SP = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}"
 )
 W = r"\p{L}\p{N}_"
+# Digit words, languages and codes, script names.
 DIGITS = ["शून्य", "एक", "दो", "तीन", "चार", "पांच", "छह", "सात", "आठ", "नौ"]
 LANGUAGES = (
     "('hi','Hindi','Devanagari'),('bn','Bengali','Bengali'),('te','Telugu','Telugu'),"
@@ -26,6 +27,12 @@ SCRIPTS = [
     ("CYRILLIC", "Cyrillic"),
     ("GREEK", "Greek"),
     ("CJK", "Han"),
+    ("TELUGU", "Telugu"),
+    ("TAMIL", "Tamil"),
+    ("MALAYALAM", "Malayalam"),
+    ("KANNADA", "Kannada"),
+    ("GUJARATI", "Gujarati"),
+    ("ORIYA", "Oriya"),
 ]
 
 
@@ -305,18 +312,23 @@ def _report() -> str:
         sounds AS ({AUDIO_COUNTERS}) {' UNION ALL '.join(parts)}"""
 
 
+NAMED = (
+    "(missing_[a-z_]+|empty_transcription|unsupported_language|audio_(file|sample|duration|signal|too|not)_[a-z_]+"
+    "|duration_too_[a-z]+|invalid_duration_format|language_path_mismatch|low_text_quality|too_few_words"
+    "|too_many_repeated_words|script_mismatch_[A-Za-z_-]+|negative_quality_flag)"
+)
+
+
 def _document() -> str:
-    listed = "(SELECT string_agg(reason || '=' || n, '|' ORDER BY reason) FROM ({}))"
-    fold = """SELECT reason, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN
-        starts_with(reason, 'audio_validation_error: ') THEN 'audio_validation_error'
-        ELSE reason END AS reason, n FROM ({})) GROUP BY reason"""
+    listed = f"(SELECT string_agg(reason || '=' || n, '|' ORDER BY reason) FROM ({{}}) WHERE regexp_full_match(reason, '{NAMED}'))"
+    other = f"(SELECT coalesce(sum(n), 0)::BIGINT FROM ({{}}) WHERE NOT regexp_full_match(reason, '{NAMED}'))"
     return f"""{verdict()}, totals AS ({TOTALS}), texts AS (SELECT {COUNTERS} FROM v),
         sounds AS ({AUDIO_COUNTERS})
         SELECT 0.5::DOUBLE AS min_duration, 15.0::DOUBLE AS max_duration,
             t.total_processed, t.valid_samples, t.rejected_samples, t.valid_ratio,
             x.total_processed AS texts_processed, x.numbers_expanded, s.total_validated, s.missing_files,
-            {listed.format(fold.format(HISTOGRAM))} AS rejection_reasons,
-            {listed.format(fold.format(ANALYSIS))} AS rejection_reason_analysis
+            {listed.format(HISTOGRAM)} AS rejection_reasons, {other.format(HISTOGRAM)} AS other_reasons,
+            {listed.format(ANALYSIS)} AS rejection_reason_analysis, {other.format(ANALYSIS)} AS other_parts
         FROM totals t, texts x, sounds s"""
 
 
@@ -328,6 +340,15 @@ v AS (SELECT p.path AS audio_path, a.audio_path IS NOT NULL AS "exists",
     FROM p LEFT JOIN a ON p.path = a.audio_path)"""
 
 
+def _toggled(sql: str) -> str:
+    """Without composition, mark stripping and digit words."""
+    for step, at in (("nfc_normalize(s0)", "s0"), (sub("s1", chr(92) + "p{Mn}", ""), "s1"), (f"CASE WHEN lang = 'hi' THEN {_digits('s2')} ELSE s2 END", "s2")):
+        if step not in sql:
+            raise ValueError(step)
+        sql = sql.replace(step, at)
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
     n = f"WITH {BASE}, {normalize('b')}"
     m = f"{n}, {metrics('n6')}"
@@ -416,6 +437,9 @@ def oracle_sql() -> dict[str, str]:
         "mode_normalize_only": verdict(score="0.0", words=0, repeated="1.0") + REASON_ROWS,
         "mode_skip_mismatch": verdict(mismatch=False) + REASON_ROWS,
         "mode_skip_audio": verdict(audio=False) + REASON_ROWS,
+        "regate": v + " SELECT row_n, '' AS reason FROM v WHERE is_valid",
+        "mode_toggles": _toggled(verdict()) + REASON_ROWS,
+        "mode_sample_rate": verdict().replace("< 8000", "< 16001").replace("> 48000", "> 100000") + REASON_ROWS,
         "mode_thresholds": verdict(low="2.0", high="8.0", score="0.6") + REASON_ROWS,
         "csv_round_trip": f"""WITH {BASE} SELECT row_n, utterance_id, audio_path,
             nullif(language, '') AS language, nullif(transcription_raw, '') AS transcription_raw,

@@ -3,6 +3,7 @@
 import unicodedata
 from collections import Counter
 
+# Digit words, punctuation, scripts.
 WORDS = dict(zip("0123456789", "शून्य एक दो तीन चार पांच छह सात आठ नौ".split(" ")))
 FOLDED = {"।": ".", "॥": ".", "‘": "'", "’": "'", "‛": "'", "“": '"', "”": '"', "„": '"'}
 FOLDED |= {"–": "-", "—": "-", "…": "..."}

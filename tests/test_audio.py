@@ -82,7 +82,7 @@ def test_property_rules_and_counters(spark, properties):
     summary = batch_summary(strict).first()
     assert summary.total_files == total
     assert summary.valid_files + summary.invalid_files == total
-    details = batch_details(strict)
+    details = batch_details(paths, properties, GateConfig(assume_exists_prefix=None))
     assert details.count() == total - 1  # /f0 is listed twice
     assert details.where("audio_path = 's3://assumed'").first().issues == ["file_not_found"]
 
@@ -94,7 +94,7 @@ def test_without_a_table(spark):
 
 
 def salted(spark, monkeypatch):
-    monkeypatch.setattr(lookup, "SKEW_BYTES", -1)
+    monkeypatch.setattr(lookup, "TARGET_ROWS", 1000)
     for key, value in (
         ("spark.sql.autoBroadcastJoinThreshold", "-1"),
         ("spark.sql.adaptive.enabled", "false"),
@@ -124,16 +124,16 @@ def test_hot_and_missing_keys_are_spread(spark, monkeypatch, plain_conf):
     hot = spark.range(500).select(F.lit("/hot").alias("path"), (F.col("id") + 7).alias("v"))
     right = right.unionAll(hot)
 
-    def joined(salt):
+    def joined(split):
         return lookup.lookup_join(
-            left, right, "path", F.lit(True), ["k"], ["v"], "found", salt=salt
+            left, right, "path", F.lit(True), ["k"], ["v"], "found", split_hot=split
         )
 
-    want = {r.k: r.found.v if r.found else None for r in joined(0).collect()}
+    want = {r.k: r.found.v if r.found else None for r in joined(False).collect()}
     salted(spark, monkeypatch)
-    df = joined(16)
-    buckets = lookup.hot_buckets(left, F.col("path"))
-    assert 1 <= buckets.count() < lookup.HOT_SHARE
+    df = joined(True)
+    buckets = lookup.hot_buckets(left, F.col("path")).collect()
+    assert [r._ug_parts for r in buckets] == [10]
     rows = df.collect()
     assert len(rows) == n
     assert {r.k: r.found.v if r.found else None for r in rows} == want
@@ -144,9 +144,25 @@ def test_hot_and_missing_keys_are_spread(spark, monkeypatch, plain_conf):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("share", [2, 700])
+def test_parts_follow_the_rows_of_a_key(spark, monkeypatch, plain_conf, share):
+    """A key with half of all rows, and one below any share that would stand out, both in bounded parts."""
+    salted(spark, monkeypatch)
+    n, target = 140_000, 100
+    left = spark.range(n).select(F.col("id").alias("k"), F.when(F.col("id") % share == 0, "/hot").otherwise(F.concat(F.lit("/p"), F.col("id"))).alias("path"))
+    parts = lookup.hot_buckets(left, F.col("path"), target).collect()
+    assert [r._ug_parts for r in parts] == [-(-(n // share) // target)] or parts[0]._ug_parts == n // share // target + 1  # another key may share its bucket
+    right = spark.createDataFrame([("/hot", 5)], "path string, v int")
+    df = lookup.lookup_join(left, right, "path", F.lit(True), ["k"], ["v"], "found", target_rows=target)
+    hot = df.where("path = '/hot'")
+    assert hot.where("found.v = 5").count() == n // share
+    sizes = [r[0] for r in hot.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 2 * n // share // len(sizes) + 3 * target
+
+
 def test_verdict_is_the_same_with_salting(spark, monkeypatch, plain_conf):
     from uttergate import verdict
-    from uttergate.plans import corpus
+    import utterance_corpus as corpus
 
     sf = "/root/testdata/sf0.001"
 
@@ -154,7 +170,8 @@ def test_verdict_is_the_same_with_salting(spark, monkeypatch, plain_conf):
         df = verdict(
             corpus.utterances(spark, sf), GateConfig(), corpus.audio_properties(spark, sf)
         )
-        return sorted((r.row_n, tuple(r.reasons)) for r in df.select("row_n", "reasons").collect())
+        rows = df.select("row_n", "gate_verdict.reasons").collect()
+        return sorted((r.row_n, tuple(r.reasons)) for r in rows)
 
     want = reasons()
     salted(spark, monkeypatch)
@@ -180,7 +197,7 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path, plain_conf):
             ["audio_path"],
             ["v"],
             "found",
-            salt=0,
+            split_hot=False,
             unique=True,
         )
         assert df.where("found.v = v").count() == 100

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from uttergate import GateConfig, rejected, run_gate, train_ready, verdict
 from uttergate.functions.labels import fixed_point, format_duration, path_language, safe_name
 from uttergate.operators import gates
+from uttergate.operators.split import VERDICT, expanded
 from uttergate.plans import report
 from uttergate.schema import UTTERANCE_SCHEMA
 
@@ -117,7 +118,7 @@ def judged(table):
 
 
 def test_reasons_and_their_order(judged):
-    for r in judged.collect():
+    for r in expanded(judged).collect():
         assert r.reasons == ROWS[r.i][1], ROWS[r.i]
         assert r.is_valid == (not ROWS[r.i][1])
 
@@ -153,8 +154,9 @@ def test_reports(judged):
     assert [(r.reason, r.n) for r in top] == ranked
     doc = report.stats_document(judged).first()
     assert doc.processing_stats.rejection_reasons == histogram
-    assert doc.rejection_reason_analysis == analysis
-    assert doc.config.max_duration == 15.0
+    assert doc.rejection_reason_analysis == histogram
+    assert tuple(doc.other_messages) == (0, 2)
+    assert doc.config.audio_validation.max_duration == 15.0
     rows = {(r.category, r.key): r.value for r in report.stats_report(judged).collect()}
     assert rows["PROCESSING_STATS", "valid_ratio"] == f"{valid / len(counted):.2f}"
 
@@ -174,7 +176,7 @@ def test_published_sample_rows(spark):
         ("utt_0005", "s3://x/raw/pa/utt_0005.wav", "kn", "namaste se namaste naam ho", "4.98", 0.0),
     ]
     df = spark.createDataFrame(rows, list(GOOD)).coalesce(1)
-    got = {r.utterance_id: r.reasons for r in verdict(df).collect()}
+    got = {r.utterance_id: r.reasons for r in expanded(verdict(df)).collect()}
     assert got == {
         "utt_0001": ["language_path_mismatch", "negative_quality_flag"],
         "utt_0002": ["language_path_mismatch"],
@@ -183,13 +185,12 @@ def test_published_sample_rows(spark):
         "utt_0005": ["language_path_mismatch"],
     }
     strict = verdict(df, GateConfig(min_duration=2.0, max_duration=8.0))
-    assert {r.utterance_id: r.reasons for r in strict.collect()}["utt_0004"] == [
+    assert {r.utterance_id: r.reasons for r in expanded(strict).collect()}["utt_0004"] == [
         "duration_too_short"
     ]
     # accepted text is a fixed point of the gate
-    again = train_ready(verdict(df)).drop("text_quality_score")
-    again = again.withColumn("transcription_raw", F.col("transcription_normalized"))
-    assert verdict(again.drop("transcription_normalized")).where("NOT is_valid").count() == 0
+    again = train_ready(verdict(df)).withColumn("transcription_raw", F.col("transcription_normalized"))
+    assert expanded(verdict(again)).where("NOT is_valid").count() == 0
 
 
 def test_typed_and_missing_columns(spark):
@@ -198,21 +199,21 @@ def test_typed_and_missing_columns(spark):
         "utterance_id string, audio_path string, language string, transcription_raw string, "
         "duration_sec double, quality_flag int",
     )
-    got = {r.utterance_id: r.reasons for r in verdict(base).collect()}
+    got = {r.utterance_id: r.reasons for r in expanded(verdict(base)).collect()}
     assert got == {"u": ["duration_too_short", "negative_quality_flag"], "v": []}
     texts = base.withColumn("quality_flag", F.lit(" -1 "))
-    assert verdict(texts).where("utterance_id = 'v'").first().reasons == ["negative_quality_flag"]
+    assert expanded(verdict(texts)).where("utterance_id = 'v'").first().reasons == ["negative_quality_flag"]
     flags = spark.createDataFrame([("-1.0",), ("x",), ("-0",), ("-1_0",)], "f string")
     reasons = flags.select(gates.flag_reason(F.col("f"), T.StringType())).collect()
     assert [r[0] for r in reasons] == [None, None, None, "negative_quality_flag"]
-    assert verdict(base.drop("quality_flag")).where("is_valid").count() == 1
+    assert expanded(verdict(base.drop("quality_flag"))).where("is_valid").count() == 1
     with pytest.raises(ValueError, match="language"):
         verdict(base.drop("language"))
 
 
 def test_modes(table, judged):
     def reasons(config):
-        return {r.i: r.reasons for r in verdict(table, config).select("i", "reasons").collect()}
+        return {r.i: r.reasons for r in expanded(verdict(table, config)).select("i", "reasons").collect()}
 
     default = {i: r for i, (_, r) in enumerate(ROWS)}
     text = {"low_text_quality", "too_few_words", "too_many_repeated_words"}
@@ -231,6 +232,13 @@ def test_config_checks():
         dict(max_duration=-1.0),
         dict(min_duration=5.0, max_duration=5.0),
         dict(min_text_quality_score=1.5),
+        dict(max_repeated_word_ratio=-0.1),
+        dict(min_word_count=-1),
+        dict(audio_min_duration=9.0, audio_max_duration=3.0),
+        dict(min_sample_rate=9000, max_sample_rate=8000),
+        dict(min_duration=float("nan")),
+        dict(train_ready_name="x", rejected_name="X"),
+        dict(rejected_name="verdict"),
     ):
         with pytest.raises(ValueError):
             GateConfig(**bad)
@@ -256,11 +264,44 @@ def test_run_gate_writes_everything(spark, table, tmp_path):
     assert set(quiet) == {"verdict", "train_ready", "rejected"}
 
 
+def test_input_columns_survive(spark, table):
+    """Names of the verdict's fields, of sinks' columns, with dots, and a verdict of an earlier gate."""
+    odd = table.withColumns({c: F.concat(F.lit("in "), F.lit(c)) for c in ("audio", "script", "is_valid", "reasons", "reason", "transcription_normalized", "a.b")})
+    judged = verdict(odd)
+    accepted, refused = train_ready(judged), rejected(judged)
+    assert set(accepted.columns) == {*odd.columns, "text_quality_score"}
+    assert set(refused.columns) == {*odd.columns, "original_transcription"}
+    for r in accepted.collect():
+        assert (r["audio"], r["script"], r["is_valid"], r["reasons"], r["a.b"]) == ("in audio", "in script", "in is_valid", "in reasons", "in a.b")
+        assert r["transcription_normalized"] != "in transcription_normalized"
+    assert {r["reason"] for r in refused.collect()} == {"; ".join(x) for _, x in ROWS if x}
+    again = verdict(judged.drop("is_valid"))
+    assert again.columns.count(VERDICT) == 1
+    assert {r.i: r[VERDICT].reasons for r in again.collect()} == {i: x for i, (_, x) in enumerate(ROWS)}
+
+
+def test_missing_numbers_are_missing(spark):
+    df = spark.createDataFrame([(float("nan"), "s3://c/x.wav", "en", "one two three", "1")], list(GOOD)[:5])
+    assert verdict(df).first()[VERDICT].reasons == ["missing_utterance_id"]
+
+
+def test_statistics_are_bounded_and_tables_whole(spark):
+    rows = [dict(GOOD, utterance_id=f"u{i}", audio_path=f"/d/raw/hi/{i}.wav") for i in range(50)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], list(GOOD))
+    props = spark.createDataFrame([(f"/d/raw/hi/{i}.wav", f"bad header; offset {i}") for i in range(50)], "audio_path string, error string")
+    judged = verdict(df, audio_properties=props)
+    doc = report.stats_document(judged).first()
+    assert doc.processing_stats.rejection_reasons == {} and doc.rejection_reason_analysis == {}
+    assert tuple(doc.other_messages) == (50, 100)
+    assert report.reason_histogram(judged).count() == 50
+    assert report.reason_analysis(rejected(judged)).count() == 51
+
+
 def test_labels(spark):
     values = [0.0, -0.0, 0.05, 0.15, 0.25, 0.35, 0.45, 2.5, 0.125, 0.375, 2.675, 1.005, 1e-9, -0.3]
     values += [59.94, 59.95, 59.96, 60.0, 3599.9, 3600.0, 5400.0, 1e9, 123456.785, -2.25]
     values += [k / 16 for k in range(1, 200, 7)] + [k / 7 for k in range(1, 300, 11)]
-    values += [float("inf"), float("-inf"), float("nan")]
+    values += [float("inf"), float("-inf"), float("nan"), 1e16, -1e20, 2.0**52, 2.0**53 + 2]
     df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
     got = df.select(
         fixed_point(F.col("v"), 1).alias("one"),
@@ -272,6 +313,8 @@ def test_labels(spark):
         short, middle = v < 60, v < 3600
         want = f"{v:.1f}s" if short else f"{v / 60:.1f}m" if middle else f"{v / 3600:.1f}h"
         assert r.label == want, v
+    huge = spark.createDataFrame([(1e300,), (-1e40,)], "v double").select(format_duration(F.col("v"))).collect()
+    assert all(r[0].endswith("E296h") or r[0].startswith("-1.0E40") for r in huge)
     paths = {
         "s3://b/raw/hi/x.wav": "hi",
         "raw/bn": "bn",

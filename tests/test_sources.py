@@ -3,7 +3,6 @@ import pytest
 from uttergate import column_contract, scan_csv, verdict
 from uttergate.plans.report import completeness
 from uttergate.sources.sinks import write_table
-from uttergate.sources.utterances import _quote_parity
 from uttergate.streaming.incremental import gate_new_files
 
 HEADER = "﻿utterance_id,audio_path,language,transcription_raw,duration_sec,quality_flag,mood\n"
@@ -17,18 +16,17 @@ BODY = (
 def test_csv_scan(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text(HEADER + BODY, encoding="utf-8")
-    for multi_line in (None, True):
-        df = scan_csv(spark, str(path), multi_line)
-        assert df.columns == HEADER.strip().lstrip("﻿").split(",")
-        rows = {r.utterance_id: r for r in df.collect()}
-        assert set(rows) == {"u1", "u2", "u3"}
-        assert rows["u1"].transcription_raw == 'line one\nsays "two"'
-        assert rows["u1"].quality_flag == -1.0 and rows["u1"].mood == "calm"
-        assert rows["u2"].audio_path is None and rows["u2"].transcription_raw is None
-        assert rows["u2"].duration_sec == "abc" and rows["u2"].quality_flag is None
-        assert rows["u3"].language is None and rows["u3"].duration_sec is None
-        assert rows["u3"].transcription_raw == "  kept, spaces  " and rows["u3"].mood is None
-    reasons = {r.utterance_id: r.reasons for r in verdict(df).collect()}
+    df = scan_csv(spark, str(path))
+    assert df.columns == HEADER.strip().lstrip("﻿").split(",")
+    rows = {r.utterance_id: r for r in df.collect()}
+    assert set(rows) == {"u1", "u2", "u3"}
+    assert rows["u1"].transcription_raw == 'line one\nsays "two"'
+    assert rows["u1"].quality_flag == -1.0 and rows["u1"].mood == "calm"
+    assert rows["u2"].audio_path is None and rows["u2"].transcription_raw is None
+    assert rows["u2"].duration_sec == "abc" and rows["u2"].quality_flag is None
+    assert rows["u3"].language is None and rows["u3"].duration_sec is None
+    assert rows["u3"].transcription_raw == "  kept, spaces  " and rows["u3"].mood is None
+    reasons = {r.utterance_id: r.reasons for r in verdict(df).select("utterance_id", "gate_verdict.reasons").collect()}
     assert reasons["u1"] == ["negative_quality_flag"]
     assert reasons["u2"] == [
         "missing_audio_path",
@@ -37,16 +35,6 @@ def test_csv_scan(spark, tmp_path):
     ]
 
 
-def test_only_files_with_spanning_records_are_read_whole(spark, tmp_path):
-    (tmp_path / "flat.csv").write_text(HEADER + 'u4,p,hi,"a ""b"" c",1,0,\n', encoding="utf-8")
-    (tmp_path / "spanning.csv").write_text(HEADER + BODY, encoding="utf-8")
-    odd = {r.file.rsplit("/", 1)[1]: r.odd for r in _quote_parity(spark, str(tmp_path)).collect()}
-    assert odd == {"flat.csv": False, "spanning.csv": True}
-    rows = {r.utterance_id: r for r in scan_csv(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"u1", "u2", "u3", "u4"}
-    assert rows["u4"].transcription_raw == 'a "b" c'
-
-
 def test_files_must_agree_on_the_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("utterance_id,language\nu1,hi\n")
     (tmp_path / "b.csv").write_text("language,utterance_id\nhi,u2\n")
@@ -94,15 +82,28 @@ def test_new_files_are_gated_once(spark, tmp_path):
         df.write.mode("append").parquet(str(tmp_path / "in"))
         return df.schema
 
-    def run(schema):
+    def run(schema, checkpoint="cp"):
         gate_new_files(
-            spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), checkpoint=str(tmp_path / "cp")
+            spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), checkpoint=str(tmp_path / checkpoint)
         ).awaitTermination(120)
         out = spark.read.parquet(str(tmp_path / "out"))
-        return sorted((r.utterance_id, r.is_valid) for r in out.collect())
+        return sorted((r.utterance_id, r.gate_verdict.is_valid) for r in out.collect())
 
     schema = arrive(1)
     assert run(schema) == [("u1", True)]
     arrive(2)
     assert run(schema) == [("u1", True), ("u2", True)]
     assert run(schema) == [("u1", True), ("u2", True)]
+    # with a new checkpoint batches count from 0 again
+    assert run(schema, "new") == [("u1", True)] * 2 + [("u2", True)] * 2
+
+
+def test_quoted_line_breaks_in_odd_folders(spark, tmp_path):
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    (folder / "one.csv").write_text('utterance_id,language,transcription_raw\nu"1,hi,"one\ntwo"\nu2,hi,three\n')
+    (folder / "two.csv").write_text("utterance_id,language,transcription_raw\nu3,hi,four\n")
+    got = scan_csv(spark, str(tmp_path / "a b")).collect()
+    assert {(r.utterance_id, r.transcription_raw) for r in got} == {('u"1', "one\ntwo"), ("u2", "three"), ("u3", "four")}
+    lines = scan_csv(spark, str(tmp_path / "a b" / "two.csv"), multi_line=False).collect()
+    assert [r.utterance_id for r in lines] == ["u3"]

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from uttergate.operators.sizing import spread_small
+from uttergate.operators.sizing import estimated_bytes
+
+# Below this much input per core, one small file would leave most cores idle.
+SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
 
 # Planted texts by fault number; {body} stands for the whole text of the document.
 FAULTS = [
@@ -29,6 +32,12 @@ FAULTS = [
     "'قَالَ نَعَم ثُمَّ ذَهَبَ'",
     "'ਸਤ ਸ੍ਰੀ ਅਕਾਲ ਜੀ'",
     "'ok ok ok ok'",
+    "repeat('తెలుగు భాష బాగుంది ', 60) || '.'",
+    "repeat('தமிழ் மொழி நன்று ', 60) || '.'",
+    "repeat('മലയാളം ഭാഷ നല്ലത് ', 60) || '.'",
+    "repeat('ಕನ್ನಡ ಭಾಷೆ ಚೆನ್ನಾಗಿದೆ ', 60) || '.'",
+    "repeat('ગુજરાતી ભાષા સારી છે ', 60) || '.'",
+    "repeat('क़िताब कো தொ ', 20) || 'ଏ'",
 ]
 
 _LANGUAGE = " ".join(
@@ -51,7 +60,7 @@ SELECT row_n,
        CASE fault {_TEXT} ELSE body END AS transcription_raw,
        CASE row_n % 19
             WHEN 0 THEN '0' WHEN 1 THEN NULL WHEN 2 THEN 'abc' WHEN 3 THEN '0.2'
-            WHEN 4 THEN '20.5' WHEN 5 THEN 'NaN'
+            WHEN 4 THEN '20.5' WHEN 5 THEN 'NaN' WHEN 6 THEN '1e17'
             ELSE CAST((row_n * 37) % 14 + 1 AS STRING) || '.' || CAST(row_n % 10 AS STRING)
        END AS duration_sec,
        CASE WHEN row_n % 101 = 0 THEN CAST('Infinity' AS DOUBLE)
@@ -67,7 +76,7 @@ FROM (
         SELECT 4 * doc_id AS row_n, -1 AS fault, text AS body, source AS collection_source
         FROM {{documents}}
         UNION ALL
-        SELECT 4 * doc_id + 1, doc_id % 16, text, source FROM {{documents}}
+        SELECT 4 * doc_id + 1, doc_id % {len(FAULTS)}, text, source FROM {{documents}}
         UNION ALL
         SELECT 4 * (1000 * conv_id + turn) + 2, -1, text, role FROM {{conversations}}
     ) AS numbered
@@ -87,12 +96,28 @@ SELECT audio_path,
        CAST(0.8 AS DOUBLE) AS amplitude_max,
        CASE WHEN row_n % 43 = 0 THEN CAST(0.9 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END AS silence_ratio,
        CAST(20 AS DOUBLE) AS snr_estimate,
-       CASE WHEN row_n % 61 = 0 THEN 'bad header' ELSE NULL END AS error
+       CASE WHEN row_n % 122 = 0 THEN 'bad header; offset ' || CAST(row_n AS STRING)
+            WHEN row_n % 61 = 0 THEN 'bad header' ELSE NULL END AS error
 FROM {utterances}
 WHERE audio_path NOT LIKE '%/misc/%'
 """
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a small input over the cores; leave a large one alone.
+
+    A parquet file with one row group is one task however many cores there are. The shuffle
+    is bounded: it happens only while the input is below ``SPREAD_BYTES_PER_CORE`` per core.
+    """
+    size = estimated_bytes(df)
+    if size is None:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size > cores * SPREAD_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "conversations")}
 

@@ -129,22 +129,61 @@ def script_classes() -> dict[str, str]:
     }
 
 
+def _composites() -> dict[int, set[int]]:
+    """First code points by second, of the pairs that canonical composition joins."""
+    pairs: dict[int, set[int]] = {}
+    for cp in range(sys.maxunicode + 1):
+        parts = unicodedata.decomposition(chr(cp)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            first, second = (int(p, 16) for p in parts)
+            if unicodedata.normalize("NFC", chr(first) + chr(second)) == chr(cp):
+                pairs.setdefault(second, set()).add(first)
+    for second in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)):  # vowels, finals
+        leads = range(0x1100, 0x1113) if second < 0x1176 else range(0xAC00, 0xD7A4, 28)
+        pairs[second] = set(leads)
+    return pairs
+
+
 @lru_cache(maxsize=1)
-def composition_sensitive() -> str:
-    """Class body covering every code point whose presence can make a text differ from its NFC.
+def composition_needed() -> tuple[str, str]:
+    """Two patterns; a text that differs from its NFC matches both.
 
-    These are the code points that change under NFC on their own, the nonstarters, and the
-    second halves of canonical compositions (conjoining Hangul vowels and finals included).
-    Small gaps are bridged: the class may hold more, never less.
+    The first, a class body, is cheap: code points that change on their own, marks that reorder, and second halves
+    of compositions. The second finds the places: a code point that changes on its own, two adjacent marks, a second
+    half right behind one of its first halves, or a mark behind a letter that holds a higher one. Vowel signs and viramas of composed text match the first at
+    most. Second halves with the same first halves share an alternative.
     """
-    flagged = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
-    for cp in range(sys.maxunicode + 1):
+    own, marks = [], []
+    for cp in range(0x300, sys.maxunicode + 1):
         if 0xD800 <= cp <= 0xDFFF:
             continue
         ch = chr(cp)
-        if unicodedata.combining(ch) or unicodedata.normalize("NFC", ch) != ch:
-            flagged.add(cp)
-        parts = unicodedata.decomposition(ch).split()
-        if len(parts) == 2 and not parts[0].startswith("<"):
-            flagged.add(int(parts[1], 16))
-    return _above(0x300, class_body(_runs(sorted(flagged), bridge=128)))
+        if unicodedata.normalize("NFC", ch) != ch:
+            own.append(cp)
+        elif unicodedata.combining(ch):
+            marks.append(cp)
+    pairs = _composites()
+    # A mark also moves before a higher mark that its letter holds already.
+    top = {}
+    for cp in range(0xC0, 0xAC00):
+        last = unicodedata.combining(unicodedata.normalize("NFD", chr(cp))[-1])
+        if last and not unicodedata.combining(chr(cp)):
+            top[cp] = last
+    for mark in marks:
+        higher = {cp for cp, last in top.items() if last > unicodedata.combining(chr(mark))}
+        if higher:
+            pairs[mark] = pairs.get(mark, set()) | higher
+    together: dict[tuple[int, ...], list[int]] = {}
+    for second, firsts in pairs.items():
+        together.setdefault(tuple(sorted(firsts)), []).append(second)
+    plain, wide = [], []
+    for firsts, seconds in together.items():
+        pair = f"[{class_body(_runs(list(firsts)))}][{class_body(_runs(sorted(seconds)))}]"
+        (wide if max(*firsts, *seconds) > 0xFFFF else plain).append(pair)
+    # The engine looks behind by UTF-16 units, so pairs beyond them are looked for ahead.
+    seconds = class_body(_runs(sorted(s for s in pairs if s <= 0xFFFF)))
+    either = class_body(_runs(sorted({*own, *marks, *pairs})))
+    mark = f"[{class_body(_runs(marks))}]"
+    behind = f"[{seconds}](?<=(?:{'|'.join(plain)}))"
+    found = "|".join([f"[{class_body(_runs(own))}]", mark + mark, behind, *wide])
+    return _above(0x300, either), found

@@ -32,12 +32,15 @@ def fixed_point(value: Column, digits: int) -> Column:
 
     ``format_number`` and ``format_string`` round half up on the shortest decimal text instead.
     The rounding error of ``value * 10**digits`` is recovered exactly by splitting the factor,
-    which holds for one or two digits and scaled magnitudes below 2**52.
+    which holds for one or two digits and scaled magnitudes below 2**52. Larger values are whole numbers and get
+    the digits of their shortest decimal text; beyond 37 digits, that text itself.
     """
     if digits not in (1, 2):
         raise ValueError("one or two digits")
     factor = float(10**digits)
-    x = F.abs(value)
+    large = F.abs(value) * F.lit(factor) >= float(2**52)
+    whole = F.concat(value.try_cast("decimal(38,0)").cast("string"), F.lit("." + "0" * digits))
+    x = F.when(~large, F.abs(value))
     c = x * F.lit(134217729.0)
     high = c - (c - x)
     low = x - high
@@ -64,6 +67,7 @@ def fixed_point(value: Column, digits: int) -> Column:
         F.when(F.isnan(value), "nan")
         .when(value == float("inf"), "inf")
         .when(value == float("-inf"), "-inf")
+        .when(large, F.coalesce(whole, value.cast("string")))
         .otherwise(text)
     )
 

@@ -18,7 +18,7 @@ from uttergate.functions.charclass import (
     SP,
     SP_NOT_BLANK,
     WORD,
-    composition_sensitive,
+    composition_needed,
 )
 
 # Hindi words for the digits 0 to 9.
@@ -51,7 +51,10 @@ def pin(col: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, col)
 
 
-def safe_string(col: Column) -> Column:
+def safe_string(col: Column, dtype: T.DataType | None = None) -> Column:
+    """Text of a value; missing values, NaN in a column of numbers among them, are empty."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        col = F.when(~F.isnan(col), col)
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
@@ -91,13 +94,19 @@ def _nfc_udf():
 def nfc(col: Column, worth: Column | None = None) -> Column:
     """Canonical composition.
 
-    Spark has no built-in for it. Only texts holding a composition-sensitive code point reach
-    Python and only changed texts come back; all others cross as nulls and keep their JVM
-    string. ``worth`` can rule texts out more cheaply.
+    Spark has no built-in for it. Only texts with a place where composition may apply reach Python and only changed
+    texts come back; all others cross as nulls and keep their JVM string. ``worth`` can rule texts out more cheaply.
     """
-    sensitive = col.rlike(f"[{composition_sensitive()}]")
-    suspect = F.when(sensitive if worth is None else worth & sensitive, col)
-    return F.coalesce(_nfc_udf()(suspect), col)
+    return F.coalesce(_nfc_udf()(nfc_suspect(col, worth)), col)
+
+
+def nfc_suspect(col: Column, worth: Column | None = None) -> Column:
+    """The text where it may differ from its composed form, else null. Composed text is no suspect, unless two
+    combining marks stand together."""
+    cheap, found = composition_needed()
+    sensitive = col.rlike(f"[{cheap}]")
+    sensitive = sensitive if worth is None else worth & sensitive
+    return F.when(F.when(sensitive, col.rlike(found)).otherwise(False), col)
 
 
 def strip_marks(col: Column) -> Column:
@@ -105,6 +114,11 @@ def strip_marks(col: Column) -> Column:
     return F.regexp_replace(col, f"[{MARK}]+", "")
 
 
+def strip_accents(col: Column) -> Column:
+    """Delete the combining diacritics of Latin, Greek and Cyrillic; other marks belong to their words."""
+    return F.regexp_replace(col, r"[\x{300}-\x{36f}]+", "")
+
+
 def expand_digits(col: Column, language: Column) -> Column:
     """Stand-alone digits become Hindi words; other languages keep theirs."""
     # The digit comes first, so that the look-arounds run only where one stands. The letter
@@ -134,9 +148,10 @@ def map_punctuation(col: Column) -> Column:
     return F.when(col.rlike(rf"[\x{{964}}-\x{{2026}}&&[{PUNCTUATION_FROM}{ELLIPSIS}]]"), mapped).otherwise(col)
 
 
-def drop_special(col: Column) -> Column:
-    """Keep words, white space and the basic punctuation."""
-    return F.regexp_replace(col, f"[^{KEPT_PUNCTUATION}{SP}{WORD}]+", "")
+def drop_special(col: Column, keep_marks: bool = False) -> Column:
+    """Keep words, white space and the basic punctuation; on request the marks of words too."""
+    marks = r"\p{M}" + MARK if keep_marks else ""
+    return F.regexp_replace(col, f"[^{KEPT_PUNCTUATION}{SP}{WORD}{marks}]+", "")
 
 
 def _plain_spaces(col: Column) -> Column:
@@ -190,11 +205,17 @@ def with_normalized_text(
 
     def punctuation(c: Column) -> Column:
         # Runs of spaces are left to the cleanup; the trace below accounts for them.
-        return drop_special(_plain_spaces(if_high(map_punctuation)(c)))
-
+        return drop_special(_plain_spaces(if_high(map_punctuation)(c)), config.keep_marks)
+
+    compose = (lambda c: nfc(c, high)) if config.apply_unicode_nfc else None
+    strip_step = strip_accents if config.keep_marks else strip_marks
+    first = [compose, if_high(strip_step) if config.remove_diacritics else None]
+    names = ["unicode_nfc", "diacritics_removed"]
+    if config.keep_marks:  # accents go before they can be composed
+        first.reverse()
+        names.reverse()
     steps = [
-        (lambda c: nfc(c, high)) if config.apply_unicode_nfc else None,
-        if_high(strip_marks) if config.remove_diacritics else None,
+        *first,
         (lambda c: expand_digits(c, lang)) if config.expand_numbers else None,
         lambda c: lowercase(c, lang),
         punctuation if config.normalize_punctuation else None,
@@ -209,8 +230,8 @@ def with_normalized_text(
     added = {out: pin(F.coalesce(result, F.lit("")))}
     if trace:
         named = [
-            ("unicode_nfc", 0),
-            ("diacritics_removed", 1),
+            (names[0], 0),
+            (names[1], 1),
             ("numbers_expanded", 2),
             ("punctuation_normalized", 4),
         ]

@@ -55,8 +55,8 @@ def with_audio(
     eligible: Column | None = None,
     spread_by: list[str] | None = None,
     out: str = "audio",
-    salt: int = 32,
     unique: bool = False,
+    **lookup: object,
 ) -> DataFrame:
     """Look every path up and add ``struct<checked, exists, is_valid, issues, properties>``.
 
@@ -91,8 +91,8 @@ def with_audio(
             spread_by=spread_by or [path],
             values=[*fields, ERROR_COLUMN],
             out=found,
-            salt=salt,
             unique=unique,
+            **lookup,
         )
         matched = F.col(found).isNotNull()
         props = F.when(matched, F.struct(*[F.col(found)[n].alias(n) for n in fields]))
@@ -147,11 +147,15 @@ def batch_summary(validated: DataFrame) -> DataFrame:
     )
 
 
-def batch_details(validated: DataFrame, path: str = "audio_path") -> DataFrame:
-    """One row per distinct path."""
-    return validated.groupBy(path).agg(
-        F.min(F.struct("exists", "is_valid", "issues", "properties")).alias("d")
-    ).select(path, "d.*")
+def batch_details(
+    paths: DataFrame,
+    properties: DataFrame | None,
+    config: GateConfig | None = None,
+    path: str = "audio_path",
+    **lookup: object,
+) -> DataFrame:
+    """One verdict per distinct path; repeats go before the lookup, whose keys the paths are then dealt by."""
+    return validate_paths(paths.select(path).distinct(), properties, config, path, **lookup)
 
 
 def audio_counts(audio: str = "audio") -> Column:

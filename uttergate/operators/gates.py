@@ -20,8 +20,6 @@ _NUMBER = (
 )
 _INTEGER = rf"^[{SP}]*[+-]?{_DIGITS}[{SP}]*$"
 
-# Names kept for failures that column expressions cannot run into.
-RESERVED_REASONS = ["text_normalization_error", "audio_validation_error"]
 INFINITE_FLAG_ERROR = "processing_error: cannot convert float infinity to integer"
 
 

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from uttergate.operators.sizing import broadcast_limit, estimated_bytes
 
-KEY_BUCKETS = 8192
-# A bucket is hot above 1/512 of all keyed rows, so fewer than 512 buckets can be hot.
-HOT_SHARE = 512
-# A left side below this size cannot hold a partition that adaptive execution calls skewed.
-SKEW_BYTES = 256 * 1024 * 1024
+KEY_BUCKETS = 65_536
+# Rows of a key bucket that one task may take; buckets with more are split.
+TARGET_ROWS = 1_000_000
 # Rows without a key match nothing; they are only spread.
 IDLE_SPREAD = 100_000
 
@@ -20,29 +18,16 @@ def _bucket(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
 
 
-def _at_most(df: DataFrame, limit: int) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+def hot_buckets(df: DataFrame, key: Column, target_rows: int | None = None) -> DataFrame:
+    """Key-hash buckets of more than ``target_rows`` rows, and the number of parts to cut each into.
 
-
-def hot_buckets(df: DataFrame, key: Column) -> DataFrame:
-    """Key-hash buckets holding more than ``1/HOT_SHARE`` of the keyed rows.
-
-    Reads the key column alone and shuffles at most ``KEY_BUCKETS`` counters per task. The
-    result has fewer than ``HOT_SHARE`` rows by construction.
+    Reads the key column alone and shuffles at most ``KEY_BUCKETS`` counters per task; the result has at most as
+    many rows, whatever the input.
     """
-    counts = df.where(key.isNotNull()).groupBy(_bucket(key).alias("bucket")).agg(
-        F.count("*").alias("n")
-    )
-    return (
-        counts.agg(
-            F.sum("n").alias("total"),
-            F.collect_list(F.struct("bucket", "n")).alias("buckets"),
-        )
-        .select("total", F.explode("buckets").alias("b"))
-        .where(F.col("b.n") * HOT_SHARE > F.col("total"))
-        .select(F.col("b.bucket").alias("_ug_hot"))
-    )
+    target_rows = target_rows or TARGET_ROWS
+    counts = df.where(key.isNotNull()).groupBy(_bucket(key).alias("_ug_hot")).agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / target_rows).cast("bigint").alias("_ug_parts")
+    return counts.where(F.col("n") > target_rows).select("_ug_hot", parts)
 
 
 def lookup_join(
@@ -53,59 +38,48 @@ def lookup_join(
     spread_by: list[str],
     values: list[str],
     out: str,
-    salt: int = 32,
     unique: bool = False,
+    target_rows: int | None = None,
+    split_hot: bool = True,
 ) -> DataFrame:
     """Left-join ``right`` on ``key`` and add its ``values`` as struct ``out`` (null: no match).
 
-    ``right`` is reduced to one row per key first, unless declared ``unique``. Left rows that
-    are not ``eligible`` match nothing, and are spread over all tasks by a key of their own.
-    Unless the left side is small or the right side fits a broadcast, rows in hot key buckets
-    are spread over ``salt`` tasks and the matching right rows, a small share of that side, are
-    repeated for each. ``salt=0`` leaves skew to adaptive execution and keeps the join on the
-    bare key, as bucketed tables need.
+    ``right`` is reduced to one row per key first, unless declared ``unique``. Left rows that are not ``eligible``
+    match nothing, and are spread over all tasks by a key of their own. Unless the right side fits a broadcast, left
+    rows are counted per key bucket (one pass over the key column); a bucket of more than ``target_rows`` rows is cut
+    into as many parts as that takes, with its right rows repeated for each, so no task gets much more than
+    ``target_rows`` rows of a key however large its share. ``split_hot=False`` keeps the join on the bare key, as
+    bucketed tables need.
     """
     # Blank keys are keys no lookup row may have, as null ones are.
     usable = F.col(key).isNotNull() & (F.col(key) != "")
-    right = right.where(usable).select(
-        F.col(key).alias("_ug_rkey"), F.struct(*values).alias(out)
-    )
-    left = left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
-
+    right = right.where(usable).select(F.col(key).alias("_ug_rkey"), F.struct(*values).alias(out))
+    size = estimated_bytes(right)
     keys = ["_ug_rkey"]
     condition = F.col("_ug_key") == F.col("_ug_rkey")
-    if salt and not _at_most(right, broadcast_limit(left)):
+    if split_hot and (size is None or size > broadcast_limit(left)):
         noise = F.xxhash64(*spread_by) + F.spark_partition_id()
-        if not _at_most(left, SKEW_BYTES):
-            hot = F.broadcast(hot_buckets(left, F.when(usable, F.col(key))))
-            left = (
-                left.withColumn("_ug_bucket", _bucket(F.col("_ug_key")))
-                .join(hot, F.col("_ug_bucket") == F.col("_ug_hot"), "left")
-                .withColumn(
-                    "_ug_salt",
-                    F.when(F.col("_ug_hot").isNotNull(), F.pmod(noise, F.lit(salt))).otherwise(
-                        F.lit(0).cast("bigint")
-                    ),
-                )
-                .drop("_ug_bucket", "_ug_hot")
-            )
-            copies = F.when(
-                F.col("_ug_hot").isNotNull(), F.expr(f"sequence(0L, {salt - 1}L)")
-            ).otherwise(F.expr("array(0L)"))
-            right = (
-                right.withColumn("_ug_bucket", _bucket(F.col("_ug_rkey")))
-                .join(hot, F.col("_ug_bucket") == F.col("_ug_hot"), "left")
-                .withColumn("_ug_rsalt", F.explode(copies))
-                .drop("_ug_bucket", "_ug_hot")
-            )
-            keys.append("_ug_rsalt")
-            condition &= F.col("_ug_salt") == F.col("_ug_rsalt")
+        hot = F.broadcast(hot_buckets(left, F.when(eligible & usable, F.col(key)), target_rows))  # KEY_BUCKETS rows at most
+        left = (
+            left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
+            .join(hot, _bucket(F.col("_ug_key")) == F.col("_ug_hot"), "left")
+            .withColumn("_ug_salt", F.when(F.col("_ug_hot").isNull(), 0).otherwise(F.pmod(noise, F.col("_ug_parts"))))
+            .drop("_ug_hot", "_ug_parts")
+        )
+        copies = F.when(F.col("_ug_hot").isNull(), F.expr("array(0L)")).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("_ug_parts") - 1))
+        right = (
+            right.join(hot, _bucket(F.col("_ug_rkey")) == F.col("_ug_hot"), "left")
+            .withColumn("_ug_rsalt", F.explode(copies))
+            .drop("_ug_hot", "_ug_parts")
+        )
+        keys.append("_ug_rsalt")
+        condition &= F.col("_ug_salt") == F.col("_ug_rsalt")
         # A leading sign keeps the two kinds of keys apart.
         idle = F.concat(F.lit("-"), F.pmod(noise, F.lit(IDLE_SPREAD)).cast("string"))
-        left = left.withColumn(
-            "_ug_key", F.coalesce(F.concat(F.lit("="), F.col("_ug_key")), idle)
-        )
+        left = left.withColumn("_ug_key", F.coalesce(F.concat(F.lit("="), F.col("_ug_key")), idle))
         right = right.withColumn("_ug_rkey", F.concat(F.lit("="), F.col("_ug_rkey")))
+    else:
+        left = left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
     if not unique:
         # Combined map-side; grouped on the join keys, so the join needs no second shuffle.
         right = right.groupBy(*keys).agg(F.min(out).alias(out))

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Below this much input per core, one small file would leave most cores idle.
-SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
-
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None where the session does not expose it."""
@@ -25,18 +22,3 @@ def broadcast_limit(df: DataFrame) -> int:
     if text and text[-1] in units:
         return int(text[:-1]) * units[text[-1]]
     return int(text)
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a small input over the cores; leave a large one alone.
-
-    A parquet file with one row group is one task however many cores there are. The shuffle
-    is bounded: it happens only while the input is below ``SPREAD_BYTES_PER_CORE`` per core.
-    """
-    size = estimated_bytes(df)
-    if size is None:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, *keys)

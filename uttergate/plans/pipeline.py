@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from uttergate.config import GateConfig
-from uttergate.operators.split import rejected, train_ready
+from uttergate.operators.split import VERDICT, rejected, train_ready
 from uttergate.plans import report
 from uttergate.plans.verdict import require_columns, verdict
 from uttergate.sources.sinks import write_document, write_table
 
+OUTCOME = "gate_accepted"
+
 
 def run_gate(
     utterances: DataFrame,
@@ -17,7 +20,6 @@ def run_gate(
     config: GateConfig | None = None,
     audio_properties: DataFrame | None = None,
     fmt: str = "csv",
-    salt: int = 32,
     unique_properties: bool = False,
 ) -> dict[str, str]:
     """Gate a table and write the results; returns the written paths.
@@ -30,19 +32,24 @@ def run_gate(
     spark = utterances.sparkSession
     paths = {"verdict": f"{output_dir}/verdict"}
 
-    judged = verdict(utterances, config, audio_properties, salt, unique_properties)
-    judged.write.mode("overwrite").partitionBy("is_valid").parquet(paths["verdict"])
-    stored = spark.read.schema(judged.schema).parquet(paths["verdict"]).select(*judged.columns)
+    judged = verdict(utterances, config, audio_properties, unique_properties)
+    judged = judged.withColumn(OUTCOME, F.col(VERDICT)["is_valid"])
+    judged.write.mode("overwrite").partitionBy(OUTCOME).parquet(paths["verdict"])
+    stored = spark.read.schema(judged.schema).parquet(paths["verdict"])
 
     for name, table in (
-        (config.train_ready_name, train_ready(stored)),
-        (config.rejected_name, rejected(stored)),
+        (config.train_ready_name, train_ready(stored.where(OUTCOME).drop(OUTCOME))),
+        (config.rejected_name, rejected(stored.where(f"NOT {OUTCOME}").drop(OUTCOME))),
     ):
         paths[name] = f"{output_dir}/{name}"
         write_table(table, paths[name], fmt)
     if config.include_stats:
         paths["rejection_reasons"] = f"{output_dir}/rejection_reasons"
         write_table(report.reason_histogram(stored), paths["rejection_reasons"], "json")
+        paths["rejection_reason_analysis"] = f"{output_dir}/rejection_reason_analysis"
+        refused = spark.read.schema(judged.schema).parquet(paths["verdict"]).where(f"NOT {OUTCOME}")
+        analysis = report.reason_analysis(rejected(refused.drop(OUTCOME)))
+        write_table(analysis, paths["rejection_reason_analysis"], "json")
         paths["processing_stats"] = f"{output_dir}/processing_stats"
         write_document(report.stats_document(stored, config), paths["processing_stats"])
     return paths

@@ -10,6 +10,7 @@ from uttergate.config import GateConfig
 from uttergate.functions.labels import fixed_point
 from uttergate.functions.text import strip
 from uttergate.operators.audio import audio_counts
+from uttergate.operators.split import fields
 
 OPERATION_COUNTERS = {
     "diacritics_removed": "diacritics_removed",
@@ -39,13 +40,14 @@ def run_counts() -> Column:
 
 def run_totals(verdict: DataFrame) -> DataFrame:
     """One row of run totals."""
-    return verdict.agg(run_counts().alias("s")).select("s.*")
+    return fields(verdict).agg(run_counts().alias("s")).select("s.*")
 
 
 def reason_histogram(verdict: DataFrame) -> DataFrame:
     """``reason, n``: how many counted rows carry each reason."""
     return (
-        verdict.where(~F.col("is_valid") & ~_failed(F.col("reasons")))
+        fields(verdict)
+        .where(~F.col("is_valid") & ~_failed(F.col("reasons")))
         .select(F.explode("reasons").alias("reason"))
         .groupBy("reason")
         .agg(F.count("*").alias("n"))
@@ -129,7 +131,7 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def summary(verdict: DataFrame) -> DataFrame:
     """One row with the three counter structs, from a single pass over the verdict."""
-    return verdict.agg(
+    return fields(verdict).agg(
         run_counts().alias("processing_stats"),
         normalizer_counts().alias("text_normalization"),
         audio_counts().alias("audio_validation"),
@@ -158,48 +160,66 @@ def stats_report(verdict: DataFrame) -> DataFrame:
     return report_rows(summary(verdict))
 
 
-def _reason_maps(verdict: DataFrame) -> DataFrame:
-    """One row: reason counts of the counted rows, and of the joined texts of all rejected rows.
+#: Reasons the gates can give, but for the script's name and free-text messages; a fixed vocabulary.
+_NAMED = (
+    "^(missing_(utterance_id|audio_path|language)|empty_transcription|unsupported_language|audio_(file_not_found"
+    "|sample_rate_too_(low|high)|duration_too_(short|long)|signal_too_weak|too_much_silence|not_mono)"
+    "|duration_too_(short|long)|invalid_duration_format|language_path_mismatch|low_text_quality|too_few_words"
+    "|too_many_repeated_words|script_mismatch_[A-Za-z_-]+|negative_quality_flag)$"
+)
 
-    Free-text messages fold into their label here, which bounds the maps by the gate
-    vocabulary; the histogram tables keep every message.
-    """
+
+def _reason_maps(verdict: DataFrame) -> DataFrame:
+    """One row: counts of the named reasons in counted rows and in the joined texts of all rejected rows, and for
+    each the number of other messages. The maps are bounded by the gates' vocabulary; the histogram tables list every
+    message."""
     grouped = (
-        verdict.where(~F.col("is_valid"))
+        fields(verdict)
+        .where(~F.col("is_valid"))
         .select(F.explode("reasons").alias("reason"), _failed(F.col("reasons")).alias("failed"))
         .groupBy("reason", "failed")
         .agg(F.count("*").alias("n"))
     )
 
-    def fold(reason: Column) -> Column:
-        free_text = reason.startswith("audio_validation_error: ")
-        return F.when(free_text, "audio_validation_error").otherwise(reason)
+    def label(reason: Column) -> Column:
+        return F.when(reason.rlike(_NAMED), reason)
 
     parts = F.transform(F.split("reason", ";"), strip)
+    counted = F.struct(F.lit("counted").alias("kind"), label(F.col("reason")).alias("label"))
     entries = F.concat(
-        F.when(F.col("failed"), F.array()).otherwise(
-            F.array(F.struct(F.lit("counted").alias("kind"), fold(F.col("reason")).alias("label")))
-        ),
+        F.when(F.col("failed"), F.array()).otherwise(F.array(counted)),
         F.transform(
             F.filter(parts, lambda p: p != ""),
-            lambda p: F.struct(F.lit("analysed").alias("kind"), fold(p).alias("label")),
+            lambda p: F.struct(F.lit("analysed").alias("kind"), label(p).alias("label")),
         ),
     )
-    folded = (
-        grouped.select(F.inline(entries), "n").groupBy("kind", "label").agg(F.sum("n").alias("n"))
-    )
+    folded = grouped.select(F.inline(entries), "n").groupBy("kind", "label").agg(F.sum("n").alias("n"))
 
     def as_map(kind: str) -> Column:
-        pair = F.when(F.col("kind") == kind, F.struct("label", "n"))
+        pair = F.when((F.col("kind") == kind) & F.col("label").isNotNull(), F.struct("label", "n"))
         return F.map_from_entries(F.array_sort(F.collect_list(pair)))
 
-    return folded.agg(as_map("counted").alias("counted"), as_map("analysed").alias("analysed"))
+    def others(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & F.col("label").isNull(), F.col("n"))), F.lit(0))
+
+    return folded.agg(
+        as_map("counted").alias("counted"),
+        others("counted").alias("counted_others"),
+        as_map("analysed").alias("analysed"),
+        others("analysed").alias("analysed_others"),
+    )
 
 
 def stats_document(verdict: DataFrame, config: GateConfig | None = None) -> DataFrame:
-    """One row: ``config, processing_stats, component_stats, rejection_reason_analysis``."""
+    """One row: ``config`` in sections, ``processing_stats, component_stats, rejection_reason_analysis`` and
+    ``other_messages``, the number of free-text messages that the two reason maps leave to the tables."""
     config = config or GateConfig()
-    settings = F.struct(*[F.lit(v).alias(k) for k, v in config.as_dict().items()])
+    settings = F.struct(
+        *[
+            F.struct(*[F.lit(v).alias(k) for k, v in values.items()]).alias(section)
+            for section, values in config.sections().items()
+        ]
+    )
     one = F.lit(1).alias("_ug_one")
     doc = summary(verdict).select("*", one).join(_reason_maps(verdict).select("*", one), "_ug_one")
     return doc.select(
@@ -209,4 +229,8 @@ def stats_document(verdict: DataFrame, config: GateConfig | None = None) -> Data
         ),
         F.struct("text_normalization", "audio_validation").alias("component_stats"),
         F.col("analysed").alias("rejection_reason_analysis"),
+        F.struct(
+            F.col("counted_others").alias("rejection_reasons"),
+            F.col("analysed_others").alias("rejection_reason_analysis"),
+        ).alias("other_messages"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from uttergate.functions.script import with_script
 from uttergate.functions.text import pin, safe_string, with_normalized_text
 from uttergate.operators import gates
 from uttergate.operators.audio import with_audio
+from uttergate.operators.split import VERDICT, others
 from uttergate.schema import REQUIRED_COLUMNS
 
 
@@ -25,10 +26,13 @@ def verdict(
     df: DataFrame,
     config: GateConfig | None = None,
     audio_properties: DataFrame | None = None,
-    salt: int = 32,
     unique_properties: bool = False,
+    where: Column | str | None = None,
 ) -> DataFrame:
-    """Add the verdict columns to an utterance table.
+    """The utterance table with its verdict, a struct column named ``VERDICT``.
+
+    Every input column stays as it is; a verdict from an earlier gate is replaced. ``where`` picks the rows to
+    judge by input columns; it reaches the scan, which a filter behind the gate cannot.
 
     All reasons are kept, in gate order; only the audio gate is skipped once an earlier reason
     exists. The audio join comes before the text steps, so that what it shuffles is the raw
@@ -36,15 +40,20 @@ def verdict(
     """
     config = config or GateConfig()
     require_columns(df)
+    if where is not None:
+        df = df.where(where)
     types = {f.name: f.dataType for f in df.schema.fields}
-    inputs = df.columns
+    inputs = others(df.columns, [VERDICT])
 
     df = df.withColumns(
         {
-            "_ug_id": safe_string(F.col("utterance_id")),
-            "_ug_path": safe_string(F.col("audio_path")),
-            "_ug_lang": safe_string(F.col("language")),
-            "_ug_text": safe_string(F.col("transcription_raw")),
+            out: safe_string(F.col(name), types[name])
+            for out, name in (
+                ("_ug_id", "utterance_id"),
+                ("_ug_path", "audio_path"),
+                ("_ug_lang", "language"),
+                ("_ug_text", "transcription_raw"),
+            )
         }
     )
     ident, path, lang, text = (F.col(f"_ug_{c}") for c in ("id", "path", "lang", "text"))
@@ -60,7 +69,6 @@ def verdict(
             eligible=F.size("_ug_early") == 0,
             spread_by=["_ug_id", "_ug_lang"],
             out="_ug_audio",
-            salt=salt,
             unique=unique_properties,
         )
     else:
@@ -96,8 +104,7 @@ def verdict(
         F.concat(F.col("_ug_early"), audio_reasons, gates.reason_list(*late))
     )
     df = df.withColumn("_ug_reasons", pin(reasons))
-    return df.select(
-        *inputs,
+    judged = F.struct(
         (F.size("_ug_reasons") == 0).alias("is_valid"),
         F.col("_ug_reasons").alias("reasons"),
         F.when(failed, "").otherwise(F.col("_ug_norm")).alias("transcription_normalized"),
@@ -106,3 +113,4 @@ def verdict(
         F.when(has_text, F.col("_ug_script")).alias("script"),
         F.col("_ug_audio").alias("audio"),
     )
+    return df.select(*inputs, judged.alias(VERDICT))

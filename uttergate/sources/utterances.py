@@ -9,57 +9,17 @@ from pyspark.sql import types as T
 from uttergate.schema import NA_TOKENS, NUMERIC_COLUMNS, REQUIRED_COLUMNS
 
 
-def _quote_parity(spark: SparkSession, path: str) -> DataFrame:
-    """``file, odd``: whether some line of the file holds an odd number of quotes.
-
-    A record spans lines only if its first line leaves a quote open, which makes the number of
-    quotes on that line odd. A file without such a line can therefore be split anywhere.
-    """
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return (
-        spark.read.text(path)
-        .select(F.col("_metadata.file_path").alias("file"), (quotes % 2 != 0).alias("odd"))
-        .groupBy("file")
-        .agg(F.bool_or("odd").alias("odd"))
-    )
-
-
-def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read utterance CSV files with a header; missing-value texts become null.
 
-    Quotes are escaped by doubling and a quoted field may hold line breaks. Columns keep their
-    names and order; all are text except the numeric ones. ``multi_line=None`` looks at the
-    files first: those without quoted line breaks are read as splittable lines, and only the
-    others as whole files. ``True`` or ``False`` skips the look.
+    Quotes are escaped by doubling and a quoted field may hold line breaks, for which a file must be read whole.
+    ``multi_line=False`` is for files known to have none: they are then split over tasks. Columns keep their names
+    and order; all are text except the numeric ones.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
-    names = reader.option("multiLine", multi_line is not False).csv(path).columns
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-    def read(where: str | list[str], whole: bool) -> DataFrame:
-        return (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("escape", '"')
-            .option("multiLine", whole)
-            .csv(where)
-        )
-
-    if multi_line is None:
-        files = _quote_parity(spark, path)
-        some, every = files.agg(F.bool_or("odd"), F.bool_and("odd")).first()
-        if some and not every:
-            # file names only, no more of them than the scan lists anyway
-            names_by_kind = {False: [], True: []}
-            for row in files.collect():
-                names_by_kind[row.odd].append(row.file)
-            df = read(names_by_kind[False], False).unionByName(read(names_by_kind[True], True))
-        else:
-            df = read(path, bool(some))
-    else:
-        df = read(path, multi_line)
+    df = reader.schema(schema).option("enforceSchema", False).csv(path)
 
     def clean(name: str):
         col = F.when(~F.col(f"`{name}`").isin(NA_TOKENS), F.col(f"`{name}`"))

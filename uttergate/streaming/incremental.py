@@ -25,8 +25,9 @@ def gate_new_files(
     """Start a run over the parquet files not seen before; it ends when none are left.
 
     Each batch runs the batch plan and overwrites its own folder, so a batch repeated after a
-    failure leaves no duplicates. Progress is kept below the cluster's ``spark.checkpoint.dir``
-    unless a folder is given.
+    failure leaves no duplicates. Folders lie below one named after the checkpoint's own id, so a
+    new checkpoint, whose batches count from 0 again, leaves earlier results alone. Progress is
+    kept below the cluster's ``spark.checkpoint.dir`` unless a folder is given.
     """
     if checkpoint is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,7 +41,8 @@ def gate_new_files(
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         judged = verdict(batch, config, audio_properties)
-        judged.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
+        run = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        judged.write.mode("overwrite").parquet(f"{output_dir}/run={run}/batch_id={batch_id}")
 
     return (
         reader.parquet(input_dir)
