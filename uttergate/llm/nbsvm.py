@@ -146,6 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
         yield pa.RecordBatch.from_pylist([{"w": m.weights.tobytes(), "slope": m.slope, "place": m.place}])
 
     m = rows.select("at", "id", "good", "text").mapInArrow(run, "w binary, slope double, place double").first()
+    if m is None:  # no labelled row has a document
+        return _fitted([], np.zeros(0, int), totals)
     return Model(np.frombuffer(m["w"], np.float32), m["slope"], m["place"])
 
 
