@@ -52,7 +52,7 @@ def _shared_folder(spark: SparkSession) -> str:
     """A new folder below the cluster's shared one; in a local session without one, a folder until Python ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
