@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blobs import mapped, published
+from .blobs import opened, published
 from .store import shared_folder, staged
 from .wordhash import IS_WORD, Texts, Words, runs, texts, words
 
@@ -220,11 +221,11 @@ def _gram_model(counted: DataFrame) -> DataFrame:
 
 
 class _Lookup:
-    """Values by key for large arrays of keys: one slot for each hash, and a search for the few that share one."""
+    """Values by key for large arrays of keys: one slot for each hash, and a search for the few that share one.
+    Keys come sorted."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
+        self.keys, self.values = keys, values
         self.bits = max(8, int(len(keys)).bit_length() + 1)
         self.slots = np.zeros(1 << self.bits, np.int64)
         self.slots[self._slot(self.keys)] = np.arange(len(keys))
@@ -241,18 +242,31 @@ class _Lookup:
         return self.values[at]
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers, compressed byte by byte: the high bytes of most are alike."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(columns.T).view(kind).ravel()
+
+
 def _write_answers(answers: DataFrame, folder: str) -> None:
-    """A file for each block: number of words and of grams, their keys, their values."""
+    """A file for each block: sizes of four parts, then steps of the sorted keys and values of words and of grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts = None, []
 
         def out() -> pa.RecordBatch:
             kind, key, value = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(kind, kind="stable")
+            made = []
+            for k in (WORDS, GRAMS):
+                keys, values = key[kind == k].view(np.uint64), value[kind == k]
+                order = np.argsort(keys)
+                made += [_packed(np.diff(keys[order], prepend=np.uint64(0))), _packed(values[order])]
             with published(f"{folder}/{block}") as f:
-                f.write(np.array([(kind == WORDS).sum(), (kind == GRAMS).sum()], np.int64).tobytes())
-                f.write(key[order].tobytes() + value[order].tobytes())
+                f.write(np.array([len(m) for m in made], np.int64).tobytes() + b"".join(made))
             return pa.RecordBatch.from_arrays([pa.array([block])], names=["block"])
 
         for batch in batches:
@@ -271,11 +285,11 @@ def _write_answers(answers: DataFrame, folder: str) -> None:
 
 
 def _read_answers(uri: str) -> tuple[_Lookup, _Lookup]:
-    sizes = mapped(uri, np.int64, 0, 2)
-    n = int(sizes.sum())
-    keys, values = mapped(uri, np.uint64, 16, n), mapped(uri, np.float64, 16 + 8 * n, n)
-    cut = int(sizes[0])
-    return _Lookup(keys[:cut], values[:cut]), _Lookup(keys[cut:], values[cut:])
+    with opened(uri) as f:
+        sizes = np.frombuffer(f.read(32), np.int64).tolist()
+        steps, counts, gram_steps, prices = (f.read(n) for n in sizes)
+    keys = [np.cumsum(_unpacked(x, np.uint64)) for x in (steps, gram_steps)]
+    return _Lookup(keys[0], _unpacked(counts, np.float64)), _Lookup(keys[1], _unpacked(prices, np.float64))
 
 
 SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
