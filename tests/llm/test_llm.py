@@ -137,6 +137,35 @@ def test_leaks(spark):
     assert {r.doc_id for r in clean.collect()} == set(range(3, 12)) | {200, 201} and clean.columns == df.columns
 
 
+def test_leaks_of_an_edited_copy_in_most_documents(spark):
+    g = np.random.default_rng(14)
+    text = lambda n: [f"v{x}" for x in g.integers(0, 3000, n)]
+    item = text(39)
+    edited = [f"changed{k}" if k % 9 == 4 else w for k, w in enumerate(item)]
+    rows = [(d, " ".join(text(20) + (edited if d < 400 else item if d < 403 else []) + text(20))) for d in range(420)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.leaks(df, items).collect()} == set(range(403))
+    assert {r.doc_id for r in decontaminate.without_leaks(df, items).collect()} == set(range(403, 420))
+
+
+def test_no_alignment_exceeds_its_bound(monkeypatch):
+    g = np.random.default_rng(15)
+    for pairs in (1, 1 << 20):
+        monkeypatch.setattr(decontaminate, "_PAIRS", pairs)
+        items = [(k, " ".join(f"v{x}" for x in g.integers(0, 9, g.integers(5, 30)))) for k in range(30)]
+        block = decontaminate._block(items)
+        t = wh.texts(pa.array([" ".join(f"v{x}" for x in g.integers(0, 9, 60)) for _ in range(12)]))
+        hashes, first, at, which = block.hits(t)
+        seen = 0
+        for d, i, spans in block.windows(first, at, which):
+            for a, b, seeds in spans:
+                assert first[d] <= a < b <= first[d + 1]
+                assert decontaminate.align(block.words[i], hashes[a:b])[0] <= block.most(i, hashes[a:b], seeds)
+                seen += seeds
+        assert seen == (block.owners[1][which + 1] - block.owners[1][which]).sum()
+
+
 def test_leaks_of_awkward_tables(spark, awkward, empty):
     items = spark.createDataFrame([(1, "the same row twice, word for word"), (2, None)], "item_id long, text string")
     assert sorted(r.doc_id for r in decontaminate.leaks(awkward, items).collect()) == [5, 5, 6]

@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
-
-The items are a stated query set and go over all documents in blocks of bounded size. A first pass counts in how many
-documents each n-gram of an item occurs; those not much more frequent than the item's others are its seeds, so common
-phrases lead nowhere, but a passage that half the corpus repeats keeps all of its seeds. In a second pass every seed
-in a document opens a window as long as the item and a margin; windows that overlap are merged, and the best local
-alignment of the item's words with the window's is scored. Words substituted, dropped or inserted cost some of the
-score, which is a share of what a word-for-word copy gets.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
+
+The items are a stated query set and go over all documents in blocks of bounded size. Every n-gram of an item is a
+seed, however many documents hold it. A seed in a document opens a window as long as the item and a margin; windows
+that overlap are merged. No alignment scores more than the words that item and window share and the seeds found in the
+window allow, so most windows that a common phrase opens are passed over; in the others the best local alignment of
+the item's words with the window's is scored. Words substituted, dropped or inserted cost some of the score, which is
+a share of what a word-for-word copy gets.
 """
 
 from __future__ import annotations
@@ -23,12 +23,11 @@ from .wordhash import Texts, ngrams, runs, texts, words
 
 SEED_WORDS = 3
 MIN_WORDS = 5
-RARE = 16
-OFTEN = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIMILAR = 0.5
 BLOCK_BYTES = 1 << 23
 _FILTER_BITS = 22
+_PAIRS = 1 << 20
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -97,24 +96,11 @@ class Items:
     def leaks(self, t: Texts) -> Iterator[tuple[int, int, float, int, int]]:
         """(number of the text, item, similarity, first and last word) for each item of which a text holds a copy."""
         hashes, first, at, which = self.hits(t)
-        if not len(at):
-            return
-        order, lead = self.owners
-        text = np.searchsorted(first, at, "right") - 1
-        windows: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for p, k, d in zip(at.tolist(), which.tolist(), text.tolist(), strict=True):
-            for s in order[lead[k] : lead[k + 1]].tolist():
-                i = int(self.owner[s])
-                size = len(self.words[i])
-                begin = p - int(self.place[s]) - size // 2 - 4
-                windows.setdefault((d, i), []).append((max(begin, int(first[d])), min(begin + 2 * size + 8, int(first[d + 1]))))
-        for (d, i), spans in windows.items():
+        for d, i, spans in self.windows(first, at, which):
             best, (low, high) = (0, 0, 0), (0, 0)
-            spans.sort()
-            merged = [spans[0]]
-            for a, b in spans[1:]:
-                merged[-1:] = [(merged[-1][0], max(b, merged[-1][1]))] if a <= merged[-1][1] else [merged[-1], (a, b)]
-            for a, b in merged:
+            for a, b, seeds in spans:
+                if self.most(i, hashes[a:b], seeds) < SIMILAR * MATCH * len(self.words[i]):
+                    continue
                 found = align(self.words[i], hashes[a:b])
                 if found[0] > best[0]:
                     best, (low, high) = found, (a + found[1], a + found[2])
@@ -122,6 +108,56 @@ class Items:
             if similarity >= SIMILAR:
                 yield d, self.ids[i], similarity, low - int(first[d]), high - int(first[d])
 
+    def windows(self, first: np.ndarray, at: np.ndarray, which: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+        """(number of the text, item, windows) by text and item; a window is its first word, its end, and the number
+        of seeds found in it."""
+        order, lead = self.owners
+        sizes = np.array([len(w) for w in self.words])
+        share = lead[which + 1] - lead[which]
+        text = np.searchsorted(first, at, "right") - 1
+        ends = np.append(np.flatnonzero(np.diff(text)) + 1, len(text))  # of each text's hits
+        done = np.concatenate([[0], np.cumsum(share)])
+        k = 0
+        while k < len(at):  # whole texts, of about _PAIRS pairs of a hit and an item
+            fit = ends[(ends > k) & (done[ends] <= done[k] + _PAIRS)]
+            stop = int(fit[-1] if len(fit) else ends[ends > k][0])
+            n = share[k:stop]
+            hit = np.repeat(np.arange(k, stop), n)
+            seed = order[lead[which[hit]] + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)]
+            item, d = self.owner[seed], text[hit]
+            begin = at[hit] - self.place[seed] - sizes[item] // 2 - 4
+            by = np.lexsort((begin, item, d))
+            item, d, begin = item[by], d[by], begin[by]
+            end = np.minimum(begin + 2 * sizes[item] + 8, first[d + 1])
+            begin = np.maximum(begin, first[d])
+            other = np.concatenate([[True], (np.diff(item) != 0) | (np.diff(d) != 0)])  # another text or item
+            new = np.flatnonzero(other | np.concatenate([[True], begin[1:] > end[:-1]]))
+            last = np.append(new[1:], len(item))
+            found: list[tuple[int, int, int]] = []
+            for a, b, x, y, z, head in zip(d[new].tolist(), item[new].tolist(), begin[new].tolist(), end[last - 1].tolist(), (last - new).tolist(), other[new].tolist(), strict=True):
+                if head and found:
+                    yield *of, found
+                    found = []
+                of = (a, b)
+                found.append((x, y, z))
+            yield *of, found
+            k = stop
+
+    def most(self, i: int, window: np.ndarray, seeds: int) -> float:
+        """What no alignment of an item with a window that holds so many of its seeds exceeds.
+
+        Of ``m`` words that match, in ``r`` runs, ``m - r * (SEED_WORDS - 1)`` seeds at least are found, and ``r - 1``
+        words at least lie between runs and cost one each; ``m`` is at most what both hold.
+        """
+        known, n = self.counts[i]
+        w = np.sort(window)
+        m = int(np.minimum(np.searchsorted(w, known, "right") - np.searchsorted(w, known), n).sum())
+        return MATCH * m - max(0, (m - seeds) / (SEED_WORDS - 1) - 1)
+
+    @cached_property
+    def counts(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [np.unique(w, return_counts=True) for w in self.words]
+
 
 def _block(rows: list[tuple[int, str]]) -> Items:
     """Every n-gram of every item; of equal items the least id speaks for all."""
@@ -144,32 +180,8 @@ def _block(rows: list[tuple[int, str]]) -> Items:
     return Items(ids, kept, flat(seeds, np.uint64), flat(owner, np.int64), flat(place, np.int64))
 
 
-def _rare(df: DataFrame, block: Items) -> Items:
-    """The block with those seeds that few documents hold, by the measure of their item."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(block.known), np.int64)
-        for batch in batches:
-            for _, _, t in runs(texts(batch.column(0))):
-                _, first, at, which = block.hits(t)
-                text = np.searchsorted(first, at, "right") - 1
-                pairs = np.unique(text * len(total) + which)
-                total += np.bincount(pairs % max(1, len(total)), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["seed", "n"])
-
-    counts = df.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
-    n = np.zeros(len(block.known), np.int64)
-    n[counts.column("seed").to_numpy()] = counts.column("n").to_numpy()  # the block's seeds at most
-    mine = n[np.searchsorted(block.known, block.seeds)]
-    first = np.searchsorted(block.owner, np.arange(len(block.ids) + 1))
-    usual = [np.quantile(mine[a:b], 0.25) for a, b in zip(first[:-1], first[1:], strict=True)]
-    keep = mine <= RARE + OFTEN * np.array(usual)[block.owner]
-    return Items(block.ids, block.words, block.seeds[keep], block.owner[keep], block.place[keep])
-
-
-def item_blocks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Items]:
-    """The items, with seeds that are rare in ``docs`` (column ``text``), a bounded block at a time.
+def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Items]:
+    """The items, a bounded block at a time.
 
     Items without id or text, or of fewer than ``MIN_WORDS`` words, are left out: they can't be told from chance.
     """
@@ -180,7 +192,7 @@ def item_blocks(docs: DataFrame, items: DataFrame, item_id: str = "item_id", tex
         part = rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).orderBy("id", "text")
         block = _block([(r["id"], r["text"]) for r in part.collect()])  # about BLOCK_BYTES of texts
         if block.ids:
-            yield _rare(docs, block)
+            yield block
 
 
 LEAK = "doc_id long, item_id long, similarity double, first_word int, last_word int"
@@ -195,7 +207,7 @@ def leaks(df: DataFrame, items: DataFrame, row_id: str = "doc_id", text: str = "
     """
     docs = df.select(F.col(row_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = df.sparkSession.createDataFrame([], LEAK)
-    for block in item_blocks(docs, items):
+    for block in item_blocks(items):
 
         def run(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -223,6 +235,6 @@ def _clean(block: Items, text: Column) -> Column:
 
 def without_leaks(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text holds no copy of an item, all columns as they are."""
-    for block in item_blocks(df.select(F.col(text).cast("string").alias("text")), items):
+    for block in item_blocks(items):
         df = df.where(_clean(block, F.col(text)))
     return df
