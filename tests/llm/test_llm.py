@@ -354,6 +354,15 @@ def test_licenses(spark, empty, awkward):
     assert licenses.license_matches(awkward).count() == 0
 
 
+def test_licenses_beside_each_other(spark):
+    notices = [v for k, v in licenses.TEMPLATES.items() if k.endswith("-notice")]
+    orders = [notices[k:] + notices[:k] for k in range(4)] + [notices[::-1]]
+    rows = [(100 * k + n, "word " * n + "\n".join(o)) for k, o in enumerate(orders) for n in range(64)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.license): r.containment for r in licenses.license_matches(df).collect()}
+    assert got == {(d, k): 1 for d, _ in rows for k in licenses.TEMPLATES if k.endswith("-notice")}
+
+
 # 6
 
 

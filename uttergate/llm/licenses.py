@@ -1,11 +1,10 @@
-"""License scans: MinHash bands over overlapping windows retrieve templates, exact containment confirms them.
+"""License scans: exact containment of templates in overlapping windows, by their shingles.
 
 A text is cut into words; of its five-word shingles only those matter that some template has, since the others can
 neither add to a containment nor tell templates apart. For each class of template lengths the words are covered by
-windows of twice that length at half-window steps, so any span up to the class length lies within one. A window's
-shingles, with those of no template left out, are sampled by MinHash; windows and templates that share a band meet, and
-what meets is compared on full shingle sets. A window that holds ``CONTAINED`` of one template and nothing else is
-missed with a chance of ``(1 - 0.8**2) ** 24``, 2e-11; at a similarity of one half, 1e-3.
+windows of twice that length at half-window steps, so any span up to the class length lies within one. The shingles
+that a window shares with a template are gathered for that template alone, so nothing that stands beside a notice hides
+it, and their share of the template's is its containment.
 
 Only DataFrame operations.
 """
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 CONTAINED = 0.8
-BANDS, ROWS = 24, 2
 CLASSES = (8, 16, 32, 64, 128, 256, 512, 1024)
 STRETCH = 1.25  # room for words put in
 
@@ -54,13 +52,6 @@ def _shingles(words: Column) -> Column:
     return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, SHINGLE)).alias("h")))
 
 
-def _bands(hashes: Column) -> Column:
-    """A key for each band of samples."""
-    sample = lambda j: F.array_min(F.transform(hashes, lambda h: F.xxhash64(F.lit(j), h)))
-    keys = [F.xxhash64(F.lit(b), *[sample(b * ROWS + r) for r in range(ROWS)]) for b in range(BANDS)]
-    return F.array(*keys)
-
-
 def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
     """``license``, ``class`` and the distinct shingle hashes ``own`` of each template of five words or more."""
     listed = spark.createDataFrame(sorted((templates or TEMPLATES).items()), "license string, wording string")
@@ -92,23 +83,16 @@ def license_matches(df: DataFrame, templates: dict[str, str] | None = None, row_
     none. Other columns are left aside. Templates longer than the largest class are compared within it.
     """
     wanted = template_table(df.sparkSession, templates)
-    fixed = wanted.select("class", "own", "words").collect()  # the templates, a fixed list
+    fixed = wanted.select("own", "words").collect()  # the templates, a fixed list
     universe = sorted({h for r in fixed for h in r["own"]})
     anchors = _anchors([r["words"] for r in fixed])
-    classes = sorted({r["class"] for r in fixed})
 
     cut = df.select(F.col(row_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("body"), tokens(F.col(text).cast("string")).alias("words"))
     near = cut.where(F.exists("words", lambda w: w.isin(anchors)))
     hits = near.select("doc_id", "body", F.explode(F.filter(_shingles(F.col("words")), lambda s: s["h"].isin(universe))).alias("s"))
-    steps = [F.struct(F.lit(c).alias("class"), (F.floor(F.col("s.at") / c) - back).alias("window")) for c in classes for back in (0, 1)]
-    windows = (
-        hits.select("doc_id", "body", F.explode(F.array(*steps)).alias("w"), F.col("s.h").alias("h"))
-        .groupBy("doc_id", "body", "w.class", "w.window")
-        .agg(F.collect_set("h").alias("found"))  # the templates' shingles at most
-    )
-    banded = windows.withColumn("key", F.explode(_bands(F.col("found"))))
-    known = wanted.select("license", F.col("class"), "own", F.explode(_bands(F.col("own"))).alias("key"))
-    met = banded.join(F.broadcast(known), ["class", "key"])  # BANDS rows for each template
-    exact = F.size(F.array_intersect("found", "own")) / F.size("own")
-    scored = met.select("doc_id", "body", "license", "window", exact.alias("containment")).where(F.col("containment") >= CONTAINED)
+    known = wanted.select("license", "class", F.size("own").alias("total"), F.explode("own").alias("h"))
+    met = hits.select("doc_id", "body", "s.at", "s.h").join(F.broadcast(known), "h")  # the templates' shingles
+    steps = F.array(*[F.floor(F.col("at") / F.col("class")) - back for back in (0, 1)])
+    windows = met.withColumn("window", F.explode(steps)).groupBy("doc_id", "body", "license", "total", "window")
+    scored = windows.agg((F.size(F.collect_set("h")) / F.col("total")).alias("containment")).where(F.col("containment") >= CONTAINED)
     return scored.groupBy("doc_id", "body", "license").agg(F.max("containment").alias("containment"), F.count_distinct("window").alias("windows")).drop("body")
