@@ -528,6 +528,20 @@ def test_near_duplicates_of_awkward_tables(awkward, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_repeated_rows(spark, monkeypatch):
+    def few(ids, *rest, links=neardup._links):
+        assert len(ids) <= 3
+        return links(ids, *rest)
+
+    monkeypatch.setattr(neardup, "_links", few)
+    base = [f"w{k}" for k in range(60)]
+    near = [*base[:30], "other", *base[31:]]
+    rows = [(1, " ".join(base))] * 500 + [(2, " ".join(near)), (2, "of other words")] + [(3, " ".join(near))] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in neardup.near_duplicates(df).collect())
+    assert got == Counter({(1, 58, 1): 500, (2, 58, 1): 1, (2, 1, 1): 1, (3, 58, 1): 2})
+
+
 def test_components(spark):
     g = np.random.default_rng(2)
     edges = [(int(a), int(b)) for a, b in g.integers(0, 300, (200, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(5000, k) for k in range(5001, 5100)]
@@ -565,6 +579,19 @@ def test_top_k(spark):
     assert [r["rank"] for r in few] == [1, 2]
 
 
+def test_top_k_of_repeated_rows(spark, monkeypatch):
+    def few(q_ids, q, floor, ids, x, k, best=topk._best):
+        assert len(ids) <= 100
+        return best(q_ids, q, floor, ids, x, k)
+
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(topk, "_best", few)
+    rows = [(7, [1.0, 2.0])] * 1000 + [(k, [0.5, k / 100]) for k in range(20, 30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, F.col("vec_id") == 20).collect()
+    assert sorted((r["rank"], r.vec_id) for r in got) == [(k, 7) for k in range(1, 6)]
+
+
 def test_bounds_drop_only_what_cannot_reach(spark):
     g = np.random.default_rng(8)
     x = np.round(np.concatenate([g.normal(c, 4, (60, 6)) for c in g.normal(0, 90, (8, 6))]))

@@ -76,11 +76,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-_SIGNATURE = "w1 long, w2 long, n_shingles long, n_words long, bands array<long>, sketch binary"
+_SIGNATURE = "body long, w1 long, w2 long, n_shingles long, n_words long, bands array<long>, sketch binary"
 
 
 def signatures(df: DataFrame, rule: NearDup, row_id: str, text: str) -> DataFrame:
-    """``id``, a 128-bit hash of the words, the set's size, bucket keys and odd sketch of every row."""
+    """``id``, hashes of the text (``body``) and of the words (128 bits), the set's size, bucket keys and odd sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _multipliers(rule.samples)
@@ -110,9 +110,14 @@ def signatures(df: DataFrame, rule: NearDup, row_id: str, text: str) -> DataFram
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
                 made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["id", "w1", "w2", "n_shingles", "n_words", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made], names=["id", "body", "w1", "w2", "n_shingles", "n_words", "bands", "sketch"])
 
-    return df.select(F.col(row_id).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"id long, {_SIGNATURE}")
+    return _bodies(df, row_id, text).mapInArrow(run, f"id long, {_SIGNATURE}")
+
+
+def _bodies(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    body = F.col(text).cast("string")
+    return df.select(F.col(row_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("body"))
 
 
 class _Union:
@@ -185,7 +190,7 @@ def near_duplicates(df: DataFrame, rule: NearDup | None = None, row_id: str = "d
     stars = keyed.join(buckets, "key").select(F.col("id").alias("a"), F.col("least").alias("b"))
     grouped = components(stars)
     groups = staged(
-        grouped.unionAll(grouped.select("component", "component")).distinct().join(reps, "id").select("id", F.col("component").alias("group"), "sketch", "n_shingles", "w1", "w2"),
+        grouped.unionAll(grouped.select("component", "component")).distinct().join(reps, "id").select("id", F.col("component").alias("group"), "sketch", "n_shingles", "body"),
         "groups",
     )
     sizes = (
@@ -193,14 +198,14 @@ def near_duplicates(df: DataFrame, rule: NearDup | None = None, row_id: str = "d
         .agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
         .select("group", F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     )
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("id", "body"), F.col("blocks")).cast("int")
     pieces = (
         groups.join(sizes, "group")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("id", "group", "sketch", "w1", "w2", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .select("id", "group", "sketch", "body", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
-    bodies = df.where(F.col(row_id).isNotNull()).select(F.col(row_id).alias("id"), F.col(text).cast("string").alias("text"))
+    bodies = _bodies(df, row_id, text).where("id IS NOT NULL").dropDuplicates(["id", "body"])  # a text once, however often its row is repeated
     far = rule.farthest()
 
     def compare(table: pa.Table) -> pa.Table:
@@ -212,6 +217,6 @@ def near_duplicates(df: DataFrame, rule: NearDup | None = None, row_id: str = "d
         found = [] if not same and not split else _links(ids, sketches, _sets(table.column("text"), rule.shingle), 0 if same else split, rule, far)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    links = pieces.join(bodies, "id").select("id", "group", "sketch", "block", "i", "j", "text").groupBy("group", "i", "j").applyInArrow(compare, "a long, b long")
+    links = pieces.join(bodies, ["id", "body"]).select("id", "group", "sketch", "block", "i", "j", "text").groupBy("group", "i", "j").applyInArrow(compare, "a long, b long")
     merged = components(links.unionAll(copies))
     return rows.join(merged, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))

@@ -203,15 +203,15 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id", v
             packed = pa.array([r.tobytes() for r in x], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed, pa.array(leaf.astype(np.int32)), pa.array(far)], names=["id", "wanted", "v", "leaf", "far"])
 
-    leaves = staged(rows.select("id", "wanted", "v").mapInArrow(assign, "id long, wanted boolean, v binary, leaf int, far double"), "leaves")
+    leaves = staged(rows.select("id", "wanted", "v").mapInArrow(assign, "id long, wanted boolean, v binary, leaf int, far double").withColumn("n", F.monotonically_increasing_id()), "leaves")
     stats = leaves.groupBy("leaf").agg(F.max("far").alias("far"), F.max(F.when(F.col("wanted"), F.col("far"))).alias("far_queries"), F.count("*").alias("n"), F.count_if("wanted").alias("queries"))
     nodes = {r["leaf"]: r for r in stats.collect()}  # a row for each leaf
 
     def packed(part: DataFrame, sizes: dict[int, int], names: list[str]) -> DataFrame:
-        """The rows of a leaf as arrays, in blocks of about BLOCK_ROWS; ``sizes``: its rows by leaf."""
+        """The rows of a leaf as arrays, in blocks of about BLOCK_ROWS by their running number ``n``; ``sizes``: its rows by leaf."""
         parts = [(leaf, -(-rows // BLOCK_ROWS)) for leaf, rows in sizes.items()]
         counts = F.broadcast(spark.createDataFrame(parts, "leaf int, parts int"))
-        dealt = part.join(counts, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        dealt = part.join(counts, "leaf").withColumn("part", F.pmod(F.xxhash64("n"), F.col("parts")))
         floors = names[2:]
 
         def pack(table: pa.Table) -> pa.Table:
@@ -224,7 +224,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id", v
         return dealt.select("leaf", "part", "id", "v", *["floor" for _ in floors]).groupBy("leaf", "part").applyInArrow(pack, schema)
 
     data = staged(packed(leaves, {k: r["n"] for k, r in nodes.items()}, ["ids", "x"]), "blocks")
-    queries = leaves.where("wanted").select("leaf", "id", "v").distinct()
+    queries = leaves.where("wanted").groupBy("leaf", "id", "v").agg(F.min("n").alias("n"))
     lowest = int(np.iinfo(np.int64).min)
     asking = {k: r["queries"] for k, r in nodes.items() if r["queries"]}
     asked = packed(queries.withColumn("floor", F.lit(lowest)), asking, ["q_ids", "q", "floors"])
@@ -245,7 +245,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, row_id: str = "vec_id", v
     for q, d in pairs:
         reaching[d] = reaching.get(d, 0) + asking[q]
     wanted = F.broadcast(spark.createDataFrame(pairs, "leaf int, other int"))  # CENTRES squared at most
-    spread = bounded.join(wanted, "leaf").select(F.col("other").alias("leaf"), "id", "v", "floor")
+    spread = bounded.join(wanted, "leaf").select(F.col("other").alias("leaf"), "id", "v", "n", "floor")
     away = packed(spread, reaching, ["q_ids", "q", "floors"]).join(data, "leaf")
     found = _top(_search(away, width, k).unionAll(at_home.select("query_id", "vec_id", "score")), k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
