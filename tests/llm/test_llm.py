@@ -149,6 +149,19 @@ def test_leaks_of_an_edited_copy_in_most_documents(spark):
     assert {r.doc_id for r in decontaminate.without_leaks(df, items).collect()} == set(range(403, 420))
 
 
+def test_items_without_an_id_and_repeated_ones(spark, monkeypatch):
+    def once(rows, block=decontaminate._block):
+        assert len(rows) <= 2
+        return block(rows)
+
+    monkeypatch.setattr(decontaminate, "_block", once)
+    first, second = (" ".join(f"{c}{k}" for k in range(12)) for c in "ab")
+    df = spark.createDataFrame([(1, f"x {first}"), (2, f"x {second}"), (3, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(k, first) for k in range(5, 300)] + [(None, second)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(df, items).collect()] == [(1, 5)]
+    assert [r.doc_id for r in decontaminate.without_leaks(df, items).collect()] == [3]
+
+
 def test_no_alignment_exceeds_its_bound(monkeypatch):
     g = np.random.default_rng(15)
     for pairs in (1, 1 << 20):

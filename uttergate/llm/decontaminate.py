@@ -180,12 +180,13 @@ def _block(rows: list[tuple[int, str]]) -> Items:
     return Items(ids, kept, flat(seeds, np.uint64), flat(owner, np.int64), flat(place, np.int64))
 
 
-def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Items]:
+def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", named: bool = True) -> Iterator[Items]:
     """The items, a bounded block at a time.
 
-    Items without id or text, or of fewer than ``MIN_WORDS`` words, are left out: they can't be told from chance.
+    Of equal texts the least id speaks for all. Items without text, where ``named`` those without id too, and items of fewer than ``MIN_WORDS`` words, are left out: they can't be told from chance.
     """
-    rows = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    rows = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
+    rows = (rows.where("id IS NOT NULL") if named else rows).groupBy("text").agg(F.min("id").alias("id"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES)
     for k in range(blocks):
@@ -234,7 +235,7 @@ def _clean(block: Items, text: Column) -> Column:
 
 
 def without_leaks(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text holds no copy of an item, all columns as they are."""
-    for block in item_blocks(items):
+    """The rows of ``df`` whose text holds no copy of an item, with or without an id, all columns as they are."""
+    for block in item_blocks(items, named=False):
         df = df.where(_clean(block, F.col(text)))
     return df
