@@ -376,6 +376,15 @@ def test_licenses_beside_each_other(spark):
     assert got == {(d, k): 1 for d, _ in rows for k in licenses.TEMPLATES if k.endswith("-notice")}
 
 
+def test_long_and_short_licenses(spark):
+    long = " ".join(f"w{k}" for k in range(3000))
+    templates = {"long": long, "short": "All rights reserved."}
+    rows = [(1, "word " * 70 + long), (2, "word, all RIGHTS reserved"), (3, "all rights"), (4, " ".join(long.split()[:2000]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.license): r.containment for r in licenses.license_matches(df, templates).collect()}
+    assert got == {(1, "long"): 1, (2, "short"): 1}
+
+
 # 6
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 CONTAINED = 0.8
-CLASSES = (8, 16, 32, 64, 128, 256, 512, 1024)
+CLASSES = tuple(1 << k for k in range(3, 31))  # no text has more words
 STRETCH = 1.25  # room for words put in
 
 # Wordings of public license notices.
@@ -45,25 +45,25 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _shingles(words: Column) -> Column:
-    """Place and hash of every five words on end."""
+def _shingles(words: Column, length: Column) -> Column:
+    """Place and hash of every ``length`` words on end."""
     n = F.size(words)
-    places = F.when(n >= SHINGLE, F.sequence(F.lit(0), n - SHINGLE)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, SHINGLE)).alias("h")))
+    places = F.when(n >= length, F.sequence(F.lit(0), n - length)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, length)).alias("h")))
 
 
 def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
-    """``license``, ``class`` and the distinct shingle hashes ``own`` of each template of five words or more."""
+    """``license``, ``class`` and the distinct shingle hashes ``own`` of each template; one of under five words is one shingle."""
     listed = spark.createDataFrame(sorted((templates or TEMPLATES).items()), "license string, wording string")
-    cut = listed.withColumn("words", tokens(F.col("wording"))).where(F.size("words") >= SHINGLE)
+    cut = listed.withColumn("words", tokens(F.col("wording"))).where(F.size("words") > 0)
     fits = F.array_min(F.filter(F.array(*map(F.lit, CLASSES)), lambda c: c >= F.size("words") * STRETCH))
-    own = F.array_distinct(F.transform(_shingles(F.col("words")), lambda s: s["h"]))
-    return cut.select("license", F.coalesce(fits, F.lit(CLASSES[-1])).alias("class"), own.alias("own"), "words")
+    own = F.array_distinct(F.transform(_shingles(F.col("words"), F.least(F.lit(SHINGLE), F.size("words"))), lambda s: s["h"]))
+    return cut.select("license", fits.alias("class"), own.alias("own"), "words")
 
 
 def _anchors(words: list[list[str]]) -> list[str]:
     """A few words of which every shingle of every template has one, rather long than short ones."""
-    spans = {tuple(w[i : i + SHINGLE]) for w in words for i in range(len(w) - SHINGLE + 1)}
+    spans = {tuple(w[i : i + SHINGLE]) for w in words for i in range(max(1, len(w) - SHINGLE + 1))}
     chosen: list[str] = []
     while spans:
         votes: dict[str, int] = {}
@@ -80,16 +80,18 @@ def license_matches(df: DataFrame, templates: dict[str, str] | None = None, row_
 
     A row for each license of which a document's window holds at least 80 percent of the shingles. Null and empty
     texts match nothing; rows equal in id and text are reported once; a null id stays null. An empty table gives
-    none. Other columns are left aside. Templates longer than the largest class are compared within it.
+    none. Other columns are left aside.
     """
     wanted = template_table(df.sparkSession, templates)
     fixed = wanted.select("own", "words").collect()  # the templates, a fixed list
     universe = sorted({h for r in fixed for h in r["own"]})
     anchors = _anchors([r["words"] for r in fixed])
+    lengths = sorted({min(SHINGLE, len(r["words"])) for r in fixed} or {SHINGLE})
 
     cut = df.select(F.col(row_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("body"), tokens(F.col(text).cast("string")).alias("words"))
     near = cut.where(F.exists("words", lambda w: w.isin(anchors)))
-    hits = near.select("doc_id", "body", F.explode(F.filter(_shingles(F.col("words")), lambda s: s["h"].isin(universe))).alias("s"))
+    found = [F.filter(_shingles(F.col("words"), F.lit(n)), lambda s: s["h"].isin(universe)) for n in lengths]
+    hits = near.select("doc_id", "body", F.explode(F.concat(*found)).alias("s"))
     known = wanted.select("license", "class", F.size("own").alias("total"), F.explode("own").alias("h"))
     met = hits.select("doc_id", "body", "s.at", "s.h").join(F.broadcast(known), "h")  # the templates' shingles
     steps = F.array(*[F.floor(F.col("at") / F.col("class")) - back for back in (0, 1)])
