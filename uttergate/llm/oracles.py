@@ -89,4 +89,38 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-SQL = {"op5_licenses": OP5, "op10_topk": OP10, "op9_neardup": OP9, "op6_mixing": OP6}
+
+
+def _op13(rounds: int = 6) -> str:
+    """Every round is a table of assignments and one of moved entries."""
+    near = """
+a{k} AS MATERIALIZED (
+  SELECT vec_id, part, x, entry, d FROM (
+    SELECT p.vec_id, p.part, p.x, c.entry, list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d,
+      row_number() OVER (PARTITION BY p.vec_id, p.part ORDER BY d, c.entry) AS n
+    FROM parts p JOIN c{k} c ON p.part = c.part) WHERE n = 1),"""
+    move = """
+s{k} AS (
+  SELECT part, entry, i, sum(v)::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM (SELECT part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY ALL),
+m{k} AS (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM s{k} GROUP BY part, entry),
+c{next} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m ON c.part = m.part AND c.entry = m.entry),"""
+    steps = "".join(near.format(k=k) + move.format(k=k, next=k + 1) for k in range(rounds)) + near.format(k=rounds)
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v,
+    row_number() OVER (ORDER BY vec_id) - 1 AS entry
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, entry AS n, part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] AS x FROM kept CROSS JOIN range(8) AS r(part)),
+c0 AS MATERIALIZED (SELECT part, n AS entry, x AS c FROM parts WHERE n < 16),{steps}
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+spelled AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT k.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept k JOIN coded USING (vec_id) CROSS JOIN spelled
+"""
+
+
+OP13 = _op13()
+
+SQL = {"op5_licenses": OP5, "op10_topk": OP10, "op9_neardup": OP9, "op6_mixing": OP6, "op13_codes": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, licenses, mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
+from . import codes, ctw, decontaminate, licenses, mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -106,4 +106,20 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_ctw": op3_ctw, "op5_licenses": op5_licenses, "op10_topk": op10_topk, "op4_warc": op4_warc, "op7_tokenbin": op7_tokenbin, "op8_quality": op8_quality, "op9_neardup": op9_neardup, "op2_sharding": op2_sharding, "op6_mixing": op6_mixing}
+def op13_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.codes(spark.read.parquet(f"{sf}/embeddings.parquet")).drop("label")
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_sharding": op2_sharding,
+    "op3_ctw": op3_ctw,
+    "op4_warc": op4_warc,
+    "op5_licenses": op5_licenses,
+    "op6_mixing": op6_mixing,
+    "op7_tokenbin": op7_tokenbin,
+    "op8_quality": op8_quality,
+    "op9_neardup": op9_neardup,
+    "op10_topk": op10_topk,
+    "op13_codes": op13_codes,
+}
