@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, ctw, decontaminate, licenses, mixing, nbsvm, neardup, sharding, tokenbin, topk, warc
+from . import codes, ctw, decontaminate, licenses, mixing, nbsvm, neardup, packing, sharding, tokenbin, topk, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -106,6 +106,15 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+PACK_END_ID = 0
+
+
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(_documents(spark, sf, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), PACK_END_ID)
+
+
 def op13_codes(spark: SparkSession, sf: str) -> DataFrame:
     return codes.codes(spark.read.parquet(f"{sf}/embeddings.parquet")).drop("label")
 
@@ -121,5 +130,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_neardup": op9_neardup,
     "op10_topk": op10_topk,
+    "op12_packing": op12_packing,
     "op13_codes": op13_codes,
 }

@@ -97,7 +97,7 @@ class Encoder:
         return out, np.diff(totals) + 1
 
 
-def _encoder(path: str) -> Encoder:
+def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -118,7 +118,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int, folder: str | None = No
     ranges = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(tokenizer)
+        coder = encoder(tokenizer)
         kind = np.uint16 if max(coder.size, end + 1) <= 1 << 16 else np.uint32
         part = TaskContext.get().partitionId()
         uri = f"{folder}/{part:06d}-{uuid.uuid4().hex}"
