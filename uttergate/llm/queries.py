@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, ctw, decontaminate, licenses, mixing, nbsvm, neardup, packing, sharding, tokenbin, topk, warc
+from . import codes, ctw, decontaminate, licenses, mixing, nbsvm, neardup, packing, periodic, sharding, tokenbin, topk, warc
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -106,6 +106,10 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_periodic(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.repeated_passages(_documents(spark, sf, "doc_id", "text"), periodic.planted)
+
+
 PACK_END_ID = 0
 
 
@@ -130,6 +134,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_neardup": op9_neardup,
     "op10_topk": op10_topk,
+    "op11_periodic": op11_periodic,
     "op12_packing": op12_packing,
     "op13_codes": op13_codes,
 }
