@@ -2,7 +2,7 @@
 
 from .licenses import TEMPLATES
 
-_LISTED = ", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())
+_LISTED = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
 
 OP5 = (
     f"""
