@@ -129,12 +129,16 @@ def test_leaks(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(9))
     table = spark.createDataFrame([*((k, " ".join(w)) for k, w in items), (7, None), (None, "x"), (8, "the of"), (9, " ".join(items[0][1]))], "item_id long, text string")
     found = decontaminate.leaks(df, table).collect()
-    assert {(r.doc_id, r.item_id) for r in found} == {(d, d) for d in plants} | {(100 + k, 0) for k in range(60)} | {(None, 0)}
+    short = {(d, 8) for d, t in rows if t and re.search(r"\bthe of\b", t)}  # items of a few words are found word for word
+    assert short and {(r.doc_id, r.item_id) for r in found} == {(d, d) for d in plants} | {(100 + k, 0) for k in range(60)} | {(None, 0)} | short
+    longer = decontaminate.leaks(df, table, min_words=3).collect()
+    assert {(r.doc_id, r.item_id) for r in longer} == {(r.doc_id, r.item_id) for r in found} - short
     by = {(r.doc_id, r.item_id): r for r in found}
     assert by[(0, 0)].similarity == 1 and (by[(0, 0)].first_word, by[(0, 0)].last_word) == (300, 340)
     assert 0.5 < by[(1, 1)].similarity < 0.85
-    clean = decontaminate.without_leaks(df, table)
+    clean = decontaminate.without_leaks(df, table, min_words=3)
     assert {r.doc_id for r in clean.collect()} == set(range(3, 12)) | {200, 201} and clean.columns == df.columns
+    assert {r.doc_id for r in decontaminate.without_leaks(df, table).collect()} == set(range(3, 12)) - {d for d, _ in short} | {200, 201}
 
 
 def test_leaks_of_an_edited_copy_in_most_documents(spark):
@@ -149,34 +153,94 @@ def test_leaks_of_an_edited_copy_in_most_documents(spark):
     assert {r.doc_id for r in decontaminate.without_leaks(df, items).collect()} == set(range(403, 420))
 
 
-def test_items_without_an_id_and_repeated_ones(spark, monkeypatch):
-    def once(rows, block=decontaminate._block):
-        assert len(rows) <= 2
-        return block(rows)
-
-    monkeypatch.setattr(decontaminate, "_block", once)
+def test_items_without_an_id_and_repeated_ones(spark):
     first, second = (" ".join(f"{c}{k}" for k in range(12)) for c in "ab")
-    df = spark.createDataFrame([(1, f"x {first}"), (2, f"x {second}"), (3, "x")], "doc_id long, text string")
-    items = spark.createDataFrame([(k, first) for k in range(5, 300)] + [(None, second)], "item_id long, text string")
+    df = spark.createDataFrame([(1, f"x {first}"), (2, f"x {second}"), (3, "x")], "doc_id long, text string").withColumns({c: F.lit(1) for c in ("row", "maybe", "body", "key", "id")})
+    items = spark.createDataFrame([(k, first) for k in range(5, 300)] + [(300, first.upper()), (None, second)], "item_id long, text string")
     assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(df, items).collect()] == [(1, 5)]
-    assert [r.doc_id for r in decontaminate.without_leaks(df, items).collect()] == [3]
-
-
-def test_no_alignment_exceeds_its_bound(monkeypatch):
-    g = np.random.default_rng(15)
-    for pairs in (1, 1 << 20):
-        monkeypatch.setattr(decontaminate, "_PAIRS", pairs)
-        items = [(k, " ".join(f"v{x}" for x in g.integers(0, 9, g.integers(5, 30)))) for k in range(30)]
-        block = decontaminate._block(items)
-        t = wh.texts(pa.array([" ".join(f"v{x}" for x in g.integers(0, 9, 60)) for _ in range(12)]))
-        hashes, first, at, which = block.hits(t)
-        seen = 0
-        for d, i, spans in block.windows(first, at, which):
-            for a, b, seeds in spans:
-                assert first[d] <= a < b <= first[d + 1]
-                assert decontaminate.align(block.words[i], hashes[a:b])[0] <= block.most(i, hashes[a:b], seeds)
-                seen += seeds
-        assert seen == (block.owners[1][which + 1] - block.owners[1][which]).sum()
+    clean = decontaminate.without_leaks(df, items)
+    assert [r.doc_id for r in clean.collect()] == [3] and clean.columns == df.columns
+
+
+def brute_leaks(docs, items):
+    """Every pair of a document and an item whose alignment over the whole text is a copy."""
+    out, code = {}, {}
+    number = lambda t: np.array([code.setdefault(w, len(code)) for w in words_of(t)], np.int64)
+    least = {}
+    for k, t in items:
+        if words_of(t) and k is not None:
+            least[tuple(words_of(t))] = min(k, least.get(tuple(words_of(t)), k))
+    items = [(k, number(" ".join(w))) for w, k in least.items()]
+    for d, t in docs:
+        x = number(t)
+        for k, item in items:
+            n = len(item)
+            need = max(n, min(2 * n, 10))
+            if 2 * np.isin(item, x).sum() >= need and (score := decontaminate.align(item, x)[0]) >= need:
+                out[(d, k)] = score / (2 * n)
+    return out
+
+
+def test_leaks_against_all_pairs(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    got = {(r.doc_id, r.item_id): r.similarity for r in queries.op1_decontaminate(spark, SMALL).collect()}
+    assert got == brute_leaks(docs, items) and got
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_leaks_of_every_kind_of_edit(spark, monkeypatch, limit):
+    """Items of 1 to 40 words in a small vocabulary, substituted, cut, stretched and interleaved, some often."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    g = np.random.default_rng(16)
+    text = lambda n: [f"v{x}" for x in g.integers(0, 60, n)]
+    items = [(k, " ".join([*(["stock", "phrase", "of", "many", "items"] if k % 3 == 0 else []), *text(1 + k)])) for k in range(40)]
+    docs = [(0, "x a four word item y"), (1, "z one two Q three four R five six k")]
+    items += [(100, "A four word item"), (101, "one two three four five six"), (102, "v7"), (None, "v8 v9")]
+    for d in range(2, 150):
+        w = items[d % 40][1].split()
+        for _ in range(int(g.integers(0, 1 + len(w) // 2))):
+            at = int(g.integers(0, len(w)))
+            w[at : at + int(g.integers(0, 2))] = text(int(g.integers(0, 3)))
+        w = [y for x in w for y in (x, "put")] if d % 17 == 0 else w
+        docs.append((d, " ".join(text(int(g.integers(0, 30))) + w + text(int(g.integers(0, 30))))))
+    docs += [(200 + k, docs[5][1]) for k in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(df, table).collect()}
+    want = brute_leaks(docs, items)
+    assert got == want and {(0, 100), (1, 101)} <= set(got) and len(got) > 150
+    bad = {d for d, _ in want} | {d for d, t in docs if "v8 v9" in t}
+    assert {r.doc_id for r in decontaminate.without_leaks(df, table).collect()} == {d for d, _ in docs} - bad
+
+
+def test_no_chain_of_seeds_given_up_is_enough():
+    g = np.random.default_rng(17)
+    for _ in range(300):
+        n = int(g.integers(2, 25))
+        step = np.concatenate([np.ones(n - 1, int), np.full(max(0, n - 2), 2)])
+        place = np.concatenate([np.arange(n - 1), np.arange(max(0, n - 2))])
+        out = decontaminate.given_up(n, step, place, g.integers(0, 5, len(step)).astype(float))
+        gone = {(int(s), int(p)) for s, p, o in zip(step, place, out, strict=True) if o}
+        best = [0] * (n + 1)  # the heaviest chain up to each word
+        for i in range(1, n):
+            best[i] = max(best[i - 1] + 2 * ((1, i - 1) in gone), best[i - 2] + ((2, i - 2) in gone) if i > 1 else 0)
+        assert max(best) < decontaminate.wanted(n) - 2
+    assert out.any()
+
+
+def test_a_stock_phrase_is_no_seed(spark):
+    """What documents share with all items costs no comparison as long as items can do without it."""
+    g = np.random.default_rng(18)
+    text = lambda n: " ".join(f"v{x}" for x in g.integers(0, 10**6, n))
+    stem = "which of the following is the best"
+    items = spark.createDataFrame([(k, f"{stem} {text(20)}") for k in range(200)], "item_id long, text string")
+    df = spark.createDataFrame([(k, f"{text(100)} {stem} {text(100)}") for k in range(50)], "id long, text string")
+    table = decontaminate._item_table(items, "item_id", "text", True, 1)
+    every = decontaminate._item_seeds(table)
+    often = decontaminate._counted(df, decontaminate.Bitmap(every.select("seed").distinct()), False)
+    assert often.agg(F.sum("often")).first()[0] >= 50 * 11
+    assert decontaminate._rare(every, often).count() == 0
 
 
 def test_leaks_of_awkward_tables(spark, awkward, empty):
