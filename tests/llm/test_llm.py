@@ -288,6 +288,20 @@ def test_sharding_query(spark, docs):
     assert set(sizes) == set(range(40)) and max(sizes.values()) - min(sizes.values()) <= 1
 
 
+INNER = ["row", "number", "place", "part", "base", "tie", "to", "key0", "__part", "__to", "__rank", "__n", "__id", "n", "rank", "at", "piece", "inside", "of", "maybe", "SLOT", "Shard", "Copies", "a.b"]
+
+
+def test_names_do_not_clash(spark):
+    df = spark.createDataFrame([(k, f"text {k}", "s") for k in range(9)], "doc_id long, text string, source string").withColumns({f"{c}": F.lit(c) for c in INNER})
+    out = sharding.sharded(df, ["doc_id"], 2)
+    assert out.columns == [c for c in df.columns if c not in ("SLOT", "Shard")] + ["shard", "slot"]
+    sized = df.withColumns({"words": F.lit(2), "k": F.md5("text")})
+    mix = mixing.mixed(sized, "words", "source", "k")
+    assert mix.columns == [c for c in sized.columns if c != "Copies"] + ["source_size", "target", "taken", "copies"]
+    for r in [*out.collect(), *mix.collect()]:
+        assert all(r[c] == c for c in INNER if c in r.asDict())
+
+
 # 3
 
 
@@ -533,6 +547,23 @@ def test_mixing_cuts_many_ranges(spark, monkeypatch):
             before += r.size
 
 
+def test_mixing_a_repeated_row(spark, monkeypatch):
+    """Rows with one key share no window of more than BUCKET_ROWS rows."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 64)
+    rows = [(1, "hot", "the same text", 3)] * 3000 + [(k, "hot", f"text {k}", 2) for k in range(2, 400)] + [(k, "b", f"t {k}", 9) for k in range(400, 900)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, size long").repartition(5)
+    df = df.withColumn("key", mixing.random_key(F.col("doc_id"), F.col("text")))
+    out = mixing.mixed(df)
+    got = out.collect()
+    for s in ("hot", "b"):
+        mine = [r for r in got if r.source == s]
+        assert sum(r.taken for r in mine) == math.floor(mine[0].target + 0.5)
+        rounds, rest = divmod(math.floor(mine[0].target + 0.5), mine[0].source_size)
+        assert sum(r.taken - rounds * r["size"] for r in mine) == rest and all(0 <= r.taken - rounds * r["size"] <= r["size"] for r in mine)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "piece" in plan and "Python" not in plan
+
+
 # 7
 
 
@@ -591,6 +622,47 @@ def test_quality_of_awkward_tables(spark, awkward, empty):
     assert empty.select(nbsvm.score(nbsvm.fit(empty, labels), F.col("text"))).count() == 0
 
 
+def plain_nbsvm(rows):
+    """Margins by the book: rows of (features, label) in the order of the fit; every fifth only sets the sigmoid."""
+    fit = [r for k, r in enumerate(rows) if k % 5]
+    names = list({f for fs, _ in rows for f in fs})
+    size = 1 << nbsvm.FEATURE_BITS  # features that no text has count once in either class
+    p = {g: {f: 1 + sum(f in fs for fs, y in fit if y == g) for f in names} for g in (0, 1)}
+    total = {g: size + sum(len(fs) for fs, y in fit if y == g) for g in (0, 1)}
+    ratio = {f: math.log(p[1][f] / total[1]) - math.log(p[0][f] / total[0]) for f in names}
+    w, alpha = dict.fromkeys(names, 0.0), [0.0] * len(fit)
+    order, g = np.arange(len(fit)), np.random.default_rng(5)
+    for _ in range(nbsvm.EPOCHS):
+        g.shuffle(order)
+        for i in order:
+            fs, y = fit[i][0], 1 if fit[i][1] else -1
+            scale = 1 / math.sqrt(len(fs))
+            norm = sum((ratio[f] * scale) ** 2 for f in fs)
+            new = min(max(alpha[i] - (y * sum(w[f] * ratio[f] * scale for f in fs) - 1) / norm, 0.0), nbsvm.COST)
+            for f in fs:
+                w[f] += (new - alpha[i]) * y * ratio[f] * scale
+            alpha[i] = new
+    return [sum(w[f] * ratio[f] for f in fs) / math.sqrt(len(fs)) for fs, _ in rows]
+
+
+def plain_features(text):
+    w, b = SPACE.findall(text), text.encode()
+    return {*w, *zip(w, w[1:]), *(("gap", x, y) for x, y in zip(w, w[2:])), *(b[i : i + 3] for i in range(len(b) - 2))}
+
+
+def test_quality_against_plain_nbsvm(spark):
+    g = np.random.default_rng(61)
+    texts = [" ".join(g.choice(["good", "fine", "well", "so", "it"] if k % 2 else ["bad", "poor", "junk", "so", "it"], 12)) for k in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, quality int")
+    at = {r.doc_id: r.at for r in df.select("doc_id", F.xxhash64(F.lit(7), "doc_id").alias("at")).collect()}
+    order = sorted(range(50), key=lambda k: at[k])
+    model = nbsvm.fit(df.unionAll(df.where("doc_id = 3")), labels)  # a repeated row
+    want = plain_nbsvm([(plain_features(texts[k]), k % 2) for k in order])
+    got = model.margins(nbsvm._each(pa.array([texts[k] for k in order])))
+    assert got == pytest.approx(np.array(want), abs=1e-4)
+
+
 # 9
 
 
@@ -747,24 +819,59 @@ def test_pipeline_stages(spark, awkward, tmp_path):
     assert kept["sharded"] == every
 
 
+def test_pipeline_of_repeated_ids_and_odd_names(spark, tmp_path):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:30], "other", *base[31:]])
+    rows = [(1, " ".join(base)), (1, "quite another text of seven words here"), (2, near), (None, "a text without id said twice over"), (None, "a text without id said twice over")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"source": F.lit("s"), **{c: F.lit(c) for c in INNER}})
+    out = corpus_pipeline.near_duplicates(spark, df, "")
+    assert out.columns == df.columns
+    assert sorted((str(r.doc_id), r.text[:7]) for r in out.collect()) == [("1", "quite a"), ("1", "w0 w1 w"), ("None", "a text ")]
+    assert corpus_pipeline.mixed(spark, df, "").columns == df.columns
+    placed = corpus_pipeline.sharded(spark, df, "")
+    assert placed.columns == [c for c in df.columns if c not in ("SLOT", "Shard")] + ["shard", "slot"]
+    placed.write.parquet(str(tmp_path / "placed"))
+
+
 def test_pipeline(spark):
+    """Every stage recomputed from what the one before left."""
     sf = SMALL
-    rows = corpus_pipeline.run(spark, sf).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    groups = brute_components(list(texts.items()), 5, 80)
-    kept = {r.doc_id for r in rows}
-    assert len({groups[d][1] for d in kept}) == len(kept)
-    leaked = {r.doc_id for r in queries.op1_decontaminate(spark, sf).collect()}
-    assert not kept & leaked
+    sources = {r.doc_id: r.source for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    left = {}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.staged(stage(spark, docs, sf), name)
+        left[name] = Counter(r.doc_id for r in docs.collect())
+    good = {r.doc_id for r in queries.op8_quality(spark, sf).collect() if r.predicted}
+    assert set(left["quality"]) == good
+    groups = brute_components([(d, texts[d]) for d in good], 5, 80)
+    assert set(left["near_duplicates"]) == {c for _, c in groups.values()}
+    leaked = {d for d, _ in brute_leaks([(d, texts[d]) for d in left["near_duplicates"]], items)}
+    assert set(left["decontaminated"]) == set(left["near_duplicates"]) - leaked and leaked
+    size = {d: len(SPACE.findall(texts[d] or "")) for d in left["decontaminated"]}
+    by_source = defaultdict(int)
+    for d, n in size.items():
+        by_source[sources[d]] += n
+    target = targets(spark, by_source)
+    for s, total in by_source.items():  # a source's copies cover its budget, the last one begun inside it
+        mine = [d for d in size if sources[d] == s]
+        rounds = math.floor(target[s] + 0.5) // total if total else 0
+        assert all(rounds <= left["mixed"][d] <= rounds + 1 for d in mine)
+        more = [size[d] for d in mine if left["mixed"][d] > rounds]
+        assert sum(more) >= math.floor(target[s] + 0.5) - rounds * total >= sum(more) - max(more, default=0)
+    assert left["sharded"] == left["mixed"] == Counter(r.doc_id for r in corpus_pipeline.run(spark, sf).collect())
     by = defaultdict(list)
-    for r in rows:
+    for r in docs.collect():
         by[r.shard].append(r.slot)
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
 
 
 def test_entry_counts_every_query(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{k}" for k in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{k}" for k in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert json.dumps(sorted(oracles.SQL)) and set(oracles.SQL) <= names

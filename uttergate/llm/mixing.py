@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
-Every document gets a hash-random key. Each source is cut into key ranges of about ``BUCKET_ROWS`` rows; sums of
-the ranges give the words before each range and a window inside it the words before each document. A document is
+Every document gets a hash-random key. Rows are range-sorted by source, key and a running id, which splits equal keys over
+tasks, and cut into pieces of ``BUCKET_ROWS`` rows; sums of partitions and of pieces give the words before each piece and
+a window inside it the words before each document. Only numbers are sorted; texts wait. A document is
 taken as often as its source's budget goes over it: whole rounds over the source first, then the part of the last
 round that its prefix still leaves.
 """
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .rownumbers import INDEX_BITS, expanded, without
 from .store import staged
 
 WEIGHTS = (1, 2, 3)
@@ -77,53 +79,36 @@ def mixed(
     The words taken of a source are its target, rounded. Documents of no words are taken 0 words; they count as
     begun where their prefix is. Rows of a null source are a source. Rows with equal keys are taken one after the
     other; only such rows, when equal in key and size, could swap. Empty tables give empty tables. Columns of
-    ``df`` with the names of the new ones are replaced.
+    ``df`` are kept, whatever their names, but for those named as the new ones, in any case, which are replaced.
     """
-    new = ("source_size", "target", "taken", "copies")
-    rows = staged(df.drop(*(c for c in new if c not in (size, source, key))), "mix")
-    size_, source_, key_ = (F.col(f"`{c}`") for c in (size, source, key))
-    sums = rows.groupBy(source_.alias("source")).agg(
-        F.sum(size_).alias("source_size"), F.count("*").alias("n")
-    )
-    targets = source_targets(sums.select("source", "source_size"), weights, max_epochs)
-    of = (
-        targets.alias("t")
-        .join(sums.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source")))
-        .select(
-            F.col("t.source").alias("__source"),
-            F.col("t.source_size").alias("__size"),
-            F.col("target").alias("__target"),
-            F.col("rank").alias("__rank"),
-            F.ceil(F.col("n") / BUCKET_ROWS).alias("__ranges"),
-        )
-    )
-    place = F.conv(F.substring(key_, 1, 8), 16, 10).cast("long")
-    bucket = F.shiftright(place * F.col("__ranges"), 32)
-    dealt = rows.join(of, source_.eqNullSafe(F.col("__source"))).withColumn("__bucket", bucket)
-    at = ["__rank", "__bucket"]
-    before = Window.partitionBy("__rank").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        dealt.groupBy(*at)
-        .agg(F.sum(size_).alias("__words"))
-        .select(*at, F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__base"))
-    )
-    inside = Window.partitionBy(*at).orderBy(key_, size_).rowsBetween(Window.unboundedPreceding, -1)
-    budget = F.floor(F.col("__target") + 0.5).cast("long")
-    rounds = F.when(F.col("__size") > 0, F.expr("__budget DIV __size")).otherwise(F.lit(0))
-    out = (
-        dealt.withColumns({"__before": F.coalesce(F.sum(size_).over(inside), F.lit(0)), "__budget": budget})
-        .join(bases, at)
-        .withColumn("__prefix", F.col("__base") + F.col("__before"))
-        .withColumn("__rounds", rounds)
-        .withColumn("__rest", F.col("__budget") - F.col("__rounds") * F.col("__size"))
-    )
-    part = F.greatest(F.lit(0), F.least(size_, F.col("__rest") - F.col("__prefix")))
-    begun = F.col("__rounds") + (F.col("__prefix") < F.col("__rest")).cast("long")
-    kept = [f"`{c}`" for c in rows.columns]
-    return out.select(
-        *kept,
-        F.col("__size").alias("source_size"),
-        F.col("__target").alias("target"),
-        (F.col("__rounds") * size_ + part).cast("long").alias("taken"),
-        begun.alias("copies"),
+    named = [F.col(f"`{c}`").alias(n) for c, n in ((size, "size"), (source, "source"), (key, "key"))]
+    rows = staged(df.select(F.struct("*").alias("row"), *named, F.monotonically_increasing_id().alias("id")), "mix")
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(sums, weights, max_epochs).select(F.struct("source").alias("of"), "source_size", "target", "rank")
+    ranked = rows.select(F.struct("source").alias("of"), "size", "key", "id").join(targets, "of").drop("of")
+    order = ["rank", "key", "size", "id"]
+    ranges = ranked.repartitionByRange(*order).sortWithinPartitions(*order)
+    cut = staged(ranges.withColumn("at", F.monotonically_increasing_id()), "mix-order")
+    index = F.col("at").bitwiseAND((1 << INDEX_BITS) - 1)
+    cut = cut.withColumns({"part": F.shiftrightunsigned("at", INDEX_BITS), "piece": F.floor(index / BUCKET_ROWS)})
+    pieces = cut.groupBy("rank", "part", "piece").agg(F.sum("size").alias("words"))
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda name, *by: F.coalesce(F.sum(name).over(earlier(*by)), F.lit(0))
+    parts = pieces.groupBy("rank", "part").agg(F.sum("words").alias("words"))  # a row for each partition of a source
+    parts = parts.select("rank", "part", so_far("words", "rank", "part").alias("part_base"))
+    pieces = pieces.select("rank", "part", "piece", so_far("words", "rank", "part", "piece").alias("piece_base")).join(parts, ["rank", "part"])
+    prefix = F.col("part_base") + F.col("piece_base") + F.col("inside")
+    budget = F.floor(F.col("target") + 0.5).cast("long")
+    rounds = F.when(F.col("source_size") > 0, F.expr("budget DIV source_size")).otherwise(F.lit(0))
+    placed = (
+        cut.withColumn("inside", so_far("size", "rank", "part", "piece", "at"))
+        .join(pieces, ["rank", "part", "piece"])
+        .select("id", "size", "source_size", "target", prefix.alias("prefix"), budget.alias("budget"))
+        .withColumn("rounds", rounds)
+        .withColumn("rest", F.col("budget") - F.col("rounds") * F.col("source_size"))
     )
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("prefix")))
+    begun = F.col("rounds") + (F.col("prefix") < F.col("rest")).cast("long")
+    taken = placed.select("id", "source_size", "target", (F.col("rounds") * F.col("size") + part).cast("long").alias("taken"), begun.alias("copies"))
+    new = ("source_size", "target", "taken", "copies")
+    return rows.select("row", "id").join(taken, "id").select(*expanded("row", without(df.columns, new)), *new)

@@ -1,12 +1,12 @@
 """Quality classifier: a support vector machine over naive Bayes features.
 
-A text's features are indicators of its n-grams, hashed: raw words, word pairs, byte triples, and whether a word
-repeats the one before (with the share of such words in eighths). Each indicator is scaled by the logarithm of the
+A text's features are indicators of its n-grams, hashed: raw words, pairs of words side by side and with one between, and
+byte triples. Each indicator is scaled by the logarithm of the
 ratio of its smoothed frequencies in the two classes; a linear hinge-loss model on top is fitted by dual coordinate
 descent. A sigmoid fitted on rows that the descent has not seen turns margins into scores.
 
-Fitting uses at most ``FIT_ROWS`` labelled rows of each class, those least by a hash of their id, in one task; the
-true numbers of the classes weigh them. Scoring covers every row and whole texts, wherever they lie.
+Fitting uses at most ``FIT_ROWS`` labelled ids of each class, those least by a hash, in one task, each with one text: of
+rows that repeat an id, the least by a hash of the text. The true numbers of the classes weigh them. Scoring covers every row and whole texts, wherever they lie.
 """
 
 from __future__ import annotations
@@ -39,10 +39,8 @@ def _features(h: np.ndarray, data: np.ndarray) -> np.ndarray:
     if len(data) > 2:
         triples = _byte_triples(data) * np.uint32(0x9E37_79B1)
         parts.append(triples >> np.uint32(32 - FEATURE_BITS))
-    if len(h) > 1:
-        share = np.count_nonzero(h[1:] == h[:-1]) / (len(h) - 1)
-        said = np.arange(1, 2 + int(np.ceil(8 * share)), dtype=np.uint64)
-        parts.append((mix(said) >> down).astype(np.uint32))
+    if len(h) > 2:
+        parts.append((mix(h[:-2] * np.uint64(0x9E37_79B9_7F4A_7C15) + h[2:]) >> down).astype(np.uint32))
     return np.unique(np.concatenate(parts))
 
 
@@ -134,7 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str =
     sample = F.broadcast(chosen[0].unionAll(chosen[1]))  # FIT_ROWS rows of each class at most
     totals = np.array([known.where(f"good = {g}").count() for g in (0, 1)], float)
     body = docs.select(F.col(row_id).alias("id"), F.col(text).cast("string").alias("text"))
-    rows = body.join(sample, "id").withColumn("at", F.xxhash64(F.lit(7), "id")).repartition(1)
+    one = body.join(sample, "id").groupBy("id", "good").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    rows = one.withColumn("at", F.xxhash64(F.lit(7), "id")).repartition(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rownumbers import numbered
+from .rownumbers import expanded, numbered, without
 
 SEED = 20_250_607
 ROUNDS = 8
@@ -65,18 +65,19 @@ def sharded(df: DataFrame, keys: list[str], shards: int, seed: int = SEED) -> Da
     """``df`` with ``shard`` int (0 to ``shards`` - 1) and ``slot`` long (gapless from 0 in each shard).
 
     The order of ``keys`` (nulls first) numbers the rows, so reruns over the same rows agree whatever their files;
-    rows whose keys are all equal may swap places. An empty table gives an empty table. Other columns are kept,
-    but for ones named ``shard`` or ``slot``, which are replaced.
+    rows whose keys are all equal may swap places. The law counts rows: those of equal texts, or of equal anything, are
+    rows like others and fall to shards as far apart as any. An empty table gives an empty table. Other columns are kept,
+    whatever their names, but for ones named ``shard`` or ``slot``, in any case, which are replaced.
     """
-    rows, n = numbered(df.drop("shard", "slot"), keys, "__row")
+    rows, n = numbered(df, keys)
 
     @F.pandas_udf("long")
     def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
             yield pd.Series(permute(x.to_numpy(), n, seed))
 
-    return rows.withColumn("__to", place("__row")).select(
-        *[f"`{c}`" for c in rows.columns if c != "__row"],
-        F.pmod("__to", F.lit(shards)).cast("int").alias("shard"),
-        F.floor(F.col("__to") / shards).cast("long").alias("slot"),
+    return rows.select("row", place("number").alias("to")).select(
+        *expanded("row", without(df.columns, ("shard", "slot"))),
+        F.pmod("to", F.lit(shards)).cast("int").alias("shard"),
+        F.floor(F.col("to") / shards).cast("long").alias("slot"),
     )
