@@ -1,8 +1,8 @@
 """From raw documents to training shards: five stages, each one operator of ``uttergate.llm``.
 
 Each stage works on all rows that the one before kept and is written and read again in the shared folder. Every stage
-but the last returns the columns it was given, whatever their names. Documents without an id pass the near-duplicate
-stage as they are; documents without text fail or pass the quality stage by the score of an empty text, link with
+but the last returns the columns it was given, whatever their names. Rows that repeat an id, or have none, are judged by
+their texts like others; documents without text fail or pass the quality stage by the score of an empty text, link with
 nothing, hold no benchmark passage and count as documents of no words. An empty table stays empty.
 """
 
@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from uttergate.llm import decontaminate, mixing, nbsvm, neardup, sharding
 from uttergate.llm.queries import GOOD, quality_model
@@ -31,12 +30,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every group of near duplicates; of rows that repeat an id, one."""
-    found = neardup.near_duplicates(docs, NEAR)
-    stay = found.where("id = component").select(F.col("id").alias("__id")).distinct()
-    first = F.row_number().over(Window.partitionBy("__id").orderBy("text"))
-    kept = docs.join(stay, docs["doc_id"] == stay["__id"]).withColumn("__n", first).where("__n = 1").drop("__id", "__n")
-    return kept.unionAll(docs.where("doc_id IS NULL"))
+    """One document of every group of near duplicates, that with the least id (none: behind all others).
+
+    Rows are told apart by a number of their own, so those that repeat an id, or have none, are judged by their texts.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n"), "doc_id", "text")
+    rows = staged(rows, "near-rows")
+    found = neardup.near_duplicates(rows.select("n", "text"), NEAR, row_id="n")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
+    stay = found.join(rows.select(F.col("n").alias("id"), "doc_id", "n"), "id").groupBy("component").agg(F.min(first)["n"].alias("n"))
+    return rows.select("row", "n").join(stay.select("n"), "n").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,20 +50,21 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's budget begins them; the one at a budget's end stays whole."""
     rows = docs.select(
-        F.struct("*").alias("__doc"),
+        F.struct("*").alias("row"),
         "source",
         mixing.word_count(F.col("text")).alias("size"),
         mixing.random_key(F.col("doc_id"), F.col("text")).alias("key"),
     )
     taken = mixing.mixed(rows).where("copies > 0")
-    return taken.select("__doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__doc.*")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its ``shard`` and ``slot``."""
-    rows = docs.select(F.struct("*").alias("__doc"), "doc_id", F.crc32(F.encode("text", "UTF-8")).alias("crc"))
+    """Every document with its ``shard`` and ``slot``, which replace columns of these names."""
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.crc32(F.encode("text", "UTF-8")).alias("crc"))
     placed = sharding.sharded(rows, ["doc_id", "crc"], SHARDS)
-    return placed.select(*[F.col("__doc")[c].alias(c) for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    return placed.select(*[F.col("row").getField(c).alias(c) for c in kept], "shard", "slot")
 
 
 STAGES: list[tuple[str, Stage]] = [
