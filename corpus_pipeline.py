@@ -32,14 +32,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates, that with the least id (none: behind all others).
 
-    Rows are told apart by a number of their own, so those that repeat an id, or have none, are judged by their texts.
+    Rows are told apart by id and text together, so those that repeat an id, or have none, are judged by their texts;
+    of rows that repeat both, one stays. Repeats are merged before any shuffle.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n"), "doc_id", "text")
-    rows = staged(rows, "near-rows")
-    found = neardup.near_duplicates(rows.select("n", "text"), NEAR, row_id="n")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
-    stay = found.join(rows.select(F.col("n").alias("id"), "doc_id", "n"), "id").groupBy("component").agg(F.min(first)["n"].alias("n"))
-    return rows.select("row", "n").join(stay.select("n"), "n").select("row.*")
+    text = F.encode("text", "UTF-8")
+    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    keyed = docs.select(key.alias("n"), "doc_id", "text")
+    found = neardup.near_duplicates(keyed, NEAR, row_id="n").select(F.col("id").alias("n"), "component").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")
+    stay = found.join(keyed.select("n", "doc_id").distinct(), "n").groupBy("component").agg(F.min(order)["n"].alias("n"))
+    rows = docs.select(key.alias("n"), F.md5(text).alias("md5"), F.struct("*").alias("row")).dropDuplicates(["n", "md5"])
+    return rows.join(stay, "n", "left_semi").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
