@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import sys
 import tempfile
@@ -39,7 +40,13 @@ from uttergate.operators.split import expanded, fields, rejected, train_ready  #
 from uttergate.plans import report  # noqa: E402
 from uttergate.plans.pipeline import run_gate  # noqa: E402
 from uttergate.plans.verdict import verdict  # noqa: E402
-from uttergate.sources.files import content_hash  # noqa: E402
+from uttergate.sources.files import (  # noqa: E402
+    content_hash,
+    hash_files,
+    list_files,
+    same_contents,
+    with_file_hash,
+)
 from uttergate.sources.sinks import write_table  # noqa: E402
 from uttergate.sources.utterances import column_contract, scan_csv  # noqa: E402
 
@@ -354,6 +361,20 @@ def content_hash_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def audio_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """Every file below the folder by its listing, joined to its hash, with the files of the same contents."""
+    pattern = "*.parquet"
+    hashes = same_contents(hash_files(spark, sf, pattern))
+    listed = with_file_hash(list_files(spark, sf, pattern), hashes)
+    groups = hashes.select("audio_path", "copies", "first_path")
+
+    def below(path: str) -> Column:
+        folder = re.escape(sf.rstrip("/").rsplit("/", 1)[-1])
+        return F.regexp_extract(path, f"(?:^|/){folder}/(.*)$", 1).alias(path)
+
+    return listed.join(groups, "audio_path").select(below("audio_path"), "length", "md5", "copies", below("first_path"))
+
+
 def _mode(config: GateConfig) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return expanded(_verdict(spark, sf, config)).select(
@@ -448,6 +469,7 @@ def queries() -> dict[str, Query]:
         "safe_name": safe_name_query,
         "duration_label": duration_label,
         "content_hash": content_hash_query,
+        "audio_hash": audio_hash,
         "mode_normalize_only": _mode(GateConfig().normalize_only()),
         "mode_skip_mismatch": _mode(GateConfig().skip_language_mismatch()),
         "mode_skip_audio": _mode(GateConfig().skip_audio()),

@@ -160,6 +160,16 @@ def test_parts_follow_the_rows_of_a_key(spark, monkeypatch, plain_conf, share):
     assert max(sizes) < 2 * n // share // len(sizes) + 3 * target
 
 
+def test_only_keys_that_stand_out_are_hot(spark, monkeypatch):
+    """A bucket that ordinary keys fill names none of them; as the table grows, so does what stands out."""
+    monkeypatch.setattr(lookup, "KEY_BUCKETS", 4)
+    df = spark.range(4000).select(F.when(F.col("id") < 1500, "/hot").otherwise(F.concat(F.lit("/p"), F.col("id"))).alias("path"))
+    assert lookup.hot_buckets(df, F.col("path"), 100).count() == 0  # 4,000 rows: none has four times the mean
+    monkeypatch.setattr(lookup, "KEY_BUCKETS", 64)
+    assert [(r._ug_hot, r._ug_parts) for r in lookup.hot_keys(df, F.col("path"), 20).collect()] == [("/hot", 6)]
+    assert lookup.hot_keys(df.where("path <> '/hot'"), F.col("path"), 20).count() == 0
+
+
 def test_verdict_is_the_same_with_salting(spark, monkeypatch, plain_conf):
     from uttergate import verdict
     import utterance_corpus as corpus
@@ -220,6 +230,22 @@ def test_language_info(spark):
     }
 
 
+def test_large_files_and_copies(spark, tmp_path):
+    import hashlib
+
+    from uttergate.sources.files import same_contents
+
+    contents = {"a.wav": b"x" * 9_000_000, "b.wav": b"y", "c/d.wav": b"y", "c/é e.wav": b"x" * 9_000_000, "f.wav": b"z" * 10}
+    (tmp_path / "c").mkdir()
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    hashes = hash_files(spark, str(tmp_path), "*.wav", whole_bytes=10)
+    got = {r.audio_path: (r.length, r.md5, r.copies, r.first_path) for r in same_contents(hashes).collect()}
+    path = lambda n: str(tmp_path / n)
+    same = {n: sorted(m for m in contents if contents[m] == contents[n]) for n in contents}
+    assert got == {path(n): (len(b), hashlib.md5(b).hexdigest(), len(same[n]), path(same[n][0])) for n, b in contents.items()}
+
+
 def test_file_hashes(spark, tmp_path):
     import hashlib
 
