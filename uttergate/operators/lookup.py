@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from uttergate.operators.sizing import broadcast_limit, estimated_bytes
 
 KEY_BUCKETS = 65_536
-# Rows of a key bucket that one task may take; buckets with more are split.
+# Rows of a key that one task may take; keys with more are split if they stand out.
 TARGET_ROWS = 1_000_000
+# A key stands out with so many times the rows of a mean bucket.
+STANDS_OUT = 4
 # Rows without a key match nothing; they are only spread.
 IDLE_SPREAD = 100_000
 
@@ -19,15 +22,30 @@ def _bucket(key: Column) -> Column:
 
 
 def hot_buckets(df: DataFrame, key: Column, target_rows: int | None = None) -> DataFrame:
-    """Key-hash buckets of more than ``target_rows`` rows, and the number of parts to cut each into.
+    """Key-hash buckets of more than ``target_rows`` rows that stand out, and the number of parts to cut each into.
 
-    Reads the key column alone and shuffles at most ``KEY_BUCKETS`` counters per task; the result has at most as
-    many rows, whatever the input.
+    Reads the key column alone and shuffles at most ``KEY_BUCKETS`` counters per task. At most ``KEY_BUCKETS`` by
+    ``STANDS_OUT`` buckets can stand out, whatever the input.
     """
     target_rows = target_rows or TARGET_ROWS
     counts = df.where(key.isNotNull()).groupBy(_bucket(key).alias("_ug_hot")).agg(F.count("*").alias("n"))
+    mean = F.sum("n").over(Window.partitionBy()) / KEY_BUCKETS  # of KEY_BUCKETS rows at most
+    limit = F.greatest(F.lit(target_rows).cast("double"), mean * STANDS_OUT)
     parts = F.ceil(F.col("n") / target_rows).cast("bigint").alias("_ug_parts")
-    return counts.where(F.col("n") > target_rows).select("_ug_hot", parts)
+    return counts.withColumn("_ug_limit", limit).where("n > _ug_limit").select("_ug_hot", parts, "_ug_limit")
+
+
+def hot_keys(df: DataFrame, key: Column, target_rows: int | None = None) -> DataFrame:
+    """The keys that have more rows than a task may take and stand out: ``_ug_hot``, and ``_ug_parts`` to cut each into.
+
+    The buckets are a mergeable sketch: no key has more rows than its bucket, so only keys of hot buckets are counted one
+    by one, exactly. A bucket that many ordinary keys share names none. There are at most ``KEY_BUCKETS`` by
+    ``STANDS_OUT`` hot keys.
+    """
+    hot = F.broadcast(hot_buckets(df, key, target_rows).select(F.col("_ug_hot").alias("_ug_bucket"), "_ug_limit"))
+    keys = df.where(key.isNotNull()).select(key.alias("_ug_hot"))
+    counts = keys.join(hot, _bucket(F.col("_ug_hot")) == F.col("_ug_bucket")).groupBy("_ug_hot", "_ug_limit").agg(F.count("*").alias("n"))
+    return counts.where("n > _ug_limit").select("_ug_hot", F.ceil(F.col("n") / F.col("_ug_limit")).cast("bigint").alias("_ug_parts"))
 
 
 def lookup_join(
@@ -46,9 +64,9 @@ def lookup_join(
 
     ``right`` is reduced to one row per key first, unless declared ``unique``. Left rows that are not ``eligible``
     match nothing, and are spread over all tasks by a key of their own. Unless the right side fits a broadcast, left
-    rows are counted per key bucket (one pass over the key column); a bucket of more than ``target_rows`` rows is cut
-    into as many parts as that takes, with its right rows repeated for each, so no task gets much more than
-    ``target_rows`` rows of a key however large its share. ``split_hot=False`` keeps the join on the bare key, as
+    keys with more rows than a task may take are named (see ``hot_keys``); such a key is cut into parts, with its right
+    rows repeated for each, so no task gets much more than ``target_rows`` rows of a key, or ``STANDS_OUT`` times the
+    rows of a mean bucket, however large its share. ``split_hot=False`` keeps the join on the bare key, as
     bucketed tables need.
     """
     # Blank keys are keys no lookup row may have, as null ones are.
@@ -59,16 +77,16 @@ def lookup_join(
     condition = F.col("_ug_key") == F.col("_ug_rkey")
     if split_hot and (size is None or size > broadcast_limit(left)):
         noise = F.xxhash64(*spread_by) + F.spark_partition_id()
-        hot = F.broadcast(hot_buckets(left, F.when(eligible & usable, F.col(key)), target_rows))  # KEY_BUCKETS rows at most
+        hot = F.broadcast(hot_keys(left, F.when(eligible & usable, F.col(key)), target_rows))  # KEY_BUCKETS rows at most
         left = (
             left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
-            .join(hot, _bucket(F.col("_ug_key")) == F.col("_ug_hot"), "left")
+            .join(hot, F.col("_ug_key") == F.col("_ug_hot"), "left")
             .withColumn("_ug_salt", F.when(F.col("_ug_hot").isNull(), 0).otherwise(F.pmod(noise, F.col("_ug_parts"))))
             .drop("_ug_hot", "_ug_parts")
         )
         copies = F.when(F.col("_ug_hot").isNull(), F.expr("array(0L)")).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("_ug_parts") - 1))
         right = (
-            right.join(hot, _bucket(F.col("_ug_rkey")) == F.col("_ug_hot"), "left")
+            right.join(hot, F.col("_ug_rkey") == F.col("_ug_hot"), "left")
             .withColumn("_ug_rsalt", F.explode(copies))
             .drop("_ug_hot", "_ug_parts")
         )
