@@ -169,44 +169,53 @@ _NAMED = (
 )
 
 
-def _reason_maps(verdict: DataFrame) -> DataFrame:
-    """One row: counts of the named reasons in counted rows and in the joined texts of all rejected rows, and for
-    each the number of other messages. The maps are bounded by the gates' vocabulary; the histogram tables list every
-    message."""
-    grouped = (
-        fields(verdict)
-        .where(~F.col("is_valid"))
-        .select(F.explode("reasons").alias("reason"), _failed(F.col("reasons")).alias("failed"))
-        .groupBy("reason", "failed")
-        .agg(F.count("*").alias("n"))
-    )
+#: What a row adds to the statistics document: itself, or a message under its name (none: free text).
+_ROW, _COUNTED, _ANALYSED = "row", "counted", "analysed"
+
+
+def _statistics(verdict: DataFrame) -> DataFrame:
+    """One row, from one pass over the verdict: the counters of ``summary``, and counts of the named reasons in counted
+    rows and in the joined texts of all rejected rows, with the number of other messages of each.
 
-    def label(reason: Column) -> Column:
+    Every row is tagged as itself and with its messages, and the tags are counted in one aggregate, which leaves a row
+    for each name of the gates' vocabulary. The histogram tables list every message.
+    """
+
+    def tag(kind: str, label: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), label.alias("label"))
+
+    def named(reason: Column) -> Column:
         return F.when(reason.rlike(_NAMED), reason)
 
-    parts = F.transform(F.split("reason", ";"), strip)
-    counted = F.struct(F.lit("counted").alias("kind"), label(F.col("reason")).alias("label"))
-    entries = F.concat(
-        F.when(F.col("failed"), F.array()).otherwise(F.array(counted)),
-        F.transform(
-            F.filter(parts, lambda p: p != ""),
-            lambda p: F.struct(F.lit("analysed").alias("kind"), label(p).alias("label")),
-        ),
+    refused = ~F.col("is_valid")
+    counted = F.when(refused & ~_failed(F.col("reasons")), F.col("reasons")).otherwise(F.array().cast("array<string>"))
+    parts = F.filter(F.transform(F.flatten(F.transform("reasons", lambda r: F.split(r, ";"))), strip), lambda p: p != "")
+    analysed = F.when(refused, parts).otherwise(F.array().cast("array<string>"))
+    tags = F.concat(
+        F.array(tag(_ROW, F.lit(None).cast("string"))),
+        F.transform(counted, lambda r: tag(_COUNTED, named(r))),
+        F.transform(analysed, lambda p: tag(_ANALYSED, named(p))),
     )
-    folded = grouped.select(F.inline(entries), "n").groupBy("kind", "label").agg(F.sum("n").alias("n"))
-
-    def as_map(kind: str) -> Column:
-        pair = F.when((F.col("kind") == kind) & F.col("label").isNotNull(), F.struct("label", "n"))
+    sections = {"processing_stats": run_counts(), "text_normalization": normalizer_counts(), "audio_validation": audio_counts()}
+    tagged = fields(verdict).select("*", F.explode(tags).alias("_ug_tag"))
+    per = tagged.groupBy("_ug_tag").agg(*[c.alias(n) for n, c in sections.items()], F.count("*").alias("n"))
+    kind, label = F.col("_ug_tag.kind"), F.col("_ug_tag.label")
+
+    def of_rows(name: str) -> Column:
+        kinds = per.schema[name].dataType.fields
+        none = F.struct(*[F.lit(0).cast(f.dataType).alias(f.name) for f in kinds])  # an empty table
+        return F.coalesce(F.max(F.when(kind == _ROW, F.col(name))), none)
+
+    def as_map(wanted: str) -> Column:
+        pair = F.when((kind == wanted) & label.isNotNull(), F.struct(label.alias("label"), "n"))
         return F.map_from_entries(F.array_sort(F.collect_list(pair)))
 
-    def others(kind: str) -> Column:
-        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & F.col("label").isNull(), F.col("n"))), F.lit(0))
+    def others(wanted: str) -> Column:
+        return F.coalesce(F.sum(F.when((kind == wanted) & label.isNull(), F.col("n"))), F.lit(0))
 
-    return folded.agg(
-        as_map("counted").alias("counted"),
-        others("counted").alias("counted_others"),
-        as_map("analysed").alias("analysed"),
-        others("analysed").alias("analysed_others"),
+    return per.agg(
+        *[of_rows(n).alias(n) for n in sections],
+        *[c for k in (_COUNTED, _ANALYSED) for c in (as_map(k).alias(k), others(k).alias(f"{k}_others"))],
     )
 
 
@@ -220,9 +229,7 @@ def stats_document(verdict: DataFrame, config: GateConfig | None = None) -> Data
             for section, values in config.sections().items()
         ]
     )
-    one = F.lit(1).alias("_ug_one")
-    doc = summary(verdict).select("*", one).join(_reason_maps(verdict).select("*", one), "_ug_one")
-    return doc.select(
+    return _statistics(verdict).select(
         settings.alias("config"),
         F.struct("processing_stats.*", F.col("counted").alias("rejection_reasons")).alias(
             "processing_stats"
