@@ -9,10 +9,11 @@ import shutil
 import sys
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -38,8 +39,9 @@ from uttergate.operators.audio import (  # noqa: E402
 from uttergate.operators.language import with_language_info  # noqa: E402
 from uttergate.operators.split import expanded, fields, rejected, train_ready  # noqa: E402
 from uttergate.plans import report  # noqa: E402
-from uttergate.plans.pipeline import run_gate  # noqa: E402
+from uttergate.plans.pipeline import publish_gate  # noqa: E402
 from uttergate.plans.verdict import verdict  # noqa: E402
+from uttergate.schema import MALFORMED  # noqa: E402
 from uttergate.sources.files import (  # noqa: E402
     content_hash,
     hash_files,
@@ -47,6 +49,7 @@ from uttergate.sources.files import (  # noqa: E402
     same_contents,
     with_file_hash,
 )
+from uttergate.sources.manifest import published  # noqa: E402
 from uttergate.sources.sinks import write_table  # noqa: E402
 from uttergate.sources.utterances import column_contract, scan_csv  # noqa: E402
 
@@ -392,14 +395,35 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return back.withColumn("row_n", F.col("row_n").cast("bigint"))
 
 
+SURPLUS, SHORT = "row_n % 11 = 0", "row_n % 13 = 5"
+
+
+def csv_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every utterance as a CSV record, one in eleven with a field too many and one in thirteen without its last three,
+    scanned and gated; malformed ones are rows of their own, numbered by the first field of their record."""
+    df = corpus.utterances(spark, sf)
+    as_is = {"escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    whole, short = F.to_csv(F.struct(*df.columns), as_is), F.to_csv(F.struct(*df.columns[:-3]), as_is)
+    record = F.when(F.expr(SURPLUS), F.concat(whole, F.lit(",one field too many"))).when(F.expr(SHORT), short).otherwise(whole)
+    header = pa.RecordBatch.from_pydict({"value": [",".join(df.columns)]})
+
+    def with_header(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield header
+        yield from records
+
+    folder = f"{_shared_folder(spark)}/records"
+    df.select(record.alias("value")).mapInArrow(with_header, "value string").write.text(folder)
+    back = scan_csv(spark, folder, keep_malformed=True)
+    judged = verdict(back, GateConfig().skip_audio())
+    number = F.coalesce("row_n", F.split(MALFORMED, ",", 2)[0]).cast("bigint")
+    return judged.select(number.alias("row_n"), "gate_verdict.is_valid", _joined(F.col("gate_verdict.reasons")).alias("reason"))
+
+
 def gate_run(spark: SparkSession, sf: str) -> DataFrame:
-    """The batch run over every utterance, read back from its sinks."""
-    paths = run_gate(
-        corpus.utterances(spark, sf),
-        _shared_folder(spark),
-        audio_properties=corpus.audio_properties(spark, sf),
-        fmt="parquet",
-    )
+    """The batch run over every utterance, read back from what it published."""
+    folder = _shared_folder(spark)
+    publish_gate(corpus.utterances(spark, sf), folder, audio_properties=corpus.audio_properties(spark, sf), fmt="parquet")
+    paths = published(spark, folder)
     accepted = spark.read.parquet(paths["train_ready"])
     refused = spark.read.parquet(paths["rejected"])
     return accepted.select(
@@ -481,6 +505,7 @@ def queries() -> dict[str, Query]:
             GateConfig(min_duration=2.0, max_duration=8.0, min_text_quality_score=0.6)
         ),
         "csv_round_trip": csv_round_trip,
+        "csv_malformed": csv_malformed,
         "gate_run": gate_run,
         "regate": regate,
         **_llm()[0],

@@ -117,6 +117,12 @@ a AS ({AUDIO_PROPERTIES_SQL.format(utterances='u')}),
 b AS (SELECT *, coalesce(utterance_id, '') AS id, coalesce(audio_path, '') AS path,
     coalesce(language, '') AS lang, coalesce(transcription_raw, '') AS txt FROM u)"""
 
+# One utterance in thirteen lost its last three fields on the way; a text that spells NaN is missing in a CSV file.
+AS_RECORDS = BASE.replace("u AS (", "whole AS (", 1).replace("\na AS (", """
+u AS (SELECT * REPLACE (CASE WHEN row_n % 13 <> 5 AND duration_sec <> 'NaN' THEN duration_sec END AS duration_sec,
+    CASE WHEN row_n % 13 <> 5 THEN quality_flag END AS quality_flag) FROM whole),
+a AS (""", 1)
+
 EARLY = f"""list_filter([
     CASE WHEN id = '' THEN 'missing_utterance_id' END,
     CASE WHEN path = '' THEN 'missing_audio_path' END,
@@ -184,6 +190,7 @@ def verdict(
     repeated: str = "0.8",
     mismatch: bool = True,
     audio: bool = True,
+    base: str = BASE,
 ) -> str:
     """CTEs up to ``v``: utterance columns, reasons, issues and all derived values."""
     gates = [duration(low, high)]
@@ -191,7 +198,7 @@ def verdict(
         gates.append(MISMATCH)
     gates += text_gates(score, words, repeated) + [SCRIPT_GATE, FLAG]
     checked = "len(early) = 0" if audio else "FALSE"
-    return f"""WITH {BASE},
+    return f"""WITH {base},
 e AS (SELECT *, {EARLY} AS early FROM b),
 j AS (SELECT e.*, {checked} AS checked, {audio_issues(checked, True)} AS issues
     FROM e LEFT JOIN a ON e.path = a.audio_path),
@@ -445,6 +452,9 @@ def oracle_sql() -> dict[str, str]:
             nullif(language, '') AS language, nullif(transcription_raw, '') AS transcription_raw,
             CASE WHEN duration_sec <> 'NaN' THEN duration_sec END AS duration_sec, quality_flag,
             collection_source FROM u""",
+        "csv_malformed": f"""{verdict(audio=False, base=AS_RECORDS)} SELECT row_n,
+            is_valid AND row_n % 11 <> 0 AS is_valid, CASE WHEN row_n % 11 = 0
+            THEN 'processing_error: malformed record' ELSE {REASON} END AS reason FROM v""",
         "gate_run": f"""{v} SELECT row_n, 'accepted' AS outcome, norm AS detail FROM v WHERE is_valid
             UNION ALL SELECT row_n, 'refused', {REASON} FROM v WHERE NOT is_valid""",
     }

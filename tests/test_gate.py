@@ -4,12 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uttergate import GateConfig, rejected, run_gate, train_ready, verdict
+from uttergate import GateConfig, publish_gate, published, rejected, run_gate, train_ready, verdict
 from uttergate.functions.labels import fixed_point, format_duration, path_language, safe_name
 from uttergate.operators import gates
 from uttergate.operators.split import VERDICT, expanded
-from uttergate.plans import report
+from uttergate.plans import pipeline, report
 from uttergate.schema import UTTERANCE_SCHEMA
+from uttergate.sources import manifest
 
 GOOD = dict(
     utterance_id="u",
@@ -264,6 +265,57 @@ def test_run_gate_writes_everything(spark, table, tmp_path):
     assert set(quiet) == {"verdict", "train_ready", "rejected"}
 
 
+@pytest.mark.parametrize("rows", [None, 0])
+def test_written_statistics_are_those_of_the_verdict(spark, table, tmp_path, rows):
+    """Counters observed while the verdict is written, and reasons counted in one pass over it."""
+    table = table if rows is None else table.limit(rows)
+    paths = run_gate(table, str(tmp_path))
+    judged = verdict(table)
+    want = json.loads(report.stats_document(judged).toJSON().first())
+    assert json.loads(spark.read.text(paths["processing_stats"]).first()[0]) == want
+    for name, made in (("rejection_reasons", report.reason_histogram(judged)), ("rejection_reason_analysis", report.reason_analysis(rejected(judged)))):
+        back = spark.read.schema("reason string, n bigint").json(paths[name])
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, made.collect()))
+
+
+def test_reason_tables_take_one_pass(spark, table):
+    plan = report.reason_counts(verdict(table))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2 and "partial_count" in plan
+
+
+def test_a_run_that_dies_leaves_the_published_one(spark, table, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    assert published(spark, out) == {}
+    first = publish_gate(table, out, fmt="parquet")
+    assert published(spark, out) == first
+    accepted = spark.read.parquet(first["train_ready"]).count()
+
+    def die(*_):
+        raise OSError("no space left")
+
+    for broken in ("write_table", "write_document"):
+        with monkeypatch.context() as patch:
+            patch.setattr(pipeline, broken, die)
+            with pytest.raises(OSError):
+                publish_gate(table.limit(1), out, fmt="parquet")
+        assert published(spark, out) == first
+        assert spark.read.parquet(published(spark, out)["train_ready"]).count() == accepted
+    second = publish_gate(table.limit(1), out, GateConfig(include_stats=False), fmt="parquet")
+    assert published(spark, out) == second and set(second) == {"verdict", "train_ready", "rejected"}
+    assert spark.read.parquet(first["train_ready"]).count() == accepted  # readers of the old run go on
+
+
+def test_publications_at_once_get_numbers_of_their_own(spark, tmp_path, monkeypatch):
+    out = f"file://{tmp_path}"
+    manifest.publish(spark, out, "run-a", ["t"])
+    real, stale = manifest._numbers, [[], [], [1]]
+    monkeypatch.setattr(manifest, "_numbers", lambda *a: stale.pop(0) if stale else real(*a))
+    assert manifest.publish(spark, out, "run-b", ["t"]) == {"t": f"{out}/run-b/t"}  # number 1 was taken meanwhile
+    monkeypatch.undo()
+    assert published(spark, out) == {"t": f"{out}/run-b/t"}
+    assert sorted(p.name for p in (tmp_path / manifest.FOLDER).glob("*.json")) == [f"{n:020d}.json" for n in (1, 2)]
+
+
 def test_input_columns_survive(spark, table):
     """Names of the verdict's fields, of sinks' columns, with dots, and a verdict of an earlier gate."""
     odd = table.withColumns({c: F.concat(F.lit("in "), F.lit(c)) for c in ("audio", "script", "is_valid", "reasons", "reason", "transcription_normalized", "a.b")})

@@ -1,7 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
-from uttergate import column_contract, scan_csv, verdict
+from uttergate import column_contract, rejected, scan_csv, train_ready, verdict
+from uttergate.operators.split import VERDICT
+from uttergate.plans import report
 from uttergate.plans.report import completeness
+from uttergate.schema import MALFORMED
 from uttergate.sources.sinks import write_table
 from uttergate.streaming.incremental import gate_new_files
 
@@ -35,6 +39,56 @@ def test_csv_scan(spark, tmp_path):
     ]
 
 
+RAGGED = (
+    'utterance_id,audio_path,language,transcription_raw,duration_sec\n'
+    'u1,s3://c/1.wav,hi,"kya, haal hai",4.2\n'
+    'u2,s3://c/2.wav,hi,naam kya hai\n'
+    'u3,s3://c/3.wav,hi,naam, kya hai,4.2\n'
+    'u4,s3://c/4.wav,hi,"ek ""do"" teen",4.2,\n'
+    'u5,s3://c/5.wav,hi,"a,b","c,d"\n'
+    'u6,s3://c/6.wav,hi,ek do"teen,4.2\n'
+)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_malformed_records_are_rows(spark, tmp_path, multi_line):
+    """Records with a field too many, the last one empty too; short ones are filled up, and quoted commas are no fields."""
+    (tmp_path / "a.csv").write_text(RAGGED)
+    df = scan_csv(spark, str(tmp_path), multi_line, keep_malformed=True)
+    bad = sorted(r[0] for r in df.select(MALFORMED).collect() if r[0])
+    lines = RAGGED.splitlines()
+    assert bad == [lines[3], lines[4]]
+    assert df.select(MALFORMED).count() == df.count() == 6
+    assert all(v is None for r in df.where(F.col(MALFORMED).isNotNull()).collect() for v in r[:-1])
+    assert {r.utterance_id for r in df.where(F.col(MALFORMED).isNull()).collect()} == {"u1", "u2", "u5", "u6"}
+    judged = verdict(df)
+    errors = judged.where(F.col(MALFORMED).isNotNull()).select(f"{VERDICT}.reasons").collect()
+    assert [r.reasons for r in errors] == [["processing_error: malformed record"]] * 2
+    assert MALFORMED not in train_ready(judged).columns
+    assert {r[MALFORMED] for r in rejected(judged).collect() if r[MALFORMED]} == set(bad)
+    doc = report.stats_document(judged).first()
+    assert doc.processing_stats.total_processed == 4 and doc.rejection_reason_analysis["processing_error: malformed record"] == 2
+
+
+def test_long_malformed_records(spark, tmp_path):
+    text = 'a ""b"", c\n' * 40_000
+    (tmp_path / "a.csv").write_text(f'utterance_id,text\nu1,"{text}"\nu2,"{text}",x\nu3,y\n')
+    got = {r.utterance_id: r for r in scan_csv(spark, str(tmp_path), keep_malformed=True).collect()}
+    assert set(got) == {"u1", None, "u3"}
+    assert got["u1"].text == text.replace('""', '"') and got[None][MALFORMED] == f'u2,"{text}",x'
+
+
+def test_an_open_quote_is_one_malformed_record(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('utterance_id,language,text\nu1,hi,x\nu2,"hi,x\nu3,hi,y\n')
+    (tmp_path / "b.csv").write_text("utterance_id,language,text\nu4,hi,z\n")
+    got = scan_csv(spark, str(tmp_path), keep_malformed=True).collect()
+    assert {r.utterance_id for r in got} == {"u1", None, "u4"}
+    assert [r[MALFORMED] for r in got if r[MALFORMED]] == ['u2,"hi,x\nu3,hi,y']
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "empty.csv").write_text("utterance_id,language\n")
+    assert scan_csv(spark, str(tmp_path / "c"), keep_malformed=True).collect() == []
+
+
 def test_files_must_agree_on_the_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("utterance_id,language\nu1,hi\n")
     (tmp_path / "b.csv").write_text("language,utterance_id\nhi,u2\n")

@@ -6,7 +6,7 @@ from dataclasses import asdict, dataclass, replace
 
 
 #: Tables that every run writes under these names.
-RESERVED_SINKS = ("verdict", "rejection_reasons", "rejection_reason_analysis", "processing_stats")
+RESERVED_SINKS = ("verdict", "reason_counts", "rejection_reasons", "rejection_reason_analysis", "processing_stats")
 
 _TINY, _MANY = 5e-324, float("inf")
 #: Field, least and largest value.

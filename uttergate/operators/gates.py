@@ -20,6 +20,7 @@ _NUMBER = (
 )
 _INTEGER = rf"^[{SP}]*[+-]?{_DIGITS}[{SP}]*$"
 
+MALFORMED_ERROR = "processing_error: malformed record"
 INFINITE_FLAG_ERROR = "processing_error: cannot convert float infinity to integer"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uttergate.functions.text import safe_string
+from uttergate.schema import MALFORMED
 
 #: is_valid, reasons, transcription_normalized, normalization, text_metrics, script, audio
 VERDICT = "gate_verdict"
@@ -49,7 +50,7 @@ def train_ready(judged: DataFrame) -> DataFrame:
         "transcription_normalized": v["transcription_normalized"],
         "text_quality_score": v["text_metrics"]["quality_score"],
     }
-    return _half(judged, v["is_valid"], added)
+    return _half(judged, v["is_valid"], added).drop(MALFORMED)  # null in all of them
 
 
 def rejected(judged: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,7 @@ from uttergate.config import GateConfig
 from uttergate.functions.labels import fixed_point
 from uttergate.functions.text import strip
 from uttergate.operators.audio import audio_counts
-from uttergate.operators.split import fields
+from uttergate.operators.split import VERDICT, fields
 
 OPERATION_COUNTERS = {
     "diacritics_removed": "diacritics_removed",
@@ -25,15 +25,15 @@ def _failed(reasons: Column) -> Column:
     return F.exists(reasons, lambda r: r.startswith("processing_error: "))
 
 
-def run_counts() -> Column:
+def run_counts(reasons: str = "reasons", is_valid: str = "is_valid") -> Column:
     """Aggregate struct: total, valid and rejected rows, valid share (0 for an empty table)."""
-    counted = ~_failed(F.col("reasons"))
+    counted = ~_failed(F.col(reasons))
     total = F.count_if(counted)
-    valid = F.count_if(counted & F.col("is_valid"))
+    valid = F.count_if(counted & F.col(is_valid))
     return F.struct(
         total.alias("total_processed"),
         valid.alias("valid_samples"),
-        F.count_if(counted & ~F.col("is_valid")).alias("rejected_samples"),
+        F.count_if(counted & ~F.col(is_valid)).alias("rejected_samples"),
         F.coalesce(F.try_divide(valid, total), F.lit(0.0)).alias("valid_ratio"),
     )
 
@@ -138,6 +138,21 @@ def summary(verdict: DataFrame) -> DataFrame:
     )
 
 
+def observed(judged: DataFrame) -> tuple[DataFrame, Observation]:
+    """The verdict table with the three counter structs of ``summary`` gathered as its rows pass by.
+
+    The counters are those of the first action on the table, and are exact where that action writes it straight away
+    (each partition counts once, however often a lost one is computed); ``Observation.get`` has them then.
+    """
+    counters = Observation()
+    sections = {
+        "processing_stats": run_counts(f"{VERDICT}.reasons", f"{VERDICT}.is_valid"),
+        "text_normalization": normalizer_counts(f"{VERDICT}.normalization"),
+        "audio_validation": audio_counts(f"{VERDICT}.audio"),
+    }
+    return judged.observe(counters, *[c.alias(n) for n, c in sections.items()]), counters
+
+
 def report_rows(summary: DataFrame) -> DataFrame:
     """``category, key, value`` rows of a summary; fractions with two decimals."""
     pairs = []
@@ -165,7 +180,7 @@ _NAMED = (
     "^(missing_(utterance_id|audio_path|language)|empty_transcription|unsupported_language|audio_(file_not_found"
     "|sample_rate_too_(low|high)|duration_too_(short|long)|signal_too_weak|too_much_silence|not_mono)"
     "|duration_too_(short|long)|invalid_duration_format|language_path_mismatch|low_text_quality|too_few_words"
-    "|too_many_repeated_words|script_mismatch_[A-Za-z_-]+|negative_quality_flag)$"
+    "|too_many_repeated_words|script_mismatch_[A-Za-z_-]+|negative_quality_flag|processing_error: malformed record)$"
 )
 
 
@@ -184,17 +199,11 @@ def _statistics(verdict: DataFrame) -> DataFrame:
     def tag(kind: str, label: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), label.alias("label"))
 
-    def named(reason: Column) -> Column:
-        return F.when(reason.rlike(_NAMED), reason)
-
-    refused = ~F.col("is_valid")
-    counted = F.when(refused & ~_failed(F.col("reasons")), F.col("reasons")).otherwise(F.array().cast("array<string>"))
-    parts = F.filter(F.transform(F.flatten(F.transform("reasons", lambda r: F.split(r, ";"))), strip), lambda p: p != "")
-    analysed = F.when(refused, parts).otherwise(F.array().cast("array<string>"))
+    counted, analysed = _messages()
     tags = F.concat(
         F.array(tag(_ROW, F.lit(None).cast("string"))),
-        F.transform(counted, lambda r: tag(_COUNTED, named(r))),
-        F.transform(analysed, lambda p: tag(_ANALYSED, named(p))),
+        F.transform(counted, lambda r: tag(_COUNTED, _named(r))),
+        F.transform(analysed, lambda p: tag(_ANALYSED, _named(p))),
     )
     sections = {"processing_stats": run_counts(), "text_normalization": normalizer_counts(), "audio_validation": audio_counts()}
     tagged = fields(verdict).select("*", F.explode(tags).alias("_ug_tag"))
@@ -206,6 +215,24 @@ def _statistics(verdict: DataFrame) -> DataFrame:
         none = F.struct(*[F.lit(0).cast(f.dataType).alias(f.name) for f in kinds])  # an empty table
         return F.coalesce(F.max(F.when(kind == _ROW, F.col(name))), none)
 
+    return per.agg(*[of_rows(n).alias(n) for n in sections], *_maps(kind, label))
+
+
+def _named(reason: Column) -> Column:
+    return F.when(reason.rlike(_NAMED), reason)
+
+
+def _messages() -> tuple[Column, Column]:
+    """The reasons of a counted row, and the pieces of the joined text of a rejected one; else no entries."""
+    refused, none = ~F.col("is_valid"), F.array().cast("array<string>")
+    counted = F.when(refused & ~_failed(F.col("reasons")), F.col("reasons")).otherwise(none)
+    parts = F.filter(F.transform(F.flatten(F.transform("reasons", lambda r: F.split(r, ";"))), strip), lambda p: p != "")
+    return counted, F.when(refused, parts).otherwise(none)
+
+
+def _maps(kind: Column, label: Column) -> list[Column]:
+    """Aggregates over counts ``n`` of labels: for each kind a map of its labels, and the sum where there is none."""
+
     def as_map(wanted: str) -> Column:
         pair = F.when((kind == wanted) & label.isNotNull(), F.struct(label.alias("label"), "n"))
         return F.map_from_entries(F.array_sort(F.collect_list(pair)))
@@ -213,23 +240,46 @@ def _statistics(verdict: DataFrame) -> DataFrame:
     def others(wanted: str) -> Column:
         return F.coalesce(F.sum(F.when((kind == wanted) & label.isNull(), F.col("n"))), F.lit(0))
 
-    return per.agg(
-        *[of_rows(n).alias(n) for n in sections],
-        *[c for k in (_COUNTED, _ANALYSED) for c in (as_map(k).alias(k), others(k).alias(f"{k}_others"))],
-    )
+    return [c for k in (_COUNTED, _ANALYSED) for c in (as_map(k).alias(k), others(k).alias(f"{k}_others"))]
+
+
+def reason_counts(verdict: DataFrame) -> DataFrame:
+    """``kind, reason, n`` from one pass: the rows of ``reason_histogram`` and of ``reason_analysis``, told apart by
+    ``kind`` (``counted``, ``analysed``)."""
+
+    def tags(kind: str, messages: Column) -> Column:
+        return F.transform(messages, lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("reason")))
+
+    counted, analysed = _messages()
+    every = F.concat(tags(_COUNTED, counted), tags(_ANALYSED, analysed))
+    return fields(verdict).select(F.inline(every)).groupBy("kind", "reason").agg(F.count("*").alias("n"))
 
 
 def stats_document(verdict: DataFrame, config: GateConfig | None = None) -> DataFrame:
     """One row: ``config`` in sections, ``processing_stats, component_stats, rejection_reason_analysis`` and
     ``other_messages``, the number of free-text messages that the two reason maps leave to the tables."""
-    config = config or GateConfig()
+    return _document(_statistics(verdict), config or GateConfig())
+
+
+def observed_document(counters: dict, reasons: DataFrame, config: GateConfig | None = None) -> DataFrame:
+    """The row of ``stats_document`` from observed counters and the table of ``reason_counts``."""
+
+    def literal(value: object) -> Column:
+        return F.lit(value) if isinstance(value, float) else F.lit(value).cast("bigint")
+
+    sections = {n: F.struct(*[literal(v).alias(k) for k, v in c.asDict().items()]) for n, c in counters.items()}
+    maps = reasons.agg(*_maps(F.col("kind"), _named(F.col("reason"))))
+    return _document(maps.withColumns(sections), config or GateConfig())
+
+
+def _document(statistics: DataFrame, config: GateConfig) -> DataFrame:
     settings = F.struct(
         *[
             F.struct(*[F.lit(v).alias(k) for k, v in values.items()]).alias(section)
             for section, values in config.sections().items()
         ]
     )
-    return _statistics(verdict).select(
+    return statistics.select(
         settings.alias("config"),
         F.struct("processing_stats.*", F.col("counted").alias("rejection_reasons")).alias(
             "processing_stats"

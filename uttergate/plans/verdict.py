@@ -13,7 +13,7 @@ from uttergate.functions.text import pin, safe_string, with_normalized_text
 from uttergate.operators import gates
 from uttergate.operators.audio import with_audio
 from uttergate.operators.split import VERDICT, others
-from uttergate.schema import REQUIRED_COLUMNS
+from uttergate.schema import MALFORMED, REQUIRED_COLUMNS
 
 
 def require_columns(df: DataFrame) -> None:
@@ -35,7 +35,8 @@ def verdict(
     judge by input columns; it reaches the scan, which a filter behind the gate cannot.
 
     All reasons are kept, in gate order; only the audio gate is skipped once an earlier reason
-    exists. The audio join comes before the text steps, so that what it shuffles is the raw
+    exists. A row that cannot be judged (a malformed record, an infinite flag) has its processing error as the one
+    reason. The audio join comes before the text steps, so that what it shuffles is the raw
     row and not the derived columns as well.
     """
     config = config or GateConfig()
@@ -91,16 +92,20 @@ def verdict(
         *[F.when(has_text, r) for r in gates.text_reasons(F.col("_ug_metrics"), config)],
         F.when(has_text, gates.script_reason(F.col("_ug_script"))),
     ]
-    failed = F.lit(False)
+    errors = []
+    if MALFORMED in types:
+        errors.append(F.when(F.col(MALFORMED).isNotNull(), gates.MALFORMED_ERROR))
     if "quality_flag" in types:
         flag, flag_type = F.col("quality_flag"), types["quality_flag"]
         late.append(gates.flag_reason(flag, flag_type))
         if not isinstance(flag_type, T.IntegralType):
-            failed = gates.flag_is_infinite(flag, flag_type)
+            errors.append(F.when(gates.flag_is_infinite(flag, flag_type), gates.INFINITE_FLAG_ERROR))
+    error = F.coalesce(*errors) if errors else F.lit(None).cast("string")
+    failed = error.isNotNull()
     audio_reasons = F.transform(
         F.col("_ug_audio")["issues"], lambda i: F.concat(F.lit("audio_"), i)
     )
-    reasons = F.when(failed, F.array(F.lit(gates.INFINITE_FLAG_ERROR))).otherwise(
+    reasons = F.when(failed, F.array(error)).otherwise(
         F.concat(F.col("_ug_early"), audio_reasons, gates.reason_list(*late))
     )
     df = df.withColumn("_ug_reasons", pin(reasons))

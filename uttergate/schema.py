@@ -13,6 +13,9 @@ REQUIRED_COLUMNS = [
     "duration_sec",
 ]
 
+# Text of a record that a text source could not split into its columns; null in every other row.
+MALFORMED = "gate_malformed_record"
+
 # Columns that are numbers in a text source; every other column stays text there.
 NUMERIC_COLUMNS = ["noise_level_db", "quality_flag"]
 
