@@ -170,6 +170,47 @@ def test_only_keys_that_stand_out_are_hot(spark, monkeypatch):
     assert lookup.hot_keys(df.where("path <> '/hot'"), F.col("path"), 20).count() == 0
 
 
+def test_the_filter_holds_every_key(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("/p"), F.col("id")).alias("path")).unionAll(spark.createDataFrame([(None,), ("é",)], "path string"))
+    pieces = lookup.key_filter(keys, F.col("path"))
+    assert pieces.count() <= lookup.FILTER_BITS // lookup.PIECE_BITS
+    assert {r[0] for r in pieces.select(F.octet_length("_ug_bits")).distinct().collect()} == {lookup.PIECE_BITS // 8}
+    other = keys.unionAll(spark.range(200_000).select(F.concat(F.lit("/none"), F.col("id")).alias("path")))
+    passed = lookup.thinned(other, F.col("path"), pieces)
+    assert passed.exceptAll(passed.intersectAll(keys)).count() < 20  # foreign keys
+    assert keys.where("path IS NOT NULL").exceptAll(passed).count() == 0
+    assert lookup.thinned(other, F.col("path"), lookup.key_filter(keys.limit(0), F.col("path"))).count() == 0
+
+
+def test_unmatched_properties_are_not_shuffled(spark, tmp_path, plain_conf):
+    """Property rows that no utterance asks for stay out of the exchange; the answers are the same."""
+    n = 20_000
+    paths = F.concat(F.lit("/p"), F.col("id"))
+    spark.range(n).select(paths.alias("path"), (F.col("id") * 2).alias("v")).write.parquet(str(tmp_path / "props"))
+    right = spark.read.parquet(str(tmp_path / "props"))
+    left = spark.range(0, n, 100).select(F.col("id").alias("k"), F.when(F.col("id") % 300 != 0, paths).alias("path"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+    def joined(thin):
+        return lookup.lookup_join(left, right, "path", F.lit(True), ["k"], ["v"], "found", thin=thin)
+
+    want = sorted((r.k, r.found and r.found.v) for r in joined(False).collect())
+    df = joined(True)
+    assert sorted((r.k, r.found and r.found.v) for r in df.collect()) == want
+    plan = df._jdf.queryExecution().executedPlan()
+    lines = plan.toString().splitlines()
+    scan = next(i for i, s in enumerate(lines) if "FileScan parquet" in s)
+    above = lines[:scan][::-1]
+    join = next(i for i, s in enumerate(above) if "BroadcastHashJoin" in s)
+    exchange = next(i for i, s in enumerate(above) if "Exchange hashpartitioning" in s)
+    assert join < exchange
+    usable = right.select(F.col("path").alias("_ug_rkey"))
+    kept = lookup.thinned(usable, F.col("_ug_rkey"), lookup.key_filter(left, F.col("path")))
+    assert kept.count() <= left.where("path IS NOT NULL").count() + 5
+    assert not lookup._filter_pays(right.select("path"), left.select("path")) and lookup._filter_pays(left.limit(1).select("path"), right.select("path"))
+
+
 def test_verdict_is_the_same_with_salting(spark, monkeypatch, plain_conf):
     from uttergate import verdict
     import utterance_corpus as corpus

@@ -15,6 +15,14 @@ TARGET_ROWS = 1_000_000
 STANDS_OUT = 4
 # Rows without a key match nothing; they are only spread.
 IDLE_SPREAD = 100_000
+# Bits of the filter of left keys: 2 ** 27 are 16 MB, in 4,096 pieces.
+FILTER_BITS = 1 << 27
+PIECE_BITS = 32_768  # of one bitmap, fixed by the bitmap functions
+# A key sets this many bits. Eight bits a key let one foreign key in twenty through.
+PROBES = 2
+BITS_PER_KEY = 8
+# The other side has to have so many times the keys for a pass over the left keys to pay.
+FILTER_PAYS = 4
 
 
 def _bucket(key: Column) -> Column:
@@ -48,6 +56,45 @@ def hot_keys(df: DataFrame, key: Column, target_rows: int | None = None) -> Data
     return counts.where("n > _ug_limit").select("_ug_hot", F.ceil(F.col("n") / F.col("_ug_limit")).cast("bigint").alias("_ug_parts"))
 
 
+def _probes(key: Column) -> Column:
+    """The filter's bits of a key, numbered from 1 as the bitmap functions do."""
+    return F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(FILTER_BITS)) + 1 for i in range(PROBES)])
+
+
+def key_filter(df: DataFrame, key: Column) -> DataFrame:
+    """A Bloom filter of the keys in pieces, ``_ug_piece, _ug_bits``: at most ``FILTER_BITS`` bits, whatever the input.
+
+    Pieces are built on the map side, and merged by one shuffle of at most ``FILTER_BITS`` bits a task.
+    """
+    bits = df.where(key.isNotNull()).select(F.explode(_probes(key)).alias("bit"))
+    return bits.groupBy(F.bitmap_bucket_number("bit").alias("_ug_piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_ug_bits")
+    )
+
+
+def thinned(df: DataFrame, key: Column, pieces: DataFrame) -> DataFrame:
+    """The rows whose key the filter may hold: all that it holds, and few others. Broadcast, so nothing is shuffled."""
+    for i in range(PROBES):
+        bit = _probes(key)[i]
+        at = F.bitmap_bit_position(bit)
+        byte = F.conv(F.hex(F.substring("_ug_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        mask = F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))
+        df = df.withColumn("_ug_bit", bit).join(F.broadcast(pieces), F.bitmap_bucket_number("_ug_bit") == F.col("_ug_piece"))
+        df = df.where(byte.bitwiseAND(mask) != 0).drop("_ug_bit", "_ug_piece", "_ug_bits")
+    return df
+
+
+def _filter_pays(left_keys: DataFrame, right_keys: DataFrame) -> bool:
+    """Whether the filter holds the left keys with bits to spare and the other side has many more.
+
+    By the optimizer's sizes, at 20 bytes a key; on either answer the join's result is the same.
+    """
+    keys, other = estimated_bytes(left_keys), estimated_bytes(right_keys)
+    if keys is None or other is None:
+        return False
+    return keys / 20 * BITS_PER_KEY <= FILTER_BITS and other >= FILTER_PAYS * keys
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -59,6 +106,7 @@ def lookup_join(
     unique: bool = False,
     target_rows: int | None = None,
     split_hot: bool = True,
+    thin: bool | None = None,
 ) -> DataFrame:
     """Left-join ``right`` on ``key`` and add its ``values`` as struct ``out`` (null: no match).
 
@@ -68,6 +116,9 @@ def lookup_join(
     rows repeated for each, so no task gets much more than ``target_rows`` rows of a key, or ``STANDS_OUT`` times the
     rows of a mean bucket, however large its share. ``split_hot=False`` keeps the join on the bare key, as
     bucketed tables need.
+
+    Right rows that no left key can match are dropped by a Bloom filter before they are shuffled, where that pays (see
+    ``_filter_pays``; ``thin`` says so outright). The filter is bounded, so with more keys it would let all rows through.
     """
     # Blank keys are keys no lookup row may have, as null ones are.
     usable = F.col(key).isNotNull() & (F.col(key) != "")
@@ -76,10 +127,13 @@ def lookup_join(
     keys = ["_ug_rkey"]
     condition = F.col("_ug_key") == F.col("_ug_rkey")
     if split_hot and (size is None or size > broadcast_limit(left)):
+        left_key = F.when(eligible & usable, F.col(key))
+        if thin if thin is not None else _filter_pays(left.select(key), right.select("_ug_rkey")):
+            right = thinned(right, F.col("_ug_rkey"), key_filter(left, left_key))
         noise = F.xxhash64(*spread_by) + F.spark_partition_id()
-        hot = F.broadcast(hot_keys(left, F.when(eligible & usable, F.col(key)), target_rows))  # KEY_BUCKETS rows at most
+        hot = F.broadcast(hot_keys(left, left_key, target_rows))  # KEY_BUCKETS rows at most
         left = (
-            left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
+            left.withColumn("_ug_key", left_key)
             .join(hot, F.col("_ug_key") == F.col("_ug_hot"), "left")
             .withColumn("_ug_salt", F.when(F.col("_ug_hot").isNull(), 0).otherwise(F.pmod(noise, F.col("_ug_parts"))))
             .drop("_ug_hot", "_ug_parts")
