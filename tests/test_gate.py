@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttergate import GateConfig, publish_gate, published, rejected, run_gate, train_ready, verdict
+from uttergate.functions import template
 from uttergate.functions.labels import fixed_point, format_duration, path_language, safe_name
 from uttergate.operators import gates
 from uttergate.operators.split import VERDICT, expanded
@@ -316,6 +317,22 @@ def test_publications_at_once_get_numbers_of_their_own(spark, tmp_path, monkeypa
     assert sorted(p.name for p in (tmp_path / manifest.FOLDER).glob("*.json")) == [f"{n:020d}.json" for n in (1, 2)]
 
 
+def test_templates_fit_names_types_and_settings(spark, table):
+    """A second plan takes the expressions of the first, and a config, type or column of its own gets its own."""
+    verdict(table)
+    made = len(template._made)
+    again = verdict(table.where("i < 5"))
+    assert len(template._made) == made
+    strict = verdict(table, GateConfig(min_duration=5.0, max_duration=8.0))
+    whole = table.where("try_cast(duration_sec AS double) < 100").withColumn("duration_sec", F.col("duration_sec").try_cast("double").try_cast("int"))
+    assert len(template._made) > made
+    by_row = {i: r for i, (_, r) in enumerate(ROWS)}
+    assert all(r[VERDICT].reasons == by_row[r.i] for r in again.collect())
+    assert strict.where("i = 0").first()[VERDICT].reasons == ["duration_too_short"]
+    assert verdict(whole, GateConfig(min_duration=4.05)).where("i = 0").first()[VERDICT].reasons == ["duration_too_short"]
+    assert verdict(table.drop("quality_flag")).where(F.col("i") == 0).first()[VERDICT].is_valid
+
+
 def test_input_columns_survive(spark, table):
     """Names of the verdict's fields, of sinks' columns, with dots, and a verdict of an earlier gate."""
     odd = table.withColumns({c: F.concat(F.lit("in "), F.lit(c)) for c in ("audio", "script", "is_valid", "reasons", "reason", "transcription_normalized", "a.b")})

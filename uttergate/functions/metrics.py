@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uttergate.functions.charclass import ALNUM, SP
+from uttergate.functions.template import staged, template
 from uttergate.functions.text import pin
 
 
@@ -27,45 +28,44 @@ def with_text_metrics(
     ``single_spaced`` promises stripped text whose only white space is one space between words,
     which is what the normaliser returns; words and lengths are then cheaper to get.
     """
+    return staged(df, *_metric_steps(text, out, single_spaced))
+
+
+@template
+def _metric_steps(text: str, out: str, single_spaced: bool) -> tuple[list[dict], list[str]]:
     t = F.col(text)
     words, n, chars, letters, distinct = (
         F.col(c) for c in ("_ug_words", "_ug_n", "_ug_chars", "_ug_in_words", "_ug_distinct")
     )
     if single_spaced:
-        df = df.withColumn("_ug_words", F.when(t != "", F.split(t, " ")))
+        split = F.when(t != "", F.split(t, " "))
     else:
         pieces = F.filter(F.split(t, f"[{SP}]+"), lambda w: w != "")
-        df = df.withColumn("_ug_words", F.when(F.size(pieces) > 0, pieces))
+        split = F.when(F.size(pieces) > 0, pieces)
     count = F.when(words.isNotNull(), F.size(words))
     in_words = (
         F.length(t) - (count - 1) if single_spaced else F.length(F.regexp_replace(t, f"[{SP}]+", ""))
     )
-    df = df.withColumns(
-        {
-            "_ug_n": count,
-            "_ug_chars": F.length(t),
-            "_ug_in_words": in_words,
-            "_ug_distinct": F.size(F.array_distinct(words)),
-        }
-    )
+    counted = {
+        "_ug_n": count,
+        "_ug_chars": F.length(t),
+        "_ug_in_words": in_words,
+        "_ug_distinct": F.size(F.array_distinct(words)),
+    }
     avg_length = F.coalesce(letters / n, F.lit(0.0))
     repeated = F.coalesce((n - distinct) / n, F.lit(1.0))
     punctuation = F.length(F.regexp_replace(t, f"[{ALNUM}{SP}]+", "")) / chars
-    df = df.withColumns({"_ug_avg": avg_length, "_ug_repeated": repeated})
-    return df.withColumn(
-        out,
-        pin(
-            F.struct(
-                F.when(n.isNull(), 0.0)
-                .otherwise(quality_score(F.col("_ug_repeated"), n, F.col("_ug_avg")))
-                .alias("quality_score"),
-                F.coalesce(n, F.lit(0)).alias("word_count"),
-                F.when(n.isNull(), 0).otherwise(chars).alias("char_count"),
-                F.col("_ug_avg").alias("avg_word_length"),
-                F.col("_ug_repeated").alias("repeated_word_ratio"),
-                F.when(n.isNull(), 0.0).otherwise(punctuation).alias("punctuation_ratio"),
-            )
-        ),
-    ).drop(
-        "_ug_words", "_ug_n", "_ug_chars", "_ug_in_words", "_ug_distinct", "_ug_avg", "_ug_repeated"
+    ratios = {"_ug_avg": avg_length, "_ug_repeated": repeated}
+    metrics = pin(
+        F.struct(
+            F.when(n.isNull(), 0.0)
+            .otherwise(quality_score(F.col("_ug_repeated"), n, F.col("_ug_avg")))
+            .alias("quality_score"),
+            F.coalesce(n, F.lit(0)).alias("word_count"),
+            F.when(n.isNull(), 0).otherwise(chars).alias("char_count"),
+            F.col("_ug_avg").alias("avg_word_length"),
+            F.col("_ug_repeated").alias("repeated_word_ratio"),
+            F.when(n.isNull(), 0.0).otherwise(punctuation).alias("punctuation_ratio"),
+        )
     )
+    return [{"_ug_words": split}, counted, ratios, {out: metrics}], ["_ug_words", *counted, *ratios]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uttergate.functions.charclass import LETTER, SCRIPT_TOKENS, script_classes
+from uttergate.functions.template import staged, template
 from uttergate.functions.text import is_blank, letter_count, pin
 from uttergate.schema import LANGUAGES
 
@@ -61,21 +62,23 @@ def with_script(
     after the other off the letters, so that a single-script text is done after its own class;
     only texts with other letters reach Python.
     """
+    return staged(df, *_script_steps(text, language, out))
+
+
+@template
+def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[str]]:
     t, lang = F.col(text), F.col(language)
     classes = script_classes()
     plain = ~t.rlike(r"[\x{aa}\x{b5}\x{ba}\x{2b0}-\x{10ffff}]")
-    df = df.withColumn("_ug_plain", plain)
-    df = df.withColumn(
-        "_ug_r0",
-        F.when(F.col("_ug_plain"), "").otherwise(F.regexp_replace(t, f"[^{LETTER}]+", "")),
-    )
+    steps = [{"_ug_plain": plain}]
+    steps.append({"_ug_r0": F.when(F.col("_ug_plain"), "").otherwise(F.regexp_replace(t, f"[^{LETTER}]+", ""))})
     # One projection: each column extends the expression before it, which is computed once.
     rest, peeled, left = ["_ug_r0"], {}, F.col("_ug_r0")
     for i, token in enumerate(SCRIPT_TOKENS, 1):
         rest.append(f"_ug_r{i}")
         left = F.regexp_replace(left, f"[{classes[token]}]+", "")
         peeled[rest[i]] = left
-    df = df.withColumns(peeled)
+    steps.append(peeled)
     letters = F.col("_ug_r0")
     candidates = []
     for i, token in enumerate(SCRIPT_TOKENS, 1):
@@ -86,7 +89,7 @@ def with_script(
                 n > 0, F.struct(n.alias("n"), (-ahead).alias("early"), F.lit(token).alias("token"))
             )
         )
-    df = df.withColumns(
+    steps.append(
         {
             "_ug_best": F.when(letters != "", F.array_max(F.array(*candidates))),
             "_ug_tail": _tail_udf()(F.when(F.col(rest[-1]) != "", letters)),
@@ -94,20 +97,19 @@ def with_script(
     )
     best, tail = F.col("_ug_best"), F.col("_ug_tail")
     has_letter = F.when(F.col("_ug_plain"), t.rlike(f"[{LETTER}]")).otherwise(letters != "")
-    df = df.withColumn(
-        "_ug_token",
+    named = (
         F.when(is_blank(t), "empty")
         .when(~has_letter, "no_alpha")
         .when(F.col("_ug_plain"), "LATIN")
-        .otherwise(F.coalesce(tail["token"], best["token"])),
+        .otherwise(F.coalesce(tail["token"], best["token"]))
     )
     token = F.col("_ug_token")
-    df = df.withColumn(
-        "_ug_conf",
+    share = (
         F.when(token.isin("empty", "no_alpha"), 0.0)
         .when(F.col("_ug_plain"), 1.0)
-        .otherwise(F.coalesce(tail["n"], best["n"]) / F.length(letters)),
+        .otherwise(F.coalesce(tail["n"], best["n"]) / F.length(letters))
     )
+    steps += [{"_ug_token": named}, {"_ug_conf": share}]
     conf, expected = F.col("_ug_conf"), expected_script(lang)
     valid = (
         F.when(token.isin("empty", "no_alpha"), False)
@@ -117,14 +119,9 @@ def with_script(
         )
         .otherwise(False)
     )
-    return df.withColumn(
-        out,
-        pin(
-            F.struct(
-                valid.alias("is_valid"), conf.alias("confidence"), token.alias("detected_script")
-            )
-        ),
-    ).drop("_ug_plain", "_ug_token", "_ug_conf", "_ug_best", "_ug_tail", *rest)
+    script = F.struct(valid.alias("is_valid"), conf.alias("confidence"), token.alias("detected_script"))
+    steps.append({out: pin(script)})
+    return steps, ["_ug_plain", "_ug_token", "_ug_conf", "_ug_best", "_ug_tail", *rest]
 
 
 def latin_consistency(text: Column, language: Column) -> Column:

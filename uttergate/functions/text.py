@@ -20,6 +20,7 @@ from uttergate.functions.charclass import (
     WORD,
     composition_needed,
 )
+from uttergate.functions.template import staged, template
 
 # Hindi words for the digits 0 to 9.
 HINDI_DIGIT_WORDS = ["शून्य", "एक", "दो", "तीन", "चार", "पांच", "छह", "सात", "आठ", "नौ"]
@@ -191,14 +192,20 @@ def with_normalized_text(
     The trace holds ``operations`` in order, ``original_length``, ``final_length`` and
     ``reduction_ratio``; it is null for blank text, which normalises to ``''``.
     """
-    config = config or GateConfig()
+    return staged(df, *_normal_steps(text, language, config or GateConfig(), out, trace))
+
+
+@template
+def _normal_steps(
+    text: str, language: str, config: GateConfig, out: str, trace: str | None
+) -> tuple[list[dict], list[str]]:
     raw, lang = F.col(text), F.col(language)
     s = [f"_ug_s{i}" for i in range(7)]
 
     # Nothing below U+0300 composes, is a mark or is mapped punctuation.
     high = F.col("_ug_high")
-    df = df.withColumn(s[0], F.when(~is_blank(raw), raw))
-    df = df.withColumn("_ug_high", F.col(s[0]).rlike(r"[\x{300}-\x{10ffff}]"))
+    stages = [{s[0]: F.when(~is_blank(raw), raw)}]
+    stages.append({"_ug_high": F.col(s[0]).rlike(r"[\x{300}-\x{10ffff}]")})
 
     def if_high(step):
         return lambda c: F.when(high, step(c)).otherwise(c)
@@ -223,7 +230,7 @@ def with_normalized_text(
     ]
     for i, step in enumerate(steps):
         col = F.col(s[i])
-        df = df.withColumn(s[i + 1], col if step is None else step(col))
+        stages.append({s[i + 1]: col if step is None else step(col)})
 
     cleaned = F.col(s[6])
     result = cleaned if config.normalize_punctuation else strip(cleaned)
@@ -253,7 +260,7 @@ def with_normalized_text(
                 ),
             )
         )
-    return df.withColumns(added).drop(*s, "_ug_high")
+    return [*stages, added], [*s, "_ug_high"]
 
 
 def letter_count(col: Column) -> Column:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uttergate.config import GateConfig
+from uttergate.functions.template import staged, template
 from uttergate.functions.text import pin
 from uttergate.operators.lookup import lookup_join
 from uttergate.schema import AUDIO_PROPERTY_FIELDS
@@ -64,39 +66,44 @@ def with_audio(
     analysed file: ``audio_path``, any of the eight properties, and optionally ``error``.
     """
     config = config or GateConfig()
-    eligible = F.lit(True) if eligible is None else eligible
     found = "_ug_found"
-    fields = {f.name: f.dataType for f in AUDIO_PROPERTY_FIELDS}
+    df = df.withColumn("_ug_eligible", F.lit(True) if eligible is None else eligible)
     if properties is None:
-        empty = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in fields.items()])
         df = df.withColumn(found, F.lit(None).cast("struct<_present:int>"))
-        props, matched, error = empty, F.lit(False), F.lit(None).cast("string")
     else:
-        have = properties.columns
-        table = properties.select(
-            F.col("audio_path").alias(path),
-            *[
-                (F.col(n) if n in have else F.lit(None)).cast(t).alias(n)
-                for n, t in fields.items()
-            ],
-            (F.col(ERROR_COLUMN) if ERROR_COLUMN in have else F.lit(None))
-            .cast("string")
-            .alias(ERROR_COLUMN),
-        )
         df = lookup_join(
             df,
-            table,
+            properties.select(*_property_columns(path, tuple(properties.columns))),
             key=path,
-            eligible=eligible,
+            eligible=F.col("_ug_eligible"),
             spread_by=spread_by or [path],
-            values=[*fields, ERROR_COLUMN],
+            values=[*PROPERTY_NAMES, ERROR_COLUMN],
             out=found,
             unique=unique,
             **lookup,
         )
+    return staged(df, _audit_steps(path, found, out, config, properties is not None), [found, "_ug_issues", "_ug_eligible"])
+
+
+@template
+def _property_columns(path: str, have: tuple[str, ...]) -> list[Column]:
+    def column(name: str, dtype: T.DataType) -> Column:
+        return (F.col(name) if name in have else F.lit(None)).cast(dtype).alias(name)
+
+    columns = [column(f.name, f.dataType) for f in AUDIO_PROPERTY_FIELDS]
+    return [F.col("audio_path").alias(path), *columns, column(ERROR_COLUMN, T.StringType())]
+
+
+@template
+def _audit_steps(path: str, found: str, out: str, config: GateConfig, looked_up: bool) -> list[dict]:
+    checked = F.col("_ug_eligible")
+    if looked_up:
         matched = F.col(found).isNotNull()
-        props = F.when(matched, F.struct(*[F.col(found)[n].alias(n) for n in fields]))
+        props = F.when(matched, F.struct(*[F.col(found)[n].alias(n) for n in PROPERTY_NAMES]))
         error = F.col(found)[ERROR_COLUMN]
+    else:
+        props = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in AUDIO_PROPERTY_FIELDS])
+        matched, error = F.lit(False), F.lit(None).cast("string")
     assumed = (
         F.lit(False)
         if config.assume_exists_prefix is None
@@ -104,24 +111,20 @@ def with_audio(
     )
     none = F.array().cast("array<string>")
     issues = (
-        F.when(~eligible, none)
+        F.when(~checked, none)
         .when(error.isNotNull(), F.array(F.concat(F.lit("validation_error: "), error)))
-        .when(matched, property_issues(F.col(found), config) if properties is not None else none)
+        .when(matched, property_issues(F.col(found), config) if looked_up else none)
         .when(assumed, none)
         .otherwise(F.array(F.lit("file_not_found")))
     )
-    df = df.withColumns({"_ug_issues": pin(issues), "_ug_eligible": eligible})
-    checked = F.col("_ug_eligible")
-    return df.withColumn(
-        out,
-        F.struct(
-            checked.alias("checked"),
-            (checked & (matched | assumed)).alias("exists"),
-            (checked & (F.size("_ug_issues") == 0)).alias("is_valid"),
-            F.col("_ug_issues").alias("issues"),
-            F.when(checked & error.isNull(), props).alias("properties"),
-        ),
-    ).drop(found, "_ug_issues", "_ug_eligible")
+    audit = F.struct(
+        checked.alias("checked"),
+        (checked & (matched | assumed)).alias("exists"),
+        (checked & (F.size("_ug_issues") == 0)).alias("is_valid"),
+        F.col("_ug_issues").alias("issues"),
+        F.when(checked & error.isNull(), props).alias("properties"),
+    )
+    return [{"_ug_issues": pin(issues)}, {out: audit}]
 
 
 def validate_paths(

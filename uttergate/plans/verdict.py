@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from uttergate.config import GateConfig
 from uttergate.functions.metrics import with_text_metrics
 from uttergate.functions.script import with_script
+from uttergate.functions.template import staged, template
 from uttergate.functions.text import pin, safe_string, with_normalized_text
 from uttergate.operators import gates
 from uttergate.operators.audio import with_audio
@@ -46,20 +47,8 @@ def verdict(
     types = {f.name: f.dataType for f in df.schema.fields}
     inputs = others(df.columns, [VERDICT])
 
-    df = df.withColumns(
-        {
-            out: safe_string(F.col(name), types[name])
-            for out, name in (
-                ("_ug_id", "utterance_id"),
-                ("_ug_path", "audio_path"),
-                ("_ug_lang", "language"),
-                ("_ug_text", "transcription_raw"),
-            )
-        }
-    )
-    ident, path, lang, text = (F.col(f"_ug_{c}") for c in ("id", "path", "lang", "text"))
-    early = gates.reason_list(*gates.presence_reasons(ident, path, lang, text))
-    df = df.withColumn("_ug_early", early)
+    known = tuple((n, types.get(n)) for n in (*REQUIRED_COLUMNS, "quality_flag", MALFORMED))
+    df = staged(df, _early_steps(known))
 
     if config.check_audio:
         df = with_audio(
@@ -85,6 +74,28 @@ def verdict(
     )
     df = with_script(df, "_ug_norm", "_ug_lang", out="_ug_script")
 
+    df = staged(df, _late_steps(known, config))
+    return df.select(*inputs, VERDICT)
+
+
+@template
+def _early_steps(known: tuple) -> list[dict]:
+    types = dict(known)
+    texts = {
+        out: safe_string(F.col(name), types[name])
+        for out, name in (
+            ("_ug_id", "utterance_id"),
+            ("_ug_path", "audio_path"),
+            ("_ug_lang", "language"),
+            ("_ug_text", "transcription_raw"),
+        )
+    }
+    return [texts, {"_ug_early": gates.reason_list(*gates.presence_reasons(*map(F.col, texts)))}]
+
+
+@template
+def _late_steps(known: tuple, config: GateConfig) -> list[dict]:
+    types, path, lang = dict(known), F.col("_ug_path"), F.col("_ug_lang")
     has_text = F.col("_ug_trace").isNotNull()
     late = [
         gates.duration_reason(F.col("duration_sec"), types["duration_sec"], config),
@@ -93,9 +104,9 @@ def verdict(
         F.when(has_text, gates.script_reason(F.col("_ug_script"))),
     ]
     errors = []
-    if MALFORMED in types:
+    if types[MALFORMED]:
         errors.append(F.when(F.col(MALFORMED).isNotNull(), gates.MALFORMED_ERROR))
-    if "quality_flag" in types:
+    if types["quality_flag"]:
         flag, flag_type = F.col("quality_flag"), types["quality_flag"]
         late.append(gates.flag_reason(flag, flag_type))
         if not isinstance(flag_type, T.IntegralType):
@@ -108,7 +119,6 @@ def verdict(
     reasons = F.when(failed, F.array(error)).otherwise(
         F.concat(F.col("_ug_early"), audio_reasons, gates.reason_list(*late))
     )
-    df = df.withColumn("_ug_reasons", pin(reasons))
     judged = F.struct(
         (F.size("_ug_reasons") == 0).alias("is_valid"),
         F.col("_ug_reasons").alias("reasons"),
@@ -118,4 +128,4 @@ def verdict(
         F.when(has_text, F.col("_ug_script")).alias("script"),
         F.col("_ug_audio").alias("audio"),
     )
-    return df.select(*inputs, judged.alias(VERDICT))
+    return [{"_ug_reasons": pin(reasons)}, {VERDICT: judged}]
