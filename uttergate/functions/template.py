@@ -8,6 +8,7 @@ plan costs.
 from __future__ import annotations
 
 import functools
+import threading
 from collections import OrderedDict
 from collections.abc import Callable, Hashable
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 KEPT = 256
 
 _made: OrderedDict[Hashable, object] = OrderedDict()
+_lock = threading.RLock()  # streams build their plans in threads of their own
 
 
 def template(make: Callable) -> Callable:
@@ -30,12 +32,13 @@ def template(make: Callable) -> Callable:
     def kept(*args: Hashable) -> object:
         context = SparkContext._active_spark_context
         key = (context and context.applicationId, make, args)
-        if key not in _made:
-            _made[key] = make(*args)
-            while len(_made) > KEPT:
-                _made.popitem(last=False)
-        _made.move_to_end(key)
-        return _made[key]
+        with _lock:
+            if key not in _made:
+                _made[key] = make(*args)
+                while len(_made) > KEPT:
+                    _made.popitem(last=False)
+            _made.move_to_end(key)
+            return _made[key]
 
     return kept
 
