@@ -106,7 +106,6 @@ def test_character_classes_are_exact(spark):
 
     codes = spark.range(sys.maxunicode + 1).where("id < 55296 OR id > 57343")
     flags = {"word": C.WORD, "letter": C.LETTER, "alnum": C.ALNUM, "mark": C.MARK, "space": C.SP}
-    flags |= C.script_classes()
     flags["sensitive"] = C.composition_needed()[0]
     got = (
         codes.mapInPandas(rows, "cp long, c string")
@@ -120,13 +119,20 @@ def test_character_classes_are_exact(spark):
         assert r.alnum == ch.isalnum(), hex(r.cp)
         assert r.mark == (unicodedata.category(ch) == "Mn"), hex(r.cp)
         assert r.space == ch.isspace(), hex(r.cp)
-        token = unicodedata.name(ch, "").split(" ")[0] if ch.isalpha() else None
-        for name in C.SCRIPT_TOKENS:
-            assert r[name] == (token == name), (hex(r.cp), name)
         if unicodedata.normalize("NFC", ch) != ch or unicodedata.combining(ch):
             assert r.sensitive, hex(r.cp)
 
 
+def test_every_letter_has_its_script(spark):
+    letters = [chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isalpha()]
+    rows = [(i, ch, "hi") for i, ch in enumerate(letters)]
+    df = with_script(spark.createDataFrame(rows, "i int, text string, lang string"), "text", "lang")
+    got = {r.i: tuple(r.script) for r in df.collect()}
+    for i, ch in enumerate(letters):
+        token = unicodedata.name(ch, "").partition(" ")[0] or "UNKNOWN"
+        assert got[i] == pyoracle.script(ch, "hi") and got[i][2] == token, hex(ord(ch))
+
+
 CASES = [
     # text, language, normalised, operations
     ("café", "hi", "café", []),

@@ -92,6 +92,7 @@ _NUMBERS = r"\p{N}" + _above(0x870, class_body(_ranges(_NEW_NUMBERS)))
 LETTER = _latin1(str.isalpha) + _above(0x100, _LETTERS)
 ALNUM = _latin1(str.isalnum) + _above(0x100, f"{_LETTERS}[{_NUMBERS}]")
 WORD = "_" + ALNUM
+WIDE_LETTER = _above(0x80, LETTER)
 # U+1734 is a spacing mark since Unicode 14.
 MARK = _above(
     0x300, r"[^\x{1734}]&&[\p{Mn}" + _above(0x870, class_body(_ranges(_NEW_MARKS))) + "]"
@@ -113,20 +114,16 @@ SCRIPT_TOKENS = [
 
 
 @lru_cache(maxsize=1)
-def script_classes() -> dict[str, str]:
-    """Class body per script token: the letters whose Unicode name begins with the token."""
-    members: dict[str, list[int]] = {token: [] for token in SCRIPT_TOKENS}
+def script_letters() -> dict[str, str]:
+    """The letters whose Unicode name begins with the token, for each script token."""
+    members: dict[str, list[str]] = {token: [] for token in SCRIPT_TOKENS}
     for cp in range(sys.maxunicode + 1):
         ch = chr(cp)
         if ch.isalpha():
             token = unicodedata.name(ch, "").partition(" ")[0]
             if token in members:
-                members[token].append(cp)
-    return {
-        token: "".join(rf"\x{{{cp:x}}}" for cp in cps if cp < 0x100)
-        + class_body(_runs([cp for cp in cps if cp >= 0x100]))
-        for token, cps in members.items()
-    }
+                members[token].append(ch)
+    return {token: "".join(letters) for token, letters in members.items()}
 
 
 def _composites() -> dict[int, set[int]]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from uttergate.functions.charclass import LETTER, SCRIPT_TOKENS, script_classes
+from uttergate.functions.charclass import LETTER, SCRIPT_TOKENS, WIDE_LETTER, script_letters
 from uttergate.functions.template import staged, template
 from uttergate.functions.text import is_blank, letter_count, pin
 from uttergate.schema import LANGUAGES
@@ -58,9 +60,8 @@ def with_script(
 
     The dominant script is the commonest first word of the letters' Unicode names, ties going
     to the one seen first. Three tiers, by falling frequency: texts in ASCII and the main Latin
-    blocks need two scans; texts in the ten expected scripts are counted by peeling one class
-    after the other off the letters, so that a single-script text is done after its own class;
-    only texts with other letters reach Python.
+    blocks need two scans; in texts of the ten expected scripts a table gives every letter's script in
+    one pass, and the scripts are counted; only texts with other letters reach Python.
     """
     return staged(df, *_script_steps(text, language, out))
 
@@ -68,35 +69,29 @@ def with_script(
 @template
 def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[str]]:
     t, lang = F.col(text), F.col(language)
-    classes = script_classes()
     plain = ~t.rlike(r"[\x{aa}\x{b5}\x{ba}\x{2b0}-\x{10ffff}]")
     steps = [{"_ug_plain": plain}]
-    steps.append({"_ug_r0": F.when(F.col("_ug_plain"), "").otherwise(F.regexp_replace(t, f"[^{LETTER}]+", ""))})
-    # One projection: each column extends the expression before it, which is computed once.
-    rest, peeled, left = ["_ug_r0"], {}, F.col("_ug_r0")
-    for i, token in enumerate(SCRIPT_TOKENS, 1):
-        rest.append(f"_ug_r{i}")
-        left = F.regexp_replace(left, f"[{classes[token]}]+", "")
-        peeled[rest[i]] = left
-    steps.append(peeled)
-    letters = F.col("_ug_r0")
-    candidates = []
-    for i, token in enumerate(SCRIPT_TOKENS, 1):
-        n = F.length(rest[i - 1]) - F.length(rest[i])
-        ahead = F.length(F.regexp_extract(letters, f"^[^{classes[token]}]*", 0))
-        candidates.append(
-            F.when(
-                n > 0, F.struct(n.alias("n"), (-ahead).alias("early"), F.lit(token).alias("token"))
-            )
-        )
+    # Each letter of an expected script becomes that script's mark, in ASCII; all else stays as it is.
+    by_script = script_letters()
+    marks = dict(zip(SCRIPT_TOKENS, string.ascii_uppercase, strict=False))
+    table = "".join(by_script.values()), "".join(marks[k] * len(v) for k, v in by_script.items())
+    steps.append({"_ug_marked": F.when(F.col("_ug_plain"), "").otherwise(F.translate(t, *table))})
+    marked, counts, letters = F.col("_ug_marked"), F.col("_ug_counts"), F.col("_ug_letters")
+    tallies = []
+    for token, mark in marks.items():
+        n = F.length(marked) - F.length(F.replace(marked, F.lit(mark), F.lit("")))
+        tallies.append(F.struct(n.alias("n"), (-F.instr(marked, mark)).alias("early"), F.lit(token).alias("token")))
     steps.append(
         {
-            "_ug_best": F.when(letters != "", F.array_max(F.array(*candidates))),
-            "_ug_tail": _tail_udf()(F.when(F.col(rest[-1]) != "", letters)),
+            "_ug_counts": F.array(*tallies),
+            # letters of all scripts, only where there are some beyond the ten
+            "_ug_letters": F.when(marked.rlike(f"[{WIDE_LETTER}]"), F.regexp_replace(t, f"[^{LETTER}]+", "")),
         }
     )
+    steps.append({"_ug_best": F.array_max(counts), "_ug_tail": _tail_udf()(letters)})
     best, tail = F.col("_ug_best"), F.col("_ug_tail")
-    has_letter = F.when(F.col("_ug_plain"), t.rlike(f"[{LETTER}]")).otherwise(letters != "")
+    known = sum((counts[i]["n"] for i in range(1, len(marks))), counts[0]["n"])
+    has_letter = F.when(F.col("_ug_plain"), t.rlike(f"[{LETTER}]")).otherwise((known > 0) | letters.isNotNull())
     named = (
         F.when(is_blank(t), "empty")
         .when(~has_letter, "no_alpha")
@@ -107,7 +102,7 @@ def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[
     share = (
         F.when(token.isin("empty", "no_alpha"), 0.0)
         .when(F.col("_ug_plain"), 1.0)
-        .otherwise(F.coalesce(tail["n"], best["n"]) / F.length(letters))
+        .otherwise(F.coalesce(tail["n"] / F.length(letters), F.try_divide(best["n"], known)))
     )
     steps += [{"_ug_token": named}, {"_ug_conf": share}]
     conf, expected = F.col("_ug_conf"), expected_script(lang)
@@ -121,7 +116,7 @@ def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[
     )
     script = F.struct(valid.alias("is_valid"), conf.alias("confidence"), token.alias("detected_script"))
     steps.append({out: pin(script)})
-    return steps, ["_ug_plain", "_ug_token", "_ug_conf", "_ug_best", "_ug_tail", *rest]
+    return steps, ["_ug_plain", "_ug_token", "_ug_conf", "_ug_best", "_ug_tail", "_ug_letters", "_ug_marked", "_ug_counts"]
 
 
 def latin_consistency(text: Column, language: Column) -> Column:
