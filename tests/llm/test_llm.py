@@ -361,10 +361,34 @@ def test_scores(spark, empty):
         assert (got[k].n_tokens, got[k].n_known, got[k].train_tokens) == (len(tokens), sum(counts[w] > 0 for w in tokens), n)
         assert got[k].held_out == (k >= 4)
     assert ctw.scores(empty, F.lit(True)).count() == 0
+    deep = {r.doc_id: r.score for r in ctw.scores(df, F.col("doc_id") >= 4, depth=7).collect()}
+    seven = {k: b"\n" * 7 + x[ctw.DEPTH :] for k, x in spelled.items()}
+    tree = BruteTree([seven[k] for k in range(4)], 7)
+    assert all(deep[k] == pytest.approx(tree.price(seven[k]), rel=1e-7) for k, _ in rows)
+    with pytest.raises(ValueError, match="depth"):
+        ctw.scores(df, F.lit(True), depth=8)
     nothing = ctw.scores(df, F.lit(True)).collect()
     assert all(r.score == pytest.approx((len(spelled[r.doc_id]) - ctw.DEPTH) * 8 * math.log10(0.5)) for r in nothing)
 
 
+def test_scores_do_not_depend_on_blocks_and_partial_sums(spark, monkeypatch):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    want = {r.doc_id: r for r in ctw.scores(df, F.col("doc_id") % 5 == 1).collect()}
+    sizes = defaultdict(list)
+    rows = df.select(F.monotonically_increasing_id().alias("n"), F.coalesce("text", F.lit("")).alias("text"))
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 20_000)
+    for r in ctw._blocked(rows).collect():
+        sizes[r.block].append(len(r.text.encode()))
+    assert len(sizes) > 5 and all(sum(s[:-1]) < 20_000 for s in sizes.values())
+    assert sum(map(len, sizes.values())) == df.count()
+    monkeypatch.setattr(ctw, "_HELD", 2_000)
+    got = {r.doc_id: r for r in ctw.scores(df, F.col("doc_id") % 5 == 1).collect()}
+    assert got.keys() == want.keys()
+    for k, r in want.items():
+        assert (got[k].n_tokens, got[k].n_known, got[k].train_tokens) == (r.n_tokens, r.n_known, r.train_tokens)
+        assert got[k].score == pytest.approx(r.score, rel=1e-9) and got[k].base_score == pytest.approx(r.base_score)
+
+
 def test_scores_of_awkward_tables(awkward):
     got = ctw.scores(awkward, F.col("doc_id") % 2 == 1).collect()
     assert len(got) == len(AWKWARD) and all(math.isfinite(r.score) for r in got)

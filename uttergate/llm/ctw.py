@@ -1,15 +1,16 @@
 """Language-model scores by context-tree weighting over bytes.
 
 A text is read as its lower-cased words, each with a space behind it, and one end byte. Every byte is eight binary
-decisions. The node of a decision at depth d is the d bytes before it (``DEPTH`` at most) and the decisions of the byte
+decisions. The node of a decision at depth d is the d bytes before it (``depth`` at most) and the decisions of the byte
 so far. A node's counts of zeros and ones in the training texts give its Krichevsky-Trofimov probability; weighting a
 node against its children, ``P = (KT + product of the children's P) / 2`` from the deepest contexts up, gives every
 node the share of its own estimate in the mixture, and a decision's probability mixes the estimates of all depths. A
 context that training has not seen takes the estimate of the longest one that it has.
 
-Decisions of a byte depend on the ``DEPTH`` bytes before it alone, so the model needs one probability for each
-distinct (DEPTH + 1)-gram. Counts of grams and words are summed by key over all texts; whole subtrees of a two-byte
-context are weighted in one task; the two levels above them, 65,536 nodes at most, on the driver. Nothing of the
+Decisions of a byte depend on the ``depth`` bytes before it alone, so the model needs one probability for each
+distinct (depth + 1)-gram. Counts of grams and words are summed by key over all texts; whole subtrees of a three-byte
+context are weighted in one task, and those of one two-byte context in up to ``SPREAD`` of them; the level above is
+summed by key and sent back to them; the two levels above that, 65,536 nodes at most, are on the driver. Nothing of the
 model is broadcast but these: documents form blocks, a join answers the distinct keys of each block, and a task that
 scores a block reads the block's answers from one file in the shared folder.
 """
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +31,8 @@ from .store import shared_folder, staged
 from .wordhash import IS_WORD, Texts, Words, runs, texts, words
 
 DEPTH = 5
-BLOCK_BITS = 13  # a block: 8,192 rows on end
+SPREAD = 16
+BLOCK_ROWS, BLOCK_BYTES = 1 << 13, 1 << 25  # of a block, but for its last text
 END, SPACE = 0x0A, 0x20
 WORDS, GRAMS = 0, 1
 _HELD = 1 << 22
@@ -37,32 +40,32 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def grams(t: Texts, w: Words) -> tuple[np.ndarray, np.ndarray]:
+def grams(t: Texts, w: Words, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """The code of every byte with the bytes before it, the byte itself lowest; and the first place of each text."""
     n = len(w.first) - 1
     size = w.ends - w.starts
     letters = np.concatenate([[0], np.cumsum(size)])[w.first]  # before each text
     text = np.repeat(np.arange(n), np.diff(w.first))
-    at = np.arange(letters[-1]) + np.repeat(np.arange(len(size)) + (text + 1) * DEPTH + text, size)
-    starts = letters[:-1] + w.first[:-1] + (np.arange(n) + 1) * DEPTH + np.arange(n)
-    ends = letters[1:] + w.first[1:] + (np.arange(n) + 1) * DEPTH + np.arange(n)  # of the end byte
-    out = np.full(letters[-1] + w.first[-1] + n * (DEPTH + 1), SPACE, np.uint8)
+    at = np.arange(letters[-1]) + np.repeat(np.arange(len(size)) + (text + 1) * depth + text, size)
+    starts = letters[:-1] + w.first[:-1] + (np.arange(n) + 1) * depth + np.arange(n)
+    ends = letters[1:] + w.first[1:] + (np.arange(n) + 1) * depth + np.arange(n)  # of the end byte
+    out = np.full(letters[-1] + w.first[-1] + n * (depth + 1), SPACE, np.uint8)
     out[at] = _LOWER[t.data[IS_WORD[t.data]]]
     out[ends] = END
-    for k in range(1, DEPTH + 1):
+    for k in range(1, depth + 1):
         out[starts - k] = END
     code = out.astype(np.uint64)
-    for k in range(1, DEPTH + 1):
-        code[DEPTH:] |= out[DEPTH - k : len(out) - k].astype(np.uint64) << np.uint64(8 * k)
+    for k in range(1, depth + 1):
+        code[depth:] |= out[depth - k : len(out) - k].astype(np.uint64) << np.uint64(8 * k)
     real = np.ones(len(out), bool)
-    for k in range(1, DEPTH + 1):
+    for k in range(1, depth + 1):
         real[starts - k] = False
     lengths = ends - starts + 1
     return code[real], np.concatenate([[0], np.cumsum(lengths)])
 
 
 class _Counts:
-    """Sums by key, merged when many have come in."""
+    """Sums by key, merged when many have come in; ``full`` when most of them are different."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -76,6 +79,10 @@ class _Counts:
         if self.held > _HELD:
             self.merge()
 
+    @property
+    def full(self) -> bool:
+        return self.held > _HELD // 2 and len(self.parts) == 1
+
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -85,8 +92,33 @@ class _Counts:
         return keys, n
 
 
-def _gathered(docs: DataFrame, by_block: bool) -> DataFrame:
-    """``block`` (0 for all unless ``by_block``), ``kind``, ``key`` and training count ``n`` of words and grams."""
+def _blocked(rows: DataFrame) -> DataFrame:
+    """Rows of one partition on end form blocks, named by their first row's ``n``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held, size = None, 0, 0
+        for batch in batches:
+            n = batch.column(0).to_numpy()
+            ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+            block = np.empty(len(n), np.int64)
+            at = 0
+            while at < len(n):
+                if first is None or held >= BLOCK_ROWS or size >= BLOCK_BYTES:
+                    first, held, size = n[at], 0, 0
+                before = int(ends[at - 1]) if at else 0
+                stop = min(len(n), at + BLOCK_ROWS - held, int(np.searchsorted(ends, before + BLOCK_BYTES - size)) + 1)
+                block[at:stop] = first
+                held, size, at = held + stop - at, size + int(ends[stop - 1]) - before, stop
+            yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns[1:]], names=["block", *batch.schema.names[1:]])
+
+    return rows.mapInArrow(run, rows.withColumnRenamed("n", "block").schema)
+
+
+def _gathered(docs: DataFrame, by_block: bool, depth: int) -> DataFrame:
+    """``block`` (0 for all unless ``by_block``), ``kind``, ``key`` and training count ``n`` of words and grams.
+
+    A key may come more than once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, block = [_Counts(), _Counts()], None
@@ -112,9 +144,12 @@ def _gathered(docs: DataFrame, by_block: bool) -> DataFrame:
                 trained = batch.column(1)[a:b].to_numpy(zero_copy_only=False).astype(bool)
                 for i, j, t in runs(texts(batch.column(2)[a:b])):
                     w = words(t)
-                    codes, first = grams(t, w)
+                    codes, first = grams(t, w, depth)
                     counts[WORDS].add(w.hashes, np.repeat(trained[i:j], np.diff(w.first)))
                     counts[GRAMS].add(codes, np.repeat(trained[i:j], np.diff(first)))
+                    if any(c.full for c in counts):
+                        yield from out()
+                        counts = [_Counts(), _Counts()]
         if block is not None:
             yield from out()
 
@@ -160,13 +195,13 @@ def _mixed(n0: np.ndarray, n1: np.ndarray, share: np.ndarray, bit: np.ndarray, d
     return np.where(n0 + n1 > 0, mix, np.nan)
 
 
-def _subtrees(codes: np.ndarray, n: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, _Level]:
-    """Bit ``j`` of each gram: node of the byte, the bit, its probability down to depth 2, and the nodes there."""
+def _subtrees(codes: np.ndarray, n: np.ndarray, j: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, _Level]:
+    """Bit ``j`` of each gram: node of the byte, the bit, its probability down to depth 3, and the nodes there."""
     byte = (codes & np.uint64(255)).astype(np.int64)
     node = (1 << j) | (byte >> (8 - j))
     bit = (byte >> (7 - j)) & 1
     levels: list[_Level] = []
-    for d in range(DEPTH, 1, -1):
+    for d in range(depth, 2, -1):
         context = (codes >> np.uint64(8)) & np.uint64((1 << 8 * d) - 1)
         levels.append(_Level(context << np.uint64(8) | node.astype(np.uint64), bit, n, levels[-1] if levels else None))
     p = np.full(len(codes), np.nan)
@@ -175,24 +210,46 @@ def _subtrees(codes: np.ndarray, n: np.ndarray, j: int) -> tuple[np.ndarray, np.
     return node, bit, p, levels[-1]
 
 
-def _gram_model(counted: DataFrame) -> DataFrame:
+def _weighted(sums: DataFrame) -> DataFrame:
+    """Adds ``share`` to nodes whose ``log`` is the sum of their children's, and makes it their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n0, n1, under = (batch.column(k).to_numpy() for k in (1, 2, 3))
+            own = _log_kt(n0, n1)
+            log = np.logaddexp(own, under) - np.log(2)
+            share = np.exp(own - np.log(2) - log)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(log), pa.array(share)], names=["node", "n0", "n1", "log", "share"])
+
+    return sums.mapInArrow(run, "node long, n0 double, n1 double, log double, share double")
+
+
+def _gram_model(counted: DataFrame, depth: int) -> DataFrame:
     """``key`` and ``value`` (log10 probability of the byte after its context) of every gram in ``counted``."""
-    two = F.shiftright("key", 8).bitwiseAND(0xFFFF)
     parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = counted.select("key", "n", F.pmod(F.xxhash64(two), F.lit(parts)).alias("part"))
+    spread = min(SPREAD, parts)
+
+    def part(two: Column, piece: Column) -> Column:
+        return F.pmod(F.pmod(F.xxhash64(two), F.lit(parts)) + piece, F.lit(parts))
+
+    context = F.shiftright("key", 8)
+    piece = F.pmod(F.xxhash64(context.bitwiseAND(0xFFFFFF)), F.lit(spread))
+    dealt = counted.select("key", "n", part(context.bitwiseAND(0xFFFF), piece).alias("part"))
 
     def weigh(table: pa.Table) -> pa.Table:
         codes, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
         keys, sums = [], []
         for j in range(8):
-            level = _subtrees(codes, n, j)[3]
-            one, at = np.unique(level.keys & np.uint64(0xFFFF), return_inverse=True)  # last byte and node
-            keys.append(one.astype(np.int64))
-            sums.append([np.bincount(at, x, len(one)) for x in (level.n0, level.n1, level.log)])
+            level = _subtrees(codes, n, j, depth)[3]
+            two, at = np.unique(level.keys & np.uint64(0xFFFFFF), return_inverse=True)  # last two bytes and node
+            keys.append(two.astype(np.int64))
+            sums.append([np.bincount(at, x, len(two)) for x in (level.n0, level.n1, level.log)])
         return pa.table({"node": np.concatenate(keys), **{name: np.concatenate([s[k] for s in sums]) for k, name in enumerate(("n0", "n1", "log"))}})
 
     below = dealt.groupBy("part").applyInArrow(weigh, "node long, n0 double, n1 double, log double")
-    one = below.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "log")]).toArrow()  # 65,280 rows at most
+    sums = [F.sum(c).alias(c) for c in ("n0", "n1", "log")]
+    two = staged(_weighted(below.groupBy("node").agg(*sums)), "nodes")
+    one = two.groupBy(F.col("node").bitwiseAND(0xFFFF).alias("node")).agg(*sums).toArrow()  # 65,280 rows at most
     at = one.column("node").to_numpy()
     n0, n1, under = np.zeros(1 << 16), np.zeros(1 << 16), np.zeros(1 << 16)
     for target, name in ((n0, "n0"), (n1, "n1"), (under, "log")):
@@ -205,19 +262,25 @@ def _gram_model(counted: DataFrame) -> DataFrame:
     top_log = np.logaddexp(top_own, log.reshape(256, 256).sum(axis=0)) - np.log(2)
     top_share = np.exp(top_own - np.log(2) - top_log)
 
-    def price(table: pa.Table) -> pa.Table:
+    def price(table: pa.Table, nodes: pa.Table) -> pa.Table:
         codes, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
+        nodes = nodes.sort_by("node")
+        known, above0, above1, above_share = (nodes.column(c).to_numpy() for c in ("node", "n0", "n1", "share"))
         last = ((codes >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
         total = np.zeros(len(codes))
-        for j in range(8):
-            node, bit, p, _ = _subtrees(codes, n, j)
+        for j in range(8 if len(codes) else 0):
+            node, bit, p, level = _subtrees(codes, n, j, depth)
+            k = np.searchsorted(known, (level.keys & np.uint64(0xFFFFFF)).astype(np.int64))[level.at]
+            p = _mixed(above0[k], above1[k], above_share[k], bit, p)
             k = last * 256 + node
             p = _mixed(n0[k], n1[k], share[k], bit, p)
             p = _mixed(top0[node], top1[node], top_share[node], bit, p)
             total += np.log10(np.where(np.isnan(p), 0.5, p))
         return pa.table({"key": table.column("key"), "value": total})
 
-    return dealt.groupBy("part").applyInArrow(price, "key long, value double")
+    sent = two.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    sent = sent.select("node", "n0", "n1", "share", part(F.shiftright("node", 8), F.col("piece")).alias("part"))
+    return dealt.groupBy("part").cogroup(sent.groupBy("part")).applyInArrow(price, "key long, value double")
 
 
 class _Lookup:
@@ -295,8 +358,9 @@ def _read_answers(uri: str) -> tuple[_Lookup, _Lookup]:
 SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
 
 
-def scores(df: DataFrame, held_out: Column, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Scores of every text of ``df``, learned from the rows where ``held_out`` is false.
+def scores(df: DataFrame, held_out: Column, row_id: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
+    """Scores of every text of ``df``, learned from the rows where ``held_out`` is false, by contexts of up to ``depth``
+    bytes (3 to 7).
 
     ``n_tokens``: words and one end; ``n_known``: those that training has; ``train_tokens``: all of training;
     ``base_score``: log10 probability under half-smoothed word counts; ``score``: under the model, of the words with a
@@ -305,25 +369,27 @@ def scores(df: DataFrame, held_out: Column, row_id: str = "doc_id", text: str =
     With nothing to learn from, every decision has probability one half. An empty table gives an empty table. Other
     columns are left aside.
     """
+    if not 3 <= depth <= 7:
+        raise ValueError("depth must be from 3 to 7")
     spark = df.sparkSession
     rows = df.select(
-        F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("block"),
+        F.monotonically_increasing_id().alias("n"),
         F.coalesce(~held_out, F.lit(False)).alias("train"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.col(row_id).cast("long").alias("doc_id"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    docs = staged(rows, "texts", "zstd")
-    counted = staged(_gathered(docs, False).groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    docs = staged(_blocked(rows), "texts", "zstd")
+    counted = staged(_gathered(docs, False, depth).groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     is_word = F.col("kind") == WORDS
     ends = docs.where("train").count()
     known = counted.where(is_word).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     total, distinct = int(known["n"] or 0) + ends, int(known["v"] or 0) + (ends > 0)
 
     words_answered = counted.where(is_word).select("kind", "key", F.col("n").cast("double").alias("value"))
-    grams_answered = _gram_model(counted.where(~is_word)).select(F.lit(GRAMS).cast("tinyint").alias("kind"), "key", "value")
+    grams_answered = _gram_model(counted.where(~is_word), depth).select(F.lit(GRAMS).cast("tinyint").alias("kind"), "key", "value")
     model = staged(words_answered.unionAll(grams_answered), "model")
-    asked = _gathered(docs, True).select("block", "kind", "key")
+    asked = _gathered(docs, True, depth).select("block", "kind", "key")
     answers = asked.join(model, ["kind", "key"]).select("block", "kind", "key", "value")
     folder = shared_folder(spark, "answers")
     _write_answers(answers.repartition("block").sortWithinPartitions("block"), folder)
@@ -341,7 +407,7 @@ def scores(df: DataFrame, held_out: Column, row_id: str = "doc_id", text: str =
                     count_of, price_of = _read_answers(f"{folder}/{block}")
                 for i, j, t in runs(texts(batch.column(2)[a:b])):
                     w = words(t)
-                    codes, first = grams(t, w)
+                    codes, first = grams(t, w, depth)
                     c = count_of(w.hashes)
                     of = lambda x, at: np.diff(np.concatenate([[0.0], np.cumsum(x)])[at])
                     n_tokens = np.diff(w.first) + 1
