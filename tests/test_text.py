@@ -1,4 +1,5 @@
 import random
+import re
 import sys
 import unicodedata
 
@@ -123,6 +124,31 @@ def test_character_classes_are_exact(spark):
             assert r.sensitive, hex(r.cp)
 
 
+def members(body):
+    """How many members each level of a class has; nested ones behind bounds are levels of their own."""
+    depth, counts, sizes = 0, [0], []
+    for token in re.findall(r"\\x\{\w+\}(?:-\\x\{\w+\})?(?:&&)?|\[|\]", body):
+        if token == "[":
+            counts[-1] += 1
+            counts.append(0)
+        elif token == "]":
+            sizes.append(counts.pop())
+        elif not token.endswith("&&"):
+            counts[-1] += 1
+    return [*sizes, *counts]
+
+
+def test_long_classes_are_trees():
+    ranges = [(cp, cp + 1) for cp in range(0x300, 0x3000, 7)]
+    assert max(members(C.class_body(ranges))) <= 4
+
+
+def test_letters_are_not_compared_with_every_second_half():
+    # one alternative for each set of first halves, tried at every character, would be about a hundred
+    cheap, found, _ = C.composition_needed()
+    assert found.startswith(f"(?=[{cheap}])")
+
+
 def test_every_letter_has_its_script(spark):
     letters = [chr(cp) for cp in range(sys.maxunicode + 1) if chr(cp).isalpha()]
     rows = [(i, ch, "hi") for i, ch in enumerate(letters)]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 # Letters assigned after Unicode 13.
@@ -49,16 +49,25 @@ def _flat(ranges: list[tuple[int, int]]) -> str:
     )
 
 
-def class_body(ranges: list[tuple[int, int]], group: int = 6) -> str:
+def class_body(ranges: list[tuple[int, int]], group: int = 4) -> str:
     """The inside of a Java character class for a list of code-point ranges.
 
     The regex engine tests every member of a class in turn, so long lists are cut into groups
-    that are entered only for code points within the group's bounds.
+    that are entered only for code points within the group's bounds, and these into larger ones
+    until few are left: a character costs tests by the logarithm of the list.
     """
-    if len(ranges) <= group:
-        return _flat(ranges)
-    parts = [ranges[i : i + group] for i in range(0, len(ranges), group)]
-    return "".join(rf"[\x{{{p[0][0]:x}}}-\x{{{p[-1][1]:x}}}&&[{_flat(p)}]]" for p in parts)
+    parts = [(lo, hi, _flat([(lo, hi)])) for lo, hi in ranges]
+    while len(parts) > group:
+        parts = [_bounded(parts[i : i + group]) for i in range(0, len(parts), group)]
+    return "".join(body for _, _, body in parts)
+
+
+def _bounded(parts: list[tuple[int, int, str]]) -> tuple[int, int, str]:
+    """Neighbouring members of a class as one, entered only within their bounds."""
+    if len(parts) == 1:
+        return parts[0]
+    lo, hi = parts[0][0], parts[-1][1]
+    return lo, hi, rf"[\x{{{lo:x}}}-\x{{{hi:x}}}&&[{''.join(body for _, _, body in parts)}]]"
 
 
 def _runs(code_points: list[int], bridge: int = 1) -> list[tuple[int, int]]:
@@ -142,13 +151,14 @@ def _composites() -> dict[int, set[int]]:
 
 
 @lru_cache(maxsize=1)
-def composition_needed() -> tuple[str, str]:
-    """Two patterns; a text that differs from its NFC matches both.
+def composition_needed() -> tuple[str, str, str]:
+    """Three patterns; a text that differs from its NFC matches the first, and the second or the third.
 
     The first, a class body, is cheap: code points that change on their own, marks that reorder, and second halves
-    of compositions. The second finds the places: a code point that changes on its own, two adjacent marks, a second
+    of compositions. The others find the places: a code point that changes on its own, two adjacent marks, a second
     half right behind one of its first halves, or a mark behind a letter that holds a higher one. Vowel signs and viramas of composed text match the first at
-    most. Second halves with the same first halves share an alternative.
+    most. The second looks at such characters alone, and compares second halves only with the first halves of their
+    neighbourhood. The third has the pairs with code points beyond U+FFFF, which few texts hold.
     """
     own, marks = [], []
     for cp in range(0x300, sys.maxunicode + 1):
@@ -166,21 +176,55 @@ def composition_needed() -> tuple[str, str]:
         last = unicodedata.combining(unicodedata.normalize("NFD", chr(cp))[-1])
         if last and not unicodedata.combining(chr(cp)):
             top[cp] = last
-    for mark in marks:
-        higher = {cp for cp, last in top.items() if last > unicodedata.combining(chr(mark))}
-        if higher:
-            pairs[mark] = pairs.get(mark, set()) | higher
+    higher = {m: {cp for cp, last in top.items() if last > unicodedata.combining(chr(m))} for m in marks}
+    higher = {m: firsts for m, firsts in higher.items() if firsts}
+    every = sorted({*own, *marks, *pairs})
+    either, mark = _class(every), _class(marks)
+    low = _runs(sorted(s for s in pairs if s <= 0xFFFF))
+    near = [low[i : i + 2] for i in range(0, len(low), 2)]
+    behind = [(r[0][0], r[-1][1], _behind(pairs, r[0][0], r[-1][1])) for r in near]
+    while len(behind) > 4:
+        behind = [_together(behind[i : i + 4]) for i in range(0, len(behind), 4)]
+    found = "|".join(
+        [
+            f"[{_class(own)}]",
+            f"[{mark}][{mark}]",
+            f"(?<=[{_class(top)}])(?:{_behind(higher, 0x300, 0xFFFF)})",
+            *[pattern for _, _, pattern in behind],
+        ]
+    )
+    # The engine looks behind by UTF-16 units, so pairs beyond them are looked for ahead.
+    beyond = []
+    for firsts, seconds in [*_by_firsts(pairs).items(), *_by_firsts(higher).items()]:
+        if max(*firsts, *seconds) > 0xFFFF:
+            beyond.append(f"[{_class(firsts)}][{_class(seconds)}]")
+    return _above(0x300, either), f"(?=[{_above(0x300, either)}])(?:{found})", "|".join(beyond)
+
+
+def _class(code_points: Iterable[int]) -> str:
+    return class_body(_runs(sorted(code_points)))
+
+
+def _by_firsts(pairs: dict[int, set[int]]) -> dict[tuple[int, ...], list[int]]:
+    """Second halves by their first halves."""
     together: dict[tuple[int, ...], list[int]] = {}
     for second, firsts in pairs.items():
         together.setdefault(tuple(sorted(firsts)), []).append(second)
-    plain, wide = [], []
-    for firsts, seconds in together.items():
-        pair = f"[{class_body(_runs(list(firsts)))}][{class_body(_runs(sorted(seconds)))}]"
-        (wide if max(*firsts, *seconds) > 0xFFFF else plain).append(pair)
-    # The engine looks behind by UTF-16 units, so pairs beyond them are looked for ahead.
-    seconds = class_body(_runs(sorted(s for s in pairs if s <= 0xFFFF)))
-    either = class_body(_runs(sorted({*own, *marks, *pairs})))
-    mark = f"[{class_body(_runs(marks))}]"
-    behind = f"[{seconds}](?<=(?:{'|'.join(plain)}))"
-    found = "|".join([f"[{class_body(_runs(own))}]", mark + mark, behind, *wide])
-    return _above(0x300, either), found
+    return together
+
+
+def _behind(pairs: dict[int, set[int]], lo: int, hi: int) -> str:
+    """A pattern of the second halves within the bounds that stand right behind one of their first halves."""
+    alternatives = []
+    for firsts, seconds in _by_firsts({s: f for s, f in pairs.items() if lo <= s <= hi}).items():
+        second = _class(seconds)
+        alternatives.append(f"[{second}](?<=[{_class(cp for cp in firsts if cp <= 0xFFFF)}][{second}])")
+    return rf"(?=[\x{{{lo:x}}}-\x{{{hi:x}}}])(?:{'|'.join(alternatives)})"
+
+
+def _together(parts: list[tuple[int, int, str]]) -> tuple[int, int, str]:
+    """Patterns for neighbouring characters as one, entered only within their bounds."""
+    if len(parts) == 1:
+        return parts[0]
+    lo, hi = parts[0][0], parts[-1][1]
+    return lo, hi, rf"(?=[\x{{{lo:x}}}-\x{{{hi:x}}}])(?:{'|'.join(pattern for _, _, pattern in parts)})"

@@ -104,10 +104,11 @@ def nfc(col: Column, worth: Column | None = None) -> Column:
 def nfc_suspect(col: Column, worth: Column | None = None) -> Column:
     """The text where it may differ from its composed form, else null. Composed text is no suspect, unless two
     combining marks stand together."""
-    cheap, found = composition_needed()
+    cheap, found, beyond = composition_needed()
     sensitive = col.rlike(f"[{cheap}]")
     sensitive = sensitive if worth is None else worth & sensitive
-    return F.when(F.when(sensitive, col.rlike(found)).otherwise(False), col)
+    place = col.rlike(found) | (col.rlike(r"[\x{10000}-\x{10ffff}]") & col.rlike(beyond))
+    return F.when(F.when(sensitive, place).otherwise(False), col)
 
 
 def strip_marks(col: Column) -> Column:
