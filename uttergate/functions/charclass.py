@@ -102,6 +102,15 @@ LETTER = _latin1(str.isalpha) + _above(0x100, _LETTERS)
 ALNUM = _latin1(str.isalnum) + _above(0x100, f"{_LETTERS}[{_NUMBERS}]")
 WORD = "_" + ALNUM
 WIDE_LETTER = _above(0x80, LETTER)
+# Texts without code points from here on, which are most in Latin script, get classes of their own.
+LOW = 0x300
+
+
+def low_class(member: Callable[[str], bool]) -> str:
+    """The members below ``LOW``, without properties or complements: the engine then compares plain chars."""
+    return _latin1(member) + _flat(_runs([cp for cp in range(0x100, LOW) if member(chr(cp))]))
+
+
 # U+1734 is a spacing mark since Unicode 14.
 MARK = _above(
     0x300, r"[^\x{1734}]&&[\p{Mn}" + _above(0x870, class_body(_ranges(_NEW_MARKS))) + "]"

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uttergate.functions.charclass import ALNUM, SP
+from uttergate.functions.charclass import ALNUM, SP, low_class
 from uttergate.functions.template import staged, template
-from uttergate.functions.text import pin
+from uttergate.functions.text import HIGH, pin
+
+
+_LOW_ALNUM_OR_SPACE = low_class(lambda c: c.isalnum() or c.isspace())
 
 
 def quality_score(repeated_ratio: Column, word_count: Column, avg_length: Column) -> Column:
@@ -54,7 +57,10 @@ def _metric_steps(text: str, out: str, single_spaced: bool) -> tuple[list[dict],
     }
     avg_length = F.coalesce(letters / n, F.lit(0.0))
     repeated = F.coalesce((n - distinct) / n, F.lit(1.0))
-    punctuation = F.length(F.regexp_replace(t, f"[{ALNUM}{SP}]+", "")) / chars
+    left = F.when(t.rlike(HIGH), F.regexp_replace(t, f"[{ALNUM}{SP}]+", "")).otherwise(
+        F.regexp_replace(t, f"[{_LOW_ALNUM_OR_SPACE}]+", "")
+    )
+    punctuation = F.length(left) / chars
     ratios = {"_ug_avg": avg_length, "_ug_repeated": repeated}
     metrics = pin(
         F.struct(

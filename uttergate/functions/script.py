@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from uttergate.functions.charclass import LETTER, SCRIPT_TOKENS, WIDE_LETTER, script_letters
 from uttergate.functions.template import staged, template
-from uttergate.functions.text import is_blank, letter_count, pin
+from uttergate.functions.text import has_any, is_blank, letter_count, pin
 from uttergate.schema import LANGUAGES
 
 _TAIL_TYPE = T.StructType(
@@ -91,7 +91,7 @@ def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[
     steps.append({"_ug_best": F.array_max(counts), "_ug_tail": _tail_udf()(letters)})
     best, tail = F.col("_ug_best"), F.col("_ug_tail")
     known = sum((counts[i]["n"] for i in range(1, len(marks))), counts[0]["n"])
-    has_letter = F.when(F.col("_ug_plain"), t.rlike(f"[{LETTER}]")).otherwise((known > 0) | letters.isNotNull())
+    has_letter = F.when(F.col("_ug_plain"), has_any(t, LETTER)).otherwise((known > 0) | letters.isNotNull())
     named = (
         F.when(is_blank(t), "empty")
         .when(~has_letter, "no_alpha")

@@ -14,11 +14,13 @@ from pyspark.sql import types as T
 from uttergate.config import GateConfig
 from uttergate.functions.charclass import (
     LETTER,
+    LOW,
     MARK,
     SP,
     SP_NOT_BLANK,
     WORD,
     composition_needed,
+    low_class,
 )
 from uttergate.functions.template import staged, template
 
@@ -33,6 +35,13 @@ ELLIPSIS = "…"
 # Punctuation that survives normalisation.
 KEPT_PUNCTUATION = r".,!?\-'" + '"'
 
+# A text has one of these code points, or is all below ``LOW``.
+HIGH = rf"[\x{{{LOW:x}}}-\x{{10ffff}}]"
+_LOW_SPACES = low_class(lambda c: c.isspace() and c != " ")
+_LOW_SPECIAL = low_class(lambda c: not (c.isalnum() or c.isspace() or c in ".,!?-'\"_"))
+# In texts below LOW, what full lower-casing may change beyond A-Z, and a little more.
+_LOW_CASED = r"\x{c0}-\x{d6}\x{d8}-\x{de}\x{100}-\x{2ff}"
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Non-ASCII code points that full lower-casing would change.
 _CASED_BEYOND_ASCII = (
@@ -59,9 +68,14 @@ def safe_string(col: Column, dtype: T.DataType | None = None) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def has_any(col: Column, members: str) -> Column:
+    """Whether a text has a character of the class. Most texts show one at once, and need not be decoded whole."""
+    return F.substring(col, 1, 16).rlike(f"[{members}]") | col.rlike(f"[{members}]")
+
+
 def is_blank(col: Column) -> Column:
     """True for null, empty and white-space-only text."""
-    return col.isNull() | ~col.rlike(f"[^{SP}]")
+    return col.isNull() | ~has_any(col, f"^{SP}")
 
 
 def strip(col: Column) -> Column:
@@ -134,9 +148,16 @@ def expand_digits(col: Column, language: Column) -> Column:
     return F.when((language == "hi") & has_lone, out).otherwise(col)
 
 
-def lowercase(col: Column, language: Column) -> Column:
+def cased_beyond_ascii(col: Column, high: Column) -> Column:
+    """Whether full lower-casing changes more than A-Z; ``high`` tells texts that had code points from ``LOW`` on."""
+    return F.when(high, col.rlike(_CASED_BEYOND_ASCII)).otherwise(
+        col.rlike(f"[{_LOW_CASED}]") & col.rlike(_CASED_BEYOND_ASCII)
+    )
+
+
+def lowercase(col: Column, language: Column, cased: Column | None = None) -> Column:
     """Full lower-casing for English, A-Z only for every other language."""
-    ascii_only = ~col.rlike(_CASED_BEYOND_ASCII)
+    ascii_only = ~(col.rlike(_CASED_BEYOND_ASCII) if cased is None else cased)
     return F.when((language == "en") | ascii_only, F.lower(col)).otherwise(
         F.translate(col, _UPPER, _UPPER.lower())
     )
@@ -204,16 +225,18 @@ def _normal_steps(
     s = [f"_ug_s{i}" for i in range(7)]
 
     # Nothing below U+0300 composes, is a mark or is mapped punctuation.
-    high = F.col("_ug_high")
+    high, cased, low = F.col("_ug_high"), F.col("_ug_cased"), F.col("_ug_low")
     stages = [{s[0]: F.when(~is_blank(raw), raw)}]
-    stages.append({"_ug_high": F.col(s[0]).rlike(r"[\x{300}-\x{10ffff}]")})
+    stages.append({"_ug_high": F.col(s[0]).rlike(HIGH)})
 
     def if_high(step):
         return lambda c: F.when(high, step(c)).otherwise(c)
 
     def punctuation(c: Column) -> Column:
         # Runs of spaces are left to the cleanup; the trace below accounts for them.
-        return drop_special(_plain_spaces(if_high(map_punctuation)(c)), config.keep_marks)
+        general = drop_special(_plain_spaces(if_high(map_punctuation)(c)), config.keep_marks)
+        plain = F.regexp_replace(F.regexp_replace(c, f"[{_LOW_SPACES}]+", " "), f"[{_LOW_SPECIAL}]+", "")
+        return F.when(low, plain).otherwise(general)
 
     compose = (lambda c: nfc(c, high)) if config.apply_unicode_nfc else None
     strip_step = strip_accents if config.keep_marks else strip_marks
@@ -225,12 +248,17 @@ def _normal_steps(
     steps = [
         *first,
         (lambda c: expand_digits(c, lang)) if config.expand_numbers else None,
-        lambda c: lowercase(c, lang),
+        lambda c: lowercase(c, lang, cased),
         punctuation if config.normalize_punctuation else None,
         _cleanup_after_punctuation if config.normalize_punctuation else final_cleanup,
     ]
     for i, step in enumerate(steps):
         col = F.col(s[i])
+        if i == 3:
+            stages.append({"_ug_cased": cased_beyond_ascii(col, high)})
+            # Words for digits and full lower-casing can bring code points from LOW on into a text without.
+            still = ~high & (lang != "hi") & ~(cased & (lang == "en"))
+            stages.append({"_ug_low": F.coalesce(still, F.lit(False))})
         stages.append({s[i + 1]: col if step is None else step(col)})
 
     cleaned = F.col(s[6])
@@ -261,7 +289,7 @@ def _normal_steps(
                 ),
             )
         )
-    return [*stages, added], [*s, "_ug_high"]
+    return [*stages, added], [*s, "_ug_high", "_ug_cased", "_ug_low"]
 
 
 def letter_count(col: Column) -> Column:
