@@ -131,7 +131,8 @@ def lookup_join(
         if thin if thin is not None else _filter_pays(left.select(key), right.select("_ug_rkey")):
             right = thinned(right, F.col("_ug_rkey"), key_filter(left, left_key))
         noise = F.xxhash64(*spread_by) + F.spark_partition_id()
-        hot = F.broadcast(hot_keys(left, left_key, target_rows))  # KEY_BUCKETS rows at most
+        # Counted whether eligible or not: what makes a row eligible may take the whole row to tell.
+        hot = F.broadcast(hot_keys(left, F.when(usable, F.col(key)), target_rows))  # KEY_BUCKETS rows at most
         left = (
             left.withColumn("_ug_key", left_key)
             .join(hot, F.col("_ug_key") == F.col("_ug_hot"), "left")
