@@ -100,6 +100,25 @@ def test_scans_are_pruned(spark):
     assert all("n_chars" not in s for s in re.findall(r"ReadSchema: struct<(.*?)>", plan))
 
 
+def test_a_second_gate_does_not_repeat_the_first(spark):
+    assert physical(entry.regate(spark, SMALL)).count("ArrowEvalPython") == 2
+
+
+def test_hot_paths_are_counted_without_texts(spark, tmp_path):
+    corpus.utterances(spark, SMALL).write.parquet(str(tmp_path / "u"))
+    corpus.audio_properties(spark, SMALL).write.parquet(str(tmp_path / "p"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "10000"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = physical(verdict(spark.read.parquet(str(tmp_path / "u")), None, spark.read.parquet(str(tmp_path / "p"))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum("transcription_raw" in s for s in re.findall(r"ReadSchema: struct<(.*?)>", plan)) == 1
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     corpus.utterances(spark, SMALL).write.parquet(str(tmp_path / "u"))
     stored = spark.read.parquet(str(tmp_path / "u"))
