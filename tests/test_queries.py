@@ -129,3 +129,11 @@ def test_filters_reach_the_scan(spark, tmp_path):
 def test_histogram_combines_before_the_shuffle(spark):
     plan = physical(entry.reason_histogram(spark, SMALL))
     assert "partial_count" in plan
+
+
+@pytest.mark.parametrize("name", ["run_totals", "top_reasons", "rejected", "mode_thresholds"])
+def test_unasked_parts_are_pruned(spark, name):
+    """Queries that need neither the trace nor the share of punctuation don't compute them."""
+    plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "diacritics_removed" not in plan and "AS _ug_before" not in plan
+    assert "AS _ug_m_punctuation_ratio" not in plan and "AS _ug_m_quality_score" in plan

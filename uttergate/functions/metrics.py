@@ -57,21 +57,21 @@ def _metric_steps(text: str, out: str, single_spaced: bool) -> tuple[list[dict],
     }
     avg_length = F.coalesce(letters / n, F.lit(0.0))
     repeated = F.coalesce((n - distinct) / n, F.lit(1.0))
-    left = F.when(t.rlike(HIGH), F.regexp_replace(t, f"[{ALNUM}{SP}]+", "")).otherwise(
+    left = F.when((F.octet_length(t) > chars) & t.rlike(HIGH), F.regexp_replace(t, f"[{ALNUM}{SP}]+", "")).otherwise(
         F.regexp_replace(t, f"[{_LOW_ALNUM_OR_SPACE}]+", "")
     )
     punctuation = F.length(left) / chars
     ratios = {"_ug_avg": avg_length, "_ug_repeated": repeated}
-    metrics = pin(
-        F.struct(
-            F.when(n.isNull(), 0.0)
-            .otherwise(quality_score(F.col("_ug_repeated"), n, F.col("_ug_avg")))
-            .alias("quality_score"),
-            F.coalesce(n, F.lit(0)).alias("word_count"),
-            F.when(n.isNull(), 0).otherwise(chars).alias("char_count"),
-            F.col("_ug_avg").alias("avg_word_length"),
-            F.col("_ug_repeated").alias("repeated_word_ratio"),
-            F.when(n.isNull(), 0.0).otherwise(punctuation).alias("punctuation_ratio"),
-        )
-    )
-    return [{"_ug_words": split}, counted, ratios, {out: metrics}], ["_ug_words", *counted, *ratios]
+    score = F.when(n.isNull(), 0.0).otherwise(quality_score(F.col("_ug_repeated"), n, F.col("_ug_avg")))
+    # Each metric is pinned on its own, so that those nobody asks for are pruned.
+    metrics = {
+        "quality_score": score,
+        "word_count": F.coalesce(n, F.lit(0)),
+        "char_count": F.when(n.isNull(), 0).otherwise(chars),
+        "avg_word_length": F.col("_ug_avg"),
+        "repeated_word_ratio": F.col("_ug_repeated"),
+        "punctuation_ratio": F.when(n.isNull(), 0.0).otherwise(punctuation),
+    }
+    pinned = {f"_ug_m_{name}": pin(metric) for name, metric in metrics.items()}
+    struct = F.struct(*[F.col(f"_ug_m_{name}").alias(name) for name in metrics])
+    return [{"_ug_words": split}, counted, ratios, pinned, {out: struct}], ["_ug_words", *counted, *ratios, *pinned]

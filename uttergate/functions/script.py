@@ -69,7 +69,7 @@ def with_script(
 @template
 def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[str]]:
     t, lang = F.col(text), F.col(language)
-    plain = ~t.rlike(r"[\x{aa}\x{b5}\x{ba}\x{2b0}-\x{10ffff}]")
+    plain = (F.octet_length(t) == F.length(t)) | ~t.rlike(r"[\x{aa}\x{b5}\x{ba}\x{2b0}-\x{10ffff}]")
     steps = [{"_ug_plain": plain}]
     # Each letter of an expected script becomes that script's mark, in ASCII; all else stays as it is.
     by_script = script_letters()
@@ -79,8 +79,10 @@ def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[
     marked, counts, letters = F.col("_ug_marked"), F.col("_ug_counts"), F.col("_ug_letters")
     tallies = []
     for token, mark in marks.items():
+        there = marked.contains(mark)  # cheaper than what follows, and most texts hold one script or two
         n = F.length(marked) - F.length(F.replace(marked, F.lit(mark), F.lit("")))
-        tallies.append(F.struct(n.alias("n"), (-F.instr(marked, mark)).alias("early"), F.lit(token).alias("token")))
+        n, early = F.when(there, n).otherwise(0), F.when(there, -F.instr(marked, mark)).otherwise(0)
+        tallies.append(F.struct(n.alias("n"), early.alias("early"), F.lit(token).alias("token")))
     steps.append(
         {
             "_ug_counts": F.array(*tallies),
@@ -104,8 +106,8 @@ def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[
         .when(F.col("_ug_plain"), 1.0)
         .otherwise(F.coalesce(tail["n"] / F.length(letters), F.try_divide(best["n"], known)))
     )
-    steps += [{"_ug_token": named}, {"_ug_conf": share}]
-    conf, expected = F.col("_ug_conf"), expected_script(lang)
+    steps += [{"_ug_token": named}, {"_ug_conf": share, "_ug_expected": expected_script(lang)}]
+    conf, expected = F.col("_ug_conf"), F.col("_ug_expected")
     valid = (
         F.when(token.isin("empty", "no_alpha"), False)
         .when((lang == "en") & token.contains("LATIN"), conf > 0.7)
@@ -116,7 +118,7 @@ def _script_steps(text: str, language: str, out: str) -> tuple[list[dict], list[
     )
     script = F.struct(valid.alias("is_valid"), conf.alias("confidence"), token.alias("detected_script"))
     steps.append({out: pin(script)})
-    return steps, ["_ug_plain", "_ug_token", "_ug_conf", "_ug_best", "_ug_tail", "_ug_letters", "_ug_marked", "_ug_counts"]
+    return steps, ["_ug_plain", "_ug_token", "_ug_conf", "_ug_best", "_ug_tail", "_ug_letters", "_ug_marked", "_ug_counts", "_ug_expected"]
 
 
 def latin_consistency(text: Column, language: Column) -> Column:

@@ -42,6 +42,16 @@ _LOW_SPECIAL = low_class(lambda c: not (c.isalnum() or c.isspace() or c in ".,!?
 # In texts below LOW, what full lower-casing may change beyond A-Z, and a little more.
 _LOW_CASED = r"\x{c0}-\x{d6}\x{d8}-\x{de}\x{100}-\x{2ff}"
 
+
+def _clean(c: str) -> bool:
+    return c.isalnum() or c in " \n.,!?-'\"_"
+
+
+# Whole texts below LOW without anything to drop, whose only white space is blanks and line feeds, and of these the
+# ones that full lower-casing changes in A-Z only. One class repeated: the engine loops over it without a stack.
+CLEAN = rf"^[{low_class(_clean)}]*\z"
+SIMPLE = rf"^[{low_class(lambda c: _clean(c) and (c < chr(0xC0) or chr(0xDF) <= c < chr(0x100)))}]*\z"
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Non-ASCII code points that full lower-casing would change.
 _CASED_BEYOND_ASCII = (
@@ -158,9 +168,17 @@ def cased_beyond_ascii(col: Column, high: Column) -> Column:
 def lowercase(col: Column, language: Column, cased: Column | None = None) -> Column:
     """Full lower-casing for English, A-Z only for every other language."""
     ascii_only = ~(col.rlike(_CASED_BEYOND_ASCII) if cased is None else cased)
-    return F.when((language == "en") | ascii_only, F.lower(col)).otherwise(
-        F.translate(col, _UPPER, _UPPER.lower())
-    )
+    return F.when((language == "en") | ascii_only, F.lower(col)).otherwise(_lower_ascii(col))
+
+
+def _lower_ascii(col: Column) -> Column:
+    """A-Z in lower case. The text is cut before each of them, so only a piece's first character has to be mapped."""
+
+    def lowered(piece: Column) -> Column:
+        head = F.translate(F.substring(piece, 1, 1), _UPPER, _UPPER.lower())
+        return F.concat(head, F.substring(piece, 2, 0x7FFFFFFF))
+
+    return F.array_join(F.transform(F.split(col, "(?=[A-Z])"), lowered), "")
 
 
 def map_punctuation(col: Column) -> Column:
@@ -226,8 +244,12 @@ def _normal_steps(
 
     # Nothing below U+0300 composes, is a mark or is mapped punctuation.
     high, cased, low = F.col("_ug_high"), F.col("_ug_cased"), F.col("_ug_low")
+    simple, clean = F.col("_ug_simple"), F.col("_ug_clean")
     stages = [{s[0]: F.when(~is_blank(raw), raw)}]
-    stages.append({"_ug_high": F.col(s[0]).rlike(HIGH)})
+    # Most texts are told by one scan to need none of the scans below.
+    stages.append({"_ug_simple": F.col(s[0]).rlike(SIMPLE)})
+    stages.append({"_ug_clean": simple | F.col(s[0]).rlike(CLEAN)})
+    stages.append({"_ug_high": ~clean & F.col(s[0]).rlike(HIGH)})
 
     def if_high(step):
         return lambda c: F.when(high, step(c)).otherwise(c)
@@ -236,7 +258,8 @@ def _normal_steps(
         # Runs of spaces are left to the cleanup; the trace below accounts for them.
         general = drop_special(_plain_spaces(if_high(map_punctuation)(c)), config.keep_marks)
         plain = F.regexp_replace(F.regexp_replace(c, f"[{_LOW_SPACES}]+", " "), f"[{_LOW_SPECIAL}]+", "")
-        return F.when(low, plain).otherwise(general)
+        blanks = F.array_join(F.split(c, "\n"), " ")
+        return F.when(low & clean, blanks).when(low, plain).otherwise(general)
 
     compose = (lambda c: nfc(c, high)) if config.apply_unicode_nfc else None
     strip_step = strip_accents if config.keep_marks else strip_marks
@@ -255,7 +278,7 @@ def _normal_steps(
     for i, step in enumerate(steps):
         col = F.col(s[i])
         if i == 3:
-            stages.append({"_ug_cased": cased_beyond_ascii(col, high)})
+            stages.append({"_ug_cased": ~simple & cased_beyond_ascii(col, high)})
             # Words for digits and full lower-casing can bring code points from LOW on into a text without.
             still = ~high & (lang != "hi") & ~(cased & (lang == "en"))
             stages.append({"_ug_low": F.coalesce(still, F.lit(False))})
@@ -274,22 +297,23 @@ def _normal_steps(
         changed = {n: F.col(s[i]) != F.col(s[i + 1]) for n, i in named}
         if config.normalize_punctuation:
             changed["punctuation_normalized"] |= F.col(s[4]).contains("  ")
-        operations = F.array_compact(
-            F.array(*[F.when(differs, F.lit(n)) for n, differs in changed.items()])
-        )
-        before, after = F.length(s[0]), F.length(cleaned)
+        # The comparisons have a step of their own, as array_compact would interpret them.
+        done = F.array(*[F.when(differs, F.lit(n)) for n, differs in changed.items()])
+        stages.append({"_ug_done": pin(done), "_ug_before": F.length(s[0]), "_ug_after": F.length(cleaned)})
+        before, after = F.col("_ug_before"), F.col("_ug_after")
         added[trace] = pin(
             F.when(
                 cleaned.isNotNull(),
                 F.struct(
-                    operations.alias("operations"),
+                    F.array_compact("_ug_done").alias("operations"),
                     before.alias("original_length"),
                     after.alias("final_length"),
                     (1 - after / before).alias("reduction_ratio"),
                 ),
             )
         )
-    return [*stages, added], [*s, "_ug_high", "_ug_cased", "_ug_low"]
+    spare = [*s, "_ug_simple", "_ug_clean", "_ug_high", "_ug_cased", "_ug_low", "_ug_done", "_ug_before", "_ug_after"]
+    return [*stages, added], spare
 
 
 def letter_count(col: Column) -> Column:
