@@ -87,20 +87,22 @@ def _above(start: int, body: str) -> str:
 
 
 def _latin1(member: Callable[[str], bool]) -> str:
-    """The members below U+0100 one by one: the engine keeps those in a single bit set."""
-    return "".join(rf"\x{{{cp:x}}}" for cp in range(0x100) if member(chr(cp)))
+    """The members below U+0100 one by one, as a class of their own: the engine keeps those in a single bit set, which
+    it looks at last among the members of one class, but in its turn among classes."""
+    return "[" + "".join(rf"\x{{{cp:x}}}" for cp in range(0x100) if member(chr(cp))) + "]"
 
 
 # Class bodies, to be placed inside [...] or [^...]. Everything from U+0100 on is one nested
-# member, so that Latin text costs one comparison and one bit test per character.
+# member behind the bits, so that most of Latin text costs one bit test per character.
 _WIDE_SPACES = _above(0x100, class_body([r for r in _ranges(_SPACES) if r[0] >= 0x100], 10))
 SP = _latin1(str.isspace) + _WIDE_SPACES
 SP_NOT_BLANK = _latin1(lambda c: c.isspace() and c != " ") + _WIDE_SPACES
 _LETTERS = r"\p{L}" + _above(0x870, class_body(_ranges(_NEW_LETTERS)))
 _NUMBERS = r"\p{N}" + _above(0x870, class_body(_ranges(_NEW_NUMBERS)))
 LETTER = _latin1(str.isalpha) + _above(0x100, _LETTERS)
-ALNUM = _latin1(str.isalnum) + _above(0x100, f"{_LETTERS}[{_NUMBERS}]")
-WORD = "_" + ALNUM
+_WIDE_ALNUM = _above(0x100, f"{_LETTERS}[{_NUMBERS}]")
+ALNUM = _latin1(str.isalnum) + _WIDE_ALNUM
+WORD = _latin1(lambda c: c.isalnum() or c == "_") + _WIDE_ALNUM
 WIDE_LETTER = _above(0x80, LETTER)
 # Texts without code points from here on, which are most in Latin script, get classes of their own.
 LOW = 0x300
@@ -108,7 +110,13 @@ LOW = 0x300
 
 def low_class(member: Callable[[str], bool]) -> str:
     """The members below ``LOW``, without properties or complements: the engine then compares plain chars."""
-    return _latin1(member) + _flat(_runs([cp for cp in range(0x100, LOW) if member(chr(cp))]))
+    wide = _flat(_runs([cp for cp in range(0x100, LOW) if member(chr(cp))]))
+    return _latin1(member) + (rf"[\x{{100}}-\x{{{LOW - 1:x}}}&&[{wide}]]" if wide else "")
+
+
+def kept_class(punctuation: str) -> str:
+    """Words, white space and some punctuation below U+0100, the latter's bits with those of the former."""
+    return _latin1(lambda c: c.isalnum() or c.isspace() or c in punctuation) + _WIDE_ALNUM + _WIDE_SPACES
 
 
 # U+1734 is a spacing mark since Unicode 14.

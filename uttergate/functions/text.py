@@ -7,6 +7,8 @@ computed once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,7 @@ from uttergate.functions.charclass import (
     SP_NOT_BLANK,
     WORD,
     composition_needed,
+    kept_class,
     low_class,
 )
 from uttergate.functions.template import staged, template
@@ -33,14 +36,14 @@ PUNCTUATION_TO = "..'''\"\"\"--"
 ELLIPSIS = "…"
 
 # Punctuation that survives normalisation.
-KEPT_PUNCTUATION = r".,!?\-'" + '"'
+KEPT_PUNCTUATION = ".,!?-'" + '"'
 
 # A text has one of these code points, or is all below ``LOW``.
 HIGH = rf"[\x{{{LOW:x}}}-\x{{10ffff}}]"
 _LOW_SPACES = low_class(lambda c: c.isspace() and c != " ")
 _LOW_SPECIAL = low_class(lambda c: not (c.isalnum() or c.isspace() or c in ".,!?-'\"_"))
 # In texts below LOW, what full lower-casing may change beyond A-Z, and a little more.
-_LOW_CASED = r"\x{c0}-\x{d6}\x{d8}-\x{de}\x{100}-\x{2ff}"
+_LOW_CASED = low_class(lambda c: c >= "\u0100" or "À" <= c <= "Þ" and c != "×")
 
 
 def _clean(c: str) -> bool:
@@ -52,7 +55,6 @@ def _clean(c: str) -> bool:
 CLEAN = rf"^[{low_class(_clean)}]*\z"
 SIMPLE = rf"^[{low_class(lambda c: _clean(c) and (c < chr(0xC0) or chr(0xDF) <= c < chr(0x100)))}]*\z"
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Non-ASCII code points that full lower-casing would change.
 _CASED_BEYOND_ASCII = (
     "[ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
@@ -172,27 +174,36 @@ def lowercase(col: Column, language: Column, cased: Column | None = None) -> Col
 
 
 def _lower_ascii(col: Column) -> Column:
-    """A-Z in lower case. The text is cut before each of them, so only a piece's first character has to be mapped."""
+    """A-Z in lower case."""
+    return _mapped_at(col, "[A-Z]", F.lower)
+
+
+def _mapped_at(col: Column, members: str, step: Callable[[Column], Column]) -> Column:
+    """The text with ``step`` done to each character of a class, which cost a table lookup for every character.
+
+    It is cut before each of them, so that they head the pieces. The blank put before it heads the first piece."""
 
-    def lowered(piece: Column) -> Column:
-        head = F.translate(F.substring(piece, 1, 1), _UPPER, _UPPER.lower())
-        return F.concat(head, F.substring(piece, 2, 0x7FFFFFFF))
+    def mapped(piece: Column) -> Column:
+        return F.concat(step(F.substring(piece, 1, 1)), F.substring(piece, 2, 0x7FFFFFFF))
 
-    return F.array_join(F.transform(F.split(col, "(?=[A-Z])"), lowered), "")
+    pieces = F.split(F.concat(F.lit(" "), col), f"(?={members})")
+    return F.substring(F.array_join(F.transform(pieces, mapped), ""), 2, 0x7FFFFFFF)
 
 
 def map_punctuation(col: Column) -> Column:
     """Dandas, quotes, dashes and the ellipsis to their ASCII forms."""
-    mapped = F.replace(
-        F.translate(col, PUNCTUATION_FROM, PUNCTUATION_TO), F.lit(ELLIPSIS), F.lit("...")
-    )
-    return F.when(col.rlike(rf"[\x{{964}}-\x{{2026}}&&[{PUNCTUATION_FROM}{ELLIPSIS}]]"), mapped).otherwise(col)
+    members = rf"[\x{{964}}-\x{{2026}}&&[{PUNCTUATION_FROM}{ELLIPSIS}]]"
+
+    def ascii_form(c: Column) -> Column:
+        return F.replace(F.translate(c, PUNCTUATION_FROM, PUNCTUATION_TO), F.lit(ELLIPSIS), F.lit("..."))
+
+    return F.when(col.rlike(members), _mapped_at(col, members, ascii_form)).otherwise(col)
 
 
 def drop_special(col: Column, keep_marks: bool = False) -> Column:
     """Keep words, white space and the basic punctuation; on request the marks of words too."""
     marks = r"\p{M}" + MARK if keep_marks else ""
-    return F.regexp_replace(col, f"[^{KEPT_PUNCTUATION}{SP}{WORD}{marks}]+", "")
+    return F.regexp_replace(col, f"[^{kept_class(KEPT_PUNCTUATION + '_')}{marks}]+", "")
 
 
 def _plain_spaces(col: Column) -> Column:
@@ -280,7 +291,8 @@ def _normal_steps(
         if i == 3:
             stages.append({"_ug_cased": ~simple & cased_beyond_ascii(col, high)})
             # Words for digits and full lower-casing can bring code points from LOW on into a text without.
-            still = ~high & (lang != "hi") & ~(cased & (lang == "en"))
+            spelled = (lang == "hi") & (F.col(s[2]) != F.col(s[3])) if config.expand_numbers else F.lit(False)
+            still = ~high & ~spelled & ~(cased & (lang == "en"))
             stages.append({"_ug_low": F.coalesce(still, F.lit(False))})
         stages.append({s[i + 1]: col if step is None else step(col)})
 

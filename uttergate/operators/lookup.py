@@ -13,6 +13,10 @@ KEY_BUCKETS = 65_536
 TARGET_ROWS = 1_000_000
 # A key stands out with so many times the rows of a mean bucket.
 STANDS_OUT = 4
+# With more bytes for each of the session's shuffle partitions, these are not merged into fewer.
+KEEP_BYTES = 2 << 20
+# An estimate from here on stands for no estimate; the optimizer puts the largest long for tables that it knows nothing of.
+UNKNOWN_BYTES = 1 << 55
 # Rows without a key match nothing; they are only spread.
 IDLE_SPREAD = 100_000
 # Bits of the filter of left keys: 2 ** 27 are 16 MB, in 4,096 pieces.
@@ -117,6 +121,10 @@ def lookup_join(
     rows of a mean bucket, however large its share. ``split_hot=False`` keeps the join on the bare key, as
     bucketed tables need.
 
+    What is done to the joined rows runs in the join's tasks. The planner merges partitions by their bytes, and the few
+    tasks that are left of an input of some GB leave cores idle in their last wave; so a larger left side keeps the
+    session's number of shuffle partitions.
+
     Right rows that no left key can match are dropped by a Bloom filter before they are shuffled, where that pays (see
     ``_filter_pays``; ``thin`` says so outright). The filter is bounded, so with more keys it would let all rows through.
     """
@@ -127,6 +135,8 @@ def lookup_join(
     keys = ["_ug_rkey"]
     condition = F.col("_ug_key") == F.col("_ug_rkey")
     if split_hot and (size is None or size > broadcast_limit(left)):
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        large = not unique and KEEP_BYTES * partitions < (estimated_bytes(left) or 0) < UNKNOWN_BYTES
         left_key = F.when(eligible & usable, F.col(key))
         if thin if thin is not None else _filter_pays(left.select(key), right.select("_ug_rkey")):
             right = thinned(right, F.col("_ug_rkey"), key_filter(left, left_key))
@@ -151,6 +161,8 @@ def lookup_join(
         idle = F.concat(F.lit("-"), F.pmod(noise, F.lit(IDLE_SPREAD)).cast("string"))
         left = left.withColumn("_ug_key", F.coalesce(F.concat(F.lit("="), F.col("_ug_key")), idle))
         right = right.withColumn("_ug_rkey", F.concat(F.lit("="), F.col("_ug_rkey")))
+        if large:  # with unique rows on the right, the planner cuts skewed partitions, which it needs its own shuffle for
+            left = left.repartition(partitions, "_ug_key", "_ug_salt")
     else:
         left = left.withColumn("_ug_key", F.when(eligible & usable, F.col(key)))
     if not unique:
