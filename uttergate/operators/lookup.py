@@ -13,8 +13,9 @@ KEY_BUCKETS = 65_536
 TARGET_ROWS = 1_000_000
 # A key stands out with so many times the rows of a mean bucket.
 STANDS_OUT = 4
-# With more bytes for each of the session's shuffle partitions, these are not merged into fewer.
-KEEP_BYTES = 2 << 20
+# With more bytes for each of the session's shuffle partitions, these are not merged into fewer. With less, what every
+# task does once (its regular expressions are compiled, its Python worker is called) costs more than idle cores.
+KEEP_BYTES = 8 << 20
 # An estimate from here on stands for no estimate; the optimizer puts the largest long for tables that it knows nothing of.
 UNKNOWN_BYTES = 1 << 55
 # Rows without a key match nothing; they are only spread.
